@@ -1,45 +1,49 @@
-"""Column expressions that turn raw text into typed values.
+"""SQL expressions that turn raw text into typed values.
 
-All casts are ``try_cast``: a value that does not parse becomes null whether
-or not ANSI mode is on.
+Each function takes a SQL expression, usually a column name, and returns one,
+for ``selectExpr`` and ``expr``: a projection of dozens of columns is then one
+call. All casts are ``try_cast``, so a value that does not parse becomes null
+whether or not ANSI mode is on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed patterns.
 NOT_NUMERIC = r"[^0-9.\-]"
 YEARS = r"(\d+)\s+Years?"
 MONTHS = r"(\d+)\s+Months?"
 
 
-def clean_numeric(c: Column) -> Column:
-    return F.regexp_replace(c.cast("string"), NOT_NUMERIC, "").try_cast("double")
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def clean_integer(c: Column) -> Column:
-    """Numeric cleaning, then truncation towards zero."""
-    return clean_numeric(c).try_cast("int")
+def numeric(c: str) -> str:
+    return f"try_cast({c} AS double)"
 
 
-def credit_history_months(c: Column) -> Column:
-    """``22 Years and 1 Months`` -> 265; a missing part counts as zero."""
+def clean_numeric(c: str) -> str:
+    return numeric(f"regexp_replace(cast({c} AS string), r'{NOT_NUMERIC}', '')")
 
-    def part(pattern: str) -> Column:
-        return F.coalesce(F.regexp_extract(c.cast("string"), pattern, 1).try_cast("int"), F.lit(0))
 
-    return part(YEARS) * 12 + part(MONTHS)
+def clean_integer(c: str) -> str:
+    """Numeric cleaning, then truncation towards zero."""
+    return f"try_cast({clean_numeric(c)} AS int)"
+
+
+def credit_history_months(c: str) -> str:
+    """``22 Years and 1 Months`` -> 265; a missing part counts as zero."""
 
+    def part(pattern: str) -> str:
+        return f"coalesce(try_cast(regexp_extract(cast({c} AS string), r'{pattern}', 1) AS int), 0)"
 
-def sentinel_to_null(c: Column, sentinel: str) -> Column:
-    return F.nullif(c, F.lit(sentinel))
+    return f"({part(YEARS)} * 12 + {part(MONTHS)})"
 
 
-def non_blank_flag(c: Column) -> Column:
-    return F.when(F.length(F.trim(c)) > 0, 1).otherwise(0)
+def sentinel_to_null(c: str, sentinel: str) -> str:
+    return f"nullif({c}, {quoted(sentinel)})"
 
 
-def numeric(c: Column) -> Column:
-    return c.try_cast("double")
+def non_blank_flag(c: str) -> str:
+    return f"CASE WHEN length(trim({c})) > 0 THEN 1 ELSE 0 END"

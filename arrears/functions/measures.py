@@ -1,75 +1,66 @@
-"""Row-wise arithmetic, buckets and bands."""
+"""SQL expressions for row-wise arithmetic, buckets and bands."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 from arrears.constants import SCORE_BAND_FLOOR, SCORE_BANDS
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
+def safe_ratio(num: str, den: str) -> str:
     """Quotient; null where the denominator is zero or null."""
-    return F.try_divide(num, den)
+    return f"try_divide({num}, {den})"
 
 
-def ceil_ratio(num: Column, den: Column) -> Column:
+def ceil_ratio(num: str, den: str) -> str:
     """Quotient rounded up to an integer; zero where it is undefined."""
-    return F.coalesce(F.ceil(F.try_divide(num, den)).try_cast("int"), F.lit(0))
+    return f"coalesce(try_cast(ceil(try_divide({num}, {den})) AS int), 0)"
 
 
-def row_mean(columns: list[Column], skip_nulls: bool = True) -> Column:
+def row_mean(columns: Sequence[str], skip_nulls: bool = True) -> str:
+    """Mean over the present values of a row, or null unless all are present."""
     if not skip_nulls:
-        return reduce(add, columns) / F.lit(float(len(columns)))
-    total = reduce(add, [F.coalesce(c, F.lit(0.0)) for c in columns])
-    present = reduce(add, [c.isNotNull().cast("int") for c in columns])
-    return F.try_divide(total, present)
+        return f"(({' + '.join(columns)}) / {len(columns)}D)"
+    total = " + ".join(f"coalesce({c}, 0D)" for c in columns)
+    present = " + ".join(f"if({c} IS NULL, 0, 1)" for c in columns)
+    return f"try_divide({total}, {present})"
 
 
-def row_min(columns: list[Column]) -> Column:
-    return F.least(*columns)
+def row_min(columns: Sequence[str]) -> str:
+    return f"least({', '.join(columns)})"
 
 
-def row_max(columns: list[Column]) -> Column:
-    return F.greatest(*columns)
+def row_max(columns: Sequence[str]) -> str:
+    return f"greatest({', '.join(columns)})"
 
 
-def age_bucket(age: Column) -> Column:
+def age_bucket(age: str) -> str:
     """18_24, 25_34, 35_49, 50_plus; null for a missing or non-positive age."""
     return (
-        F.when(age <= 0, None)
-        .when(age < 25, "18_24")
-        .when(age < 35, "25_34")
-        .when(age < 50, "35_49")
-        .when(age >= 50, "50_plus")
+        f"CASE WHEN {age} <= 0 THEN NULL WHEN {age} < 25 THEN '18_24' WHEN {age} < 35 THEN '25_34' "
+        f"WHEN {age} < 50 THEN '35_49' WHEN {age} >= 50 THEN '50_plus' END"
     )
 
 
-def score_band(score: Column) -> Column:
+def score_band(score: str) -> str:
     """Right-closed fifths of the unit interval; null outside it."""
-    band = F.when(score <= SCORE_BAND_FLOOR, None)
-    for upper, name in SCORE_BANDS:
-        band = band.when(score <= upper, name)
-    return band
+    bands = " ".join(f"WHEN {score} <= {upper!r}D THEN '{name}'" for upper, name in SCORE_BANDS)
+    return f"CASE WHEN {score} <= {SCORE_BAND_FLOOR!r}D THEN NULL {bands} END"
 
 
-def to_class(score: Column, threshold: float = 0.5) -> Column:
-    return (score >= threshold).cast("int")
+def to_class(score: str, threshold: float = 0.5) -> str:
+    return f"cast({score} >= {threshold!r}D AS int)"
 
 
-def gini(auc: Column, digits: int | None = None) -> Column:
-    value = auc * 2 - 1
-    return value if digits is None else F.round(value, digits)
+def gini(auc: str, digits: int | None = None) -> str:
+    value = f"({auc} * 2 - 1)"
+    return value if digits is None else f"round({value}, {digits})"
 
 
-def sigmoid(logit: Column, clip: float = 30.0) -> Column:
-    bounded = F.greatest(F.lit(-clip), F.least(F.lit(clip), logit))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-bounded))
+def sigmoid(logit: str, clip: float = 30.0) -> str:
+    return f"(1D / (1D + exp(-greatest({-clip!r}D, least({clip!r}D, {logit})))))"
 
 
-def log_odds(rate: Column, clip: float = 1e-4) -> Column:
-    bounded = F.greatest(F.lit(clip), F.least(F.lit(1 - clip), rate))
-    return F.ln(bounded / (F.lit(1.0) - bounded))
+def log_odds(rate: str, clip: float = 1e-4) -> str:
+    bounded = f"greatest({clip!r}D, least({1 - clip!r}D, {rate}))"
+    return f"ln({bounded} / (1D - {bounded}))"

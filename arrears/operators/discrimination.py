@@ -40,12 +40,12 @@ def ranking_metrics(
     pos = F.col("n_positive").cast("double")
     neg = (F.col("n_rows") - F.col("n_positive")).cast("double")
     auc = F.try_divide(F.col("_rank_sum") - pos * (pos + 1) / 2, pos * neg)
-    return sums_per_group.select(
+    return sums_per_group.withColumn("auc", auc).select(
         *groups,
         "n_rows",
         "n_positive",
-        auc.alias("auc"),
-        gini(auc).alias("gini"),
+        "auc",
+        F.expr(gini("auc")).alias("gini"),
         F.coalesce(F.try_divide(F.col("_precision_sum"), pos), F.lit(0.0)).alias("average_precision"),
     )
 
@@ -66,7 +66,7 @@ def classification_metrics(
 ) -> DataFrame:
     """AUC, Gini, average precision and accuracy at one half."""
     ranked = ranking_metrics(df, groups, score, label)
-    hit = accuracy(df.withColumn("_class", to_class(F.col(score))), groups, "_class", label)
+    hit = accuracy(df.withColumn("_class", F.expr(to_class(score))), groups, "_class", label)
     if not groups:
         return ranked.withColumn("accuracy", hit.scalar())
     return ranked.join(hit, list(groups))

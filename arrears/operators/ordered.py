@@ -51,12 +51,11 @@ def range_cuts(df: DataFrame, groups: Sequence[str], value: str, split_above: in
 def _with_range(df: DataFrame, groups: Sequence[str], value: str, cuts: DataFrame) -> DataFrame:
     """Number of cuts at or below the value, by bisection; 0 for groups without cuts."""
     df = df.join(cuts, list(groups), "left") if groups else df.withColumn("_cuts", cuts.scalar())
-    df = df.withColumn("_range", F.lit(0))
-    step = RANGES // 2
+    columns = [f"`{c}`" for c in df.columns]
+    reached, step = "0", RANGES // 2
     while step >= 1:
-        at = F.get(F.col("_cuts"), F.col("_range") + (step - 1))
-        df = df.withColumn("_range", F.col("_range") + F.when(F.col(value) >= at, step).otherwise(0))
-        step //= 2
+        df = df.selectExpr(*columns, f"{reached} + if(`{value}` >= get(_cuts, {reached} + {step - 1}), {step}, 0) AS _range")
+        reached, step = "_range", step // 2
     return df.drop("_cuts")
 
 
@@ -112,24 +111,20 @@ def exact_quantiles(
     """Groups plus ``quantiles``, linearly interpolated between neighbouring order statistics."""
     totals = running_totals(df, groups, value, {"n": F.lit(1)}, split_above)
 
-    def at_rank(rank: Column) -> Column:
-        holds = (F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n"))
-        return F.max(F.when(holds, F.col(value)))
+    def at_rank(rank: str) -> str:
+        return f"max(CASE WHEN n_below <= {rank} AND {rank} < n_below + n THEN `{value}` END)"
 
-    parts = []
+    parts, found_at = [], []
     for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n_total") - 1)
+        position = f"({float(p)!r}D * (n_total - 1))"
         parts += [
-            at_rank(F.floor(position)).alias(f"_lo{i}"),
-            at_rank(F.ceil(position)).alias(f"_hi{i}"),
-            F.max(position - F.floor(position)).alias(f"_t{i}"),
+            F.expr(f"{at_rank(f'floor({position})')} AS _lo{i}"),
+            F.expr(f"{at_rank(f'ceil({position})')} AS _hi{i}"),
+            F.expr(f"max({position} - floor({position})) AS _t{i}"),
         ]
+        found_at.append(f"_lo{i} + (_hi{i} - _lo{i}) * _t{i}")
     found = totals.groupBy(*groups).agg(*parts)
-    quantiles = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}")
-        for i in range(len(probabilities))
-    ]
-    return found.select(*groups, F.array(*quantiles).alias("quantiles"))
+    return found.selectExpr(*groups, f"array({', '.join(found_at)}) AS quantiles")
 
 
 def value_at_count(

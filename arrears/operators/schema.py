@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.constants import FORBIDDEN_COLUMNS, LEAKAGE_FRAGMENTS, PII_COLUMNS
@@ -27,8 +26,8 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns in one projection; what does not parse becomes null."""
     require_columns(df, types)
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"try_cast(`{c}` AS {types[c]}) AS `{c}`" if c in types else f"`{c}`" for c in df.columns]
     )
 
 
@@ -89,12 +88,11 @@ def feature_roles(
 def column_profile(df: DataFrame) -> DataFrame:
     """(column_name, data_type, non_null_rows) of a frame, counted in one pass."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
-    long = counts.unpivot([], df.columns, "column_name", "non_null_rows")
-    kind_of = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
-    return long.select(
-        "column_name", kind_of[F.col("column_name")].alias("data_type"), F.col("non_null_rows").cast("bigint")
-    )
+    rows = [
+        f"named_struct('column_name', '{c}', 'data_type', '{kind}', 'non_null_rows', count(`{c}`))"
+        for c, kind in kinds.items()
+    ]
+    return df.selectExpr(f"array({', '.join(rows)}) AS profile").selectExpr("inline(profile)")
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFrame:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.constants import PSI_BINS, PSI_SHARE_FLOOR
@@ -19,68 +18,67 @@ def quantile_cuts(
     """One row, ``cuts``: distinct exact quantiles, or equal steps on [0, 1] when fewer than three differ."""
     probabilities = [i / bins for i in range(bins + 1)]
     quantiles = exact_quantiles(reference, [], score, probabilities, split_above)
-    distinct = F.array_sort(F.array_distinct(F.filter("quantiles", lambda x: x.isNotNull())))
-    equal = F.array(*[F.lit(p) for p in probabilities])
-    return quantiles.select(F.when(F.size(distinct) < 3, equal).otherwise(distinct).alias("cuts"))
+    equal = ", ".join(f"{p!r}D" for p in probabilities)
+    distinct = "array_sort(array_distinct(filter(quantiles, x -> x IS NOT NULL)))"
+    return quantiles.selectExpr(f"CASE WHEN size({distinct}) < 3 THEN array({equal}) ELSE {distinct} END AS cuts")
 
 
-def bin_index(value: Column, cuts: Column, bins: int = PSI_BINS) -> Column:
-    """1-based bin of ``value``; null outside the cuts. The last bin includes its upper edge."""
-    edges = [F.get(cuts, F.lit(i)) for i in range(bins + 1)]
-    at_or_below = reduce(add, [F.coalesce((value >= e).cast("int"), F.lit(0)) for e in edges])
-    last = F.size(cuts) - 1
-    inside = (value >= edges[0]) & (value <= F.element_at(cuts, -1))
-    return F.when(inside, F.least(at_or_below, last))
+def bin_index(value: str, cuts: Sequence[float]) -> str:
+    """SQL for the 1-based bin of ``value``; null outside the cuts. The last bin includes its upper edge."""
+    inner = " ".join(f"WHEN {value} < {edge!r}D THEN {i}" for i, edge in enumerate(cuts[1:-1], start=1))
+    return (
+        f"CASE WHEN {value} IS NULL OR {value} < {cuts[0]!r}D OR {value} > {cuts[-1]!r}D THEN NULL "
+        f"{inner} ELSE {len(cuts) - 1} END"
+    )
 
 
-def histogram(
-    df: DataFrame, cuts: DataFrame, score: str, groups: Sequence[str] = (), bins: int = PSI_BINS
-) -> DataFrame:
+def histogram(df: DataFrame, cuts: Sequence[float], score: str, groups: Sequence[str] = ()) -> DataFrame:
     """Rows per group and bin; ``bin`` is null for values out of range."""
-    binned = df.withColumn("_cuts", cuts.scalar())
-    binned = binned.withColumn("bin", bin_index(F.col(score), F.col("_cuts"), bins))
+    binned = df.withColumn("bin", F.expr(bin_index(f"`{score}`", cuts)))
     return binned.groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+@dataclass(frozen=True)
+class ScoreReference:
+    """Bin edges and row shares of the reference scores: a few numbers, fitted once."""
+
+    cuts: list[float]
+    shares: list[float]
+
+
+def fit_reference(
+    reference: DataFrame, score: str = "score", bins: int = PSI_BINS, split_above: int = SPLIT_ABOVE
+) -> ScoreReference:
+    """Fit the edges and shares. At most ``bins`` + 1 numbers come to the driver."""
+    cuts = quantile_cuts(reference, score, bins, split_above).first()
+    if cuts is None:
+        raise ValueError("there are no reference scores")
+    cuts = list(cuts["cuts"])
+    counts = {r["bin"]: r["n"] for r in histogram(reference, cuts, score).collect()}
+    inside = [counts.get(b, 0) for b in range(1, len(cuts))]
+    return ScoreReference(cuts, [n / max(sum(inside), 1) for n in inside])
+
+
 def population_stability(
-    actual: DataFrame,
-    reference: DataFrame,
-    score: str = "prediction_score",
-    groups: Sequence[str] = (),
-    reference_score: str | None = None,
-    bins: int = PSI_BINS,
-    split_above: int = SPLIT_ABOVE,
+    actual: DataFrame, reference: ScoreReference, score: str = "prediction_score", groups: Sequence[str] = ()
 ) -> DataFrame:
-    """``score_psi`` and ``n_out_of_range`` per group of ``actual``.
+    """``score_psi`` and ``n_out_of_range`` per group of ``actual``, in one grouped aggregation.
 
     Shares are of the rows within the range of the reference and are floored,
     so an empty bin on one side stays finite.
     """
-    reference_score = reference_score or score
-    groups = list(groups)
-    cuts = quantile_cuts(reference, reference_score, bins, split_above)
-
-    def per_bin(name: str) -> list[Column]:
-        return [F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("n"))), F.lit(0)).alias(f"{name}{b}") for b in range(1, bins + 1)]
-
-    expected = histogram(reference, cuts, reference_score, [], bins).agg(*per_bin("e"))
-    expected = expected.select(F.array(*[f"e{b}" for b in range(1, bins + 1)]).alias("e"))
-    found = (
-        histogram(actual.filter(F.col(score).isNotNull()), cuts, score, groups, bins)
-        .groupBy(*groups)
-        .agg(*per_bin("a"), F.coalesce(F.sum(F.when(F.col("bin").isNull(), F.col("n"))), F.lit(0)).alias("n_out_of_range"))
-        .withColumn("_e", expected.scalar())
-        .withColumn("_bins", F.size(cuts.scalar()) - 1)
+    bins = range(1, len(reference.cuts))
+    binned = actual.filter(F.col(score).isNotNull()).withColumn(
+        "_bin", F.expr(bin_index(f"`{score}`", reference.cuts))
+    )
+    counted = binned.groupBy(*groups).agg(
+        F.expr("count(_bin) AS _inside"),
+        F.expr("count_if(_bin IS NULL) AS n_out_of_range"),
+        *[F.expr(f"count_if(_bin = {b}) AS _n{b}") for b in bins],
     )
-    expected_counts = [F.get("_e", F.lit(b - 1)) for b in range(1, bins + 1)]
-    actual_counts = [F.col(f"a{b}") for b in range(1, bins + 1)]
-
-    def share(count: Column, counts: list[Column]) -> Column:
-        total = F.greatest(reduce(add, counts), F.lit(1))
-        return F.greatest(count / total, F.lit(PSI_SHARE_FLOOR))
-
     terms = []
-    for b, (e, a) in enumerate(zip(expected_counts, actual_counts), start=1):
-        want, got = share(e, expected_counts), share(a, actual_counts)
-        terms.append(F.when(F.col("_bins") >= b, (got - want) * F.ln(got / want)).otherwise(0.0))
-    return found.select(*groups, reduce(add, terms).alias("score_psi"), "n_out_of_range")
+    for b, expected in zip(bins, reference.shares):
+        want = f"{max(expected, PSI_SHARE_FLOOR)!r}D"
+        got = f"greatest(_n{b} / greatest(_inside, 1), {PSI_SHARE_FLOOR!r}D)"
+        terms.append(f"({got} - {want}) * ln({got} / {want})")
+    return counted.selectExpr(*groups, f"{' + '.join(terms)} AS score_psi", "n_out_of_range")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from arrears.constants import (
     CLICK_COLUMNS,
@@ -22,36 +21,29 @@ from arrears.operators.schema import coerce_numeric, drop_pii
 
 def gold_features(clickstream: DataFrame, attributes: DataFrame, financials: DataFrame) -> DataFrame:
     """Customer-month feature store: three sources joined, ratios and buckets added."""
-    clicks = [F.col(c) for c in CLICK_COLUMNS]
-    return (
-        join_snapshots([clickstream, attributes, financials])
-        .withColumns(
-            {
-                "feature_store_def": F.lit(FEATURE_STORE_VERSION),
-                "age_bucket": measures.age_bucket(F.col("Age")),
-                "debt_to_income_ratio": measures.safe_ratio(F.col("Outstanding_Debt"), F.col("Annual_Income")),
-                "emi_to_salary_ratio": measures.safe_ratio(
-                    F.col("Total_EMI_per_month"), F.col("Monthly_Inhand_Salary")
-                ),
-                "available_cash_after_emi": F.col("Monthly_Inhand_Salary") - F.col("Total_EMI_per_month"),
-                "clickstream_mean": measures.row_mean(clicks),
-                "clickstream_min": measures.row_min(clicks),
-                "clickstream_max": measures.row_max(clicks),
-            }
-        )
-        .select(*FEATURE_STORE_COLUMNS)
-    )
+    derived = {
+        "feature_store_def": f"'{FEATURE_STORE_VERSION}'",
+        "age_bucket": measures.age_bucket("Age"),
+        "debt_to_income_ratio": measures.safe_ratio("Outstanding_Debt", "Annual_Income"),
+        "emi_to_salary_ratio": measures.safe_ratio("Total_EMI_per_month", "Monthly_Inhand_Salary"),
+        "available_cash_after_emi": "Monthly_Inhand_Salary - Total_EMI_per_month",
+        "clickstream_mean": measures.row_mean(CLICK_COLUMNS),
+        "clickstream_min": measures.row_min(CLICK_COLUMNS),
+        "clickstream_max": measures.row_max(CLICK_COLUMNS),
+    }
+    joined = join_snapshots([clickstream, attributes, financials])
+    return joined.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in FEATURE_STORE_COLUMNS])
 
 
 def gold_labels(ledger: DataFrame, dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -> DataFrame:
     """Default flag of every loan at one month on book."""
-    return ledger.filter(F.col("mob") == mob).select(
+    return ledger.filter(f"mob = {int(mob)}").selectExpr(
         "loan_id",
         "Customer_ID",
         "loan_start_date",
-        F.when(F.col("dpd") >= dpd, 1).otherwise(0).alias("label"),
-        F.lit(f"{dpd}dpd_{mob}mob").alias("label_def"),
-        F.col(SNAPSHOT).alias(LABEL_SNAPSHOT),
+        f"CASE WHEN dpd >= {int(dpd)} THEN 1 ELSE 0 END AS label",
+        f"'{int(dpd)}dpd_{int(mob)}mob' AS label_def",
+        f"{SNAPSHOT} AS {LABEL_SNAPSHOT}",
     )
 
 

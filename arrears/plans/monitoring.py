@@ -9,14 +9,14 @@ from arrears.constants import AUC_FLOOR, LABEL_SNAPSHOT, PSI_CEILING
 from arrears.functions.dates import month_label, up_to_month
 from arrears.operators.discrimination import auc
 from arrears.operators.ordered import SPLIT_ABOVE
-from arrears.operators.stability import population_stability
+from arrears.operators.stability import ScoreReference, fit_reference, population_stability
 from arrears.operators.summaries import monthly_rates
 from arrears.sources.tables import read_table, write_small
 
 
 def monitoring_table(
     predictions: DataFrame,
-    reference: DataFrame,
+    reference: DataFrame | ScoreReference,
     score: str = "prediction_score",
     reference_score: str = "score",
     execution_date: str | None = None,
@@ -25,15 +25,16 @@ def monitoring_table(
     """One row per label month: rates, average score, AUC, accuracy, PSI against the reference.
 
     Three grouped aggregates, each with one row per month, joined by month.
+    ``reference`` is a frame of scores, or what ``fit_reference`` made of one.
     """
+    if isinstance(reference, DataFrame):
+        reference = fit_reference(reference, reference_score, split_above=split_above)
     rows = predictions
     if execution_date is not None:
         rows = rows.filter(up_to_month(F.col(LABEL_SNAPSHOT), F.lit(execution_date).cast("date")))
     rows = rows.withColumn("label_month", month_label(F.col(LABEL_SNAPSHOT)))
     ranked = auc(rows, ["label_month"], score, split_above=split_above).select("label_month", "auc")
-    drift = population_stability(
-        rows, reference, score, ["label_month"], reference_score, split_above=split_above
-    ).select("label_month", "score_psi")
+    drift = population_stability(rows, reference, score, ["label_month"]).select("label_month", "score_psi")
     return (
         monthly_rates(rows)
         .join(ranked, "label_month", "left")

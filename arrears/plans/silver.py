@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from arrears.constants import (
     CLICK_COLUMNS,
@@ -23,49 +22,44 @@ from arrears.operators.schema import enforce_types
 KEYS = [CUSTOMER, SNAPSHOT]
 
 
-def _once_per_snapshot(bronze: DataFrame, columns: dict[str, Column], tie_break: Sequence[str]) -> DataFrame:
+def _once_per_snapshot(bronze: DataFrame, columns: dict[str, str], tie_break: Sequence[str]) -> DataFrame:
     """Project, keep one row per customer and snapshot, drop the tie-break columns."""
-    extra = [F.col(c).alias(f"_tie_{c}") for c in tie_break]
-    projected = bronze.select(*[expr.alias(name) for name, expr in columns.items()], *extra)
+    columns = {CUSTOMER: f"cast({CUSTOMER} AS string)", SNAPSHOT: f"try_cast({SNAPSHOT} AS date)"} | columns
+    extra = [f"{c} AS _tie_{c}" for c in tie_break]
+    projected = bronze.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()], *extra)
     kept = keep_first(projected, KEYS, [f"_tie_{c}" for c in tie_break])
-    return kept.select(*columns)
-
-
-def _keys() -> dict[str, Column]:
-    return {CUSTOMER: F.col(CUSTOMER).cast("string"), SNAPSHOT: F.col(SNAPSHOT).try_cast("date")}
+    return kept.drop(*[f"_tie_{c}" for c in tie_break])
 
 
 def silver_clickstream(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    columns = _keys() | {c: clean.numeric(F.col(c)) for c in CLICK_COLUMNS}
-    return _once_per_snapshot(bronze, columns, tie_break)
+    return _once_per_snapshot(bronze, {c: clean.numeric(c) for c in CLICK_COLUMNS}, tie_break)
 
 
 def silver_attributes(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    columns = _keys() | {
-        "Age": clean.clean_integer(F.col("Age")),
-        "Occupation": clean.sentinel_to_null(F.col("Occupation"), SENTINELS["Occupation"]),
+    columns = {
+        "Age": clean.clean_integer("Age"),
+        "Occupation": clean.sentinel_to_null("Occupation", SENTINELS["Occupation"]),
     }
     return _once_per_snapshot(bronze, columns, tie_break)
 
 
 def silver_financials(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     columns = (
-        _keys()
-        | {c: clean.clean_numeric(F.col(c)) for c in FINANCIAL_DOUBLES}
-        | {c: clean.clean_integer(F.col(c)) for c in FINANCIAL_INTEGERS}
-        | {"credit_history_months": clean.credit_history_months(F.col("Credit_History_Age"))}
+        {c: clean.clean_numeric(c) for c in FINANCIAL_DOUBLES}
+        | {c: clean.clean_integer(c) for c in FINANCIAL_INTEGERS}
+        | {"credit_history_months": clean.credit_history_months("Credit_History_Age")}
         | {
-            c: clean.sentinel_to_null(F.col(c), SENTINELS[c])
+            c: clean.sentinel_to_null(c, SENTINELS[c])
             for c in ("Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour")
         }
-        | {"has_type_of_loan": clean.non_blank_flag(F.col("Type_of_Loan"))}
+        | {"has_type_of_loan": clean.non_blank_flag("Type_of_Loan")}
     )
     return _once_per_snapshot(bronze, columns, tie_break)
 
 
-def days_past_due(overdue: Column, snapshot: Column, first_missed: Column) -> Column:
+def days_past_due(overdue: str, snapshot: str, first_missed: str) -> str:
     """Days since the first missed instalment while anything is overdue, else zero."""
-    return F.when(overdue > 0, F.coalesce(F.datediff(snapshot, first_missed), F.lit(0))).otherwise(0)
+    return f"CASE WHEN {overdue} > 0 THEN coalesce(datediff({snapshot}, {first_missed}), 0) ELSE 0 END"
 
 
 def silver_lms(bronze: DataFrame) -> DataFrame:
@@ -75,18 +69,16 @@ def silver_lms(bronze: DataFrame) -> DataFrame:
     """
     zero_filled = {c: 0 for c, kind in LEDGER_TYPES.items() if kind in ("int", "double")}
     ledger = enforce_types(bronze.select(*LEDGER_TYPES), LEDGER_TYPES).fillna(zero_filled)
-    missed = measures.ceil_ratio(F.col("overdue_amt"), F.col("due_amt"))
-    return (
-        ledger.withColumns({"mob": F.col("installment_num"), "installments_missed": missed})
-        .withColumn(
-            "first_missed_date",
-            F.when(
-                F.col("installments_missed") > 0,
-                F.add_months(F.col(SNAPSHOT), -F.col("installments_missed")),
-            ),
-        )
-        .withColumn("dpd", days_past_due(F.col("overdue_amt"), F.col(SNAPSHOT), F.col("first_missed_date")))
+    missed = ledger.selectExpr(
+        "*",
+        "installment_num AS mob",
+        f"{measures.ceil_ratio('overdue_amt', 'due_amt')} AS installments_missed",
+    )
+    dated = missed.selectExpr(
+        "*",
+        f"CASE WHEN installments_missed > 0 THEN add_months({SNAPSHOT}, -installments_missed) END AS first_missed_date",
     )
+    return dated.selectExpr("*", f"{days_past_due('overdue_amt', SNAPSHOT, 'first_missed_date')} AS dpd")
 
 
 BUILDERS: dict[str, Callable[..., DataFrame]] = {

@@ -12,6 +12,7 @@ from workload.fixtures import Inputs
 from workload.reference_sql import CATEGORICAL, FE, FINANCIAL_DOUBLE, FINANCIAL_INT, NUMERIC, clean_int, clean_num
 from workload.registry import query
 
+ROW = ["Customer_ID", "snapshot_date", "src_seq"]
 LEDGER = ["loan_id", "Customer_ID", "installment_num", "snapshot_date", "overdue_amt"]
 
 
@@ -83,9 +84,9 @@ _ROLES = (
 def feature_selection(spark, sf_dir):
     training = Inputs(spark, sf_dir).gold_training()
     roles = dict(schema.feature_roles(training).rows())
-    role_of = F.create_map(*[F.lit(x) for pair in roles.items() for x in pair])
-    return schema.column_profile(training).select(
-        "column_name", role_of[F.col("column_name")].alias("feature_role"), "non_null_rows"
+    role_of = ", ".join(f"'{name}', '{role}'" for name, role in roles.items())
+    return schema.column_profile(training).selectExpr(
+        "column_name", f"map({role_of})[column_name] AS feature_role", "non_null_rows"
     )
 
 
@@ -137,8 +138,8 @@ def coerce_numeric(spark, sf_dir):
     f"SELECT Customer_ID, snapshot_date, src_seq, {', '.join(f'{clean_num(c)} AS {c}' for c in FINANCIAL_DOUBLE)} FROM fx_financials",
 )
 def clean_numeric(spark, sf_dir):
-    return Inputs(spark, sf_dir).financials().select(
-        "Customer_ID", "snapshot_date", "src_seq", *[clean.clean_numeric(F.col(c)).alias(c) for c in FINANCIAL_DOUBLE]
+    return Inputs(spark, sf_dir).financials().selectExpr(
+        *ROW, *[f"{clean.clean_numeric(c)} AS {c}" for c in FINANCIAL_DOUBLE]
     )
 
 
@@ -147,8 +148,8 @@ def clean_numeric(spark, sf_dir):
     f"SELECT Customer_ID, snapshot_date, src_seq, {', '.join(f'{clean_int(c)} AS {c}' for c in FINANCIAL_INT)} FROM fx_financials",
 )
 def clean_integer(spark, sf_dir):
-    return Inputs(spark, sf_dir).financials().select(
-        "Customer_ID", "snapshot_date", "src_seq", *[clean.clean_integer(F.col(c)).alias(c) for c in FINANCIAL_INT]
+    return Inputs(spark, sf_dir).financials().selectExpr(
+        *ROW, *[f"{clean.clean_integer(c)} AS {c}" for c in FINANCIAL_INT]
     )
 
 
@@ -159,9 +160,8 @@ def clean_integer(spark, sf_dir):
     "FROM fx_financials",
 )
 def credit_history_months(spark, sf_dir):
-    return Inputs(spark, sf_dir).financials().select(
-        "Customer_ID", "snapshot_date", "src_seq",
-        clean.credit_history_months(F.col("Credit_History_Age")).alias("credit_history_months"),
+    return Inputs(spark, sf_dir).financials().selectExpr(
+        *ROW, f"{clean.credit_history_months('Credit_History_Age')} AS credit_history_months"
     )
 
 
@@ -173,9 +173,8 @@ def credit_history_months(spark, sf_dir):
 )
 def sentinel_to_null(spark, sf_dir):
     columns = [c for c in SENTINELS if c != "Occupation"]
-    return Inputs(spark, sf_dir).financials().select(
-        "Customer_ID", "snapshot_date", "src_seq",
-        *[clean.sentinel_to_null(F.col(c), SENTINELS[c]).alias(c) for c in columns],
+    return Inputs(spark, sf_dir).financials().selectExpr(
+        *ROW, *[f"{clean.sentinel_to_null(c, SENTINELS[c])} AS {c}" for c in columns]
     )
 
 
@@ -184,8 +183,8 @@ def sentinel_to_null(spark, sf_dir):
     "SELECT Customer_ID, snapshot_date, src_seq, CASE WHEN coalesce(trim(Type_of_Loan), '') = '' THEN 0 ELSE 1 END AS has_type_of_loan FROM fx_financials",
 )
 def non_blank_flag(spark, sf_dir):
-    return Inputs(spark, sf_dir).financials().select(
-        "Customer_ID", "snapshot_date", "src_seq", clean.non_blank_flag(F.col("Type_of_Loan")).alias("has_type_of_loan")
+    return Inputs(spark, sf_dir).financials().selectExpr(
+        *ROW, f"{clean.non_blank_flag('Type_of_Loan')} AS has_type_of_loan"
     )
 
 
@@ -246,18 +245,18 @@ def model_windows(spark, sf_dir):
 
 @query("safe_ratio", "SELECT loan_id, installment_num, snapshot_date, round(overdue_amt / nullif(due_amt, 0), 6) AS ratio FROM fx_lms")
 def safe_ratio(spark, sf_dir):
-    return Inputs(spark, sf_dir).lms().select(
-        "loan_id", "installment_num", "snapshot_date",
-        F.round(measures.safe_ratio(F.col("overdue_amt"), F.col("due_amt")), 6).alias("ratio"),
+    return Inputs(spark, sf_dir).lms().selectExpr(
+        "loan_id", "installment_num", "snapshot_date", f"round({measures.safe_ratio('overdue_amt', 'due_amt')}, 6) AS ratio"
     )
 
 
-# Every fifth customer-month lacks fe_1, to tell the two null rules apart.
-_GAPPY_SQL = [f"CASE WHEN src_seq % 5 <> 0 THEN fe_1 END", *FE[1:]]
+def _gappy(spark, sf_dir):
+    """Every fifth customer-month lacks fe_1, to tell the two null rules apart."""
+    clicks = Inputs(spark, sf_dir).clickstream()
+    return clicks.withColumn("fe_1", F.when(F.col("src_seq") % 5 != 0, F.col("fe_1")))
 
 
-def _gappy():
-    return [F.when(F.col("src_seq") % 5 != 0, F.col("fe_1")), *[F.col(c) for c in CLICK_COLUMNS[1:]]]
+_GAPPY_SQL = [f"CASE WHEN src_seq % 5 <> 0 THEN fe_1 END", *FE[1:]]
 
 
 @query(
@@ -266,10 +265,10 @@ def _gappy():
     f"round(({' + '.join(_GAPPY_SQL)}) / 20, 6) AS mean_complete FROM fx_clickstream",
 )
 def row_mean(spark, sf_dir):
-    return Inputs(spark, sf_dir).clickstream().select(
-        "Customer_ID", "snapshot_date", "src_seq",
-        F.round(measures.row_mean(_gappy()), 6).alias("mean_present"),
-        F.round(measures.row_mean(_gappy(), skip_nulls=False), 6).alias("mean_complete"),
+    return _gappy(spark, sf_dir).selectExpr(
+        *ROW,
+        f"round({measures.row_mean(CLICK_COLUMNS)}, 6) AS mean_present",
+        f"round({measures.row_mean(CLICK_COLUMNS, skip_nulls=False)}, 6) AS mean_complete",
     )
 
 
@@ -278,9 +277,8 @@ def row_mean(spark, sf_dir):
     f"SELECT Customer_ID, snapshot_date, src_seq, list_min([{', '.join(_GAPPY_SQL)}]) AS row_min, list_max([{', '.join(_GAPPY_SQL)}]) AS row_max FROM fx_clickstream",
 )
 def row_min_max(spark, sf_dir):
-    return Inputs(spark, sf_dir).clickstream().select(
-        "Customer_ID", "snapshot_date", "src_seq",
-        measures.row_min(_gappy()).alias("row_min"), measures.row_max(_gappy()).alias("row_max"),
+    return _gappy(spark, sf_dir).selectExpr(
+        *ROW, f"{measures.row_min(CLICK_COLUMNS)} AS row_min", f"{measures.row_max(CLICK_COLUMNS)} AS row_max"
     )
 
 
@@ -291,9 +289,8 @@ def row_min_max(spark, sf_dir):
     f"FROM (SELECT *, {clean_int('Age')} AS a FROM fx_attributes)",
 )
 def age_bucket(spark, sf_dir):
-    return Inputs(spark, sf_dir).attributes().select(
-        "Customer_ID", "snapshot_date", "src_seq", measures.age_bucket(clean.clean_integer(F.col("Age"))).alias("age_bucket")
-    )
+    aged = Inputs(spark, sf_dir).attributes().selectExpr(*ROW, f"{clean.clean_integer('Age')} AS Age")
+    return aged.selectExpr(*ROW, f"{measures.age_bucket('Age')} AS age_bucket")
 
 
 @query(
@@ -302,8 +299,8 @@ def age_bucket(spark, sf_dir):
     "WHEN prediction_score <= 0.6 THEN '40-60' WHEN prediction_score <= 0.8 THEN '60-80' ELSE '80-100' END AS score_band FROM fx_scores",
 )
 def score_band(spark, sf_dir):
-    return Inputs(spark, sf_dir).scores().select(
-        "loan_id", "ship_date", "prediction_score", measures.score_band(F.col("prediction_score")).alias("score_band")
+    return Inputs(spark, sf_dir).scores().selectExpr(
+        "loan_id", "ship_date", "prediction_score", f"{measures.score_band('prediction_score')} AS score_band"
     )
 
 
@@ -328,11 +325,11 @@ def null_fill(spark, sf_dir):
     "round(ln(least(0.9999, greatest(0.0001, prediction_score)) / (1 - least(0.9999, greatest(0.0001, prediction_score)))), 6) AS log_odds FROM fx_scores",
 )
 def sigmoid(spark, sf_dir):
-    score = F.col("prediction_score")
-    return Inputs(spark, sf_dir).scores().select(
-        "loan_id", "ship_date",
-        F.round(measures.sigmoid(score * 80 - 40), 6).alias("probability"),
-        F.round(measures.log_odds(score), 6).alias("log_odds"),
+    return Inputs(spark, sf_dir).scores().selectExpr(
+        "loan_id",
+        "ship_date",
+        f"round({measures.sigmoid('prediction_score * 80 - 40')}, 6) AS probability",
+        f"round({measures.log_odds('prediction_score')}, 6) AS log_odds",
     )
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.constants import CLICK_COLUMNS
-from arrears.functions.dates import month_start
 from arrears.plans import gold, silver
 
 TIE_BREAK = ["src_seq"]
 
+CUSTOMER_ID = "concat('CUS_', o_custkey)"
+MONTH = "trunc(cast(o_orderdate AS date), 'MM')"
+KEYS = [f"{CUSTOMER_ID} AS Customer_ID", f"{MONTH} AS snapshot_date", "o_orderkey AS src_seq"]
+
 
 class Inputs:
     """Lazy frames over one data folder; nothing runs until a query does."""
@@ -24,93 +27,64 @@ class Inputs:
 
     # -- bronze ------------------------------------------------------------
 
-    @staticmethod
-    def _customer() -> Column:
-        return F.concat(F.lit("CUS_"), F.col("o_custkey").cast("string"))
-
-    @staticmethod
-    def _month() -> Column:
-        return month_start(F.col("o_orderdate").cast("date"))
-
     def lms(self) -> DataFrame:
-        returned = F.col("l_returnflag") == "R"
-        price, line = F.col("l_extendedprice"), F.col("l_linenumber")
         joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return joined.select(
-            F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("loan_id"),
-            self._customer().alias("Customer_ID"),
-            self._month().alias("loan_start_date"),
-            F.lit(10).alias("tenure"),
-            line.alias("installment_num"),
-            price.alias("loan_amt"),
-            F.when(F.col("l_quantity") <= 1, 0.0).otherwise(price / 10).alias("due_amt"),
-            F.when(returned, 0.0).otherwise(price / 10).alias("paid_amt"),
-            F.when(returned, price * F.col("l_discount") * 3).otherwise(0.0).alias("overdue_amt"),
-            (price * (10 - line) / 10).alias("balance"),
-            F.add_months(self._month(), line).alias("snapshot_date"),
+        return joined.selectExpr(
+            "concat('L', l_orderkey) AS loan_id",
+            f"{CUSTOMER_ID} AS Customer_ID",
+            f"{MONTH} AS loan_start_date",
+            "10 AS tenure",
+            "l_linenumber AS installment_num",
+            "l_extendedprice AS loan_amt",
+            "CASE WHEN l_quantity <= 1 THEN 0D ELSE l_extendedprice / 10 END AS due_amt",
+            "CASE WHEN l_returnflag = 'R' THEN 0D ELSE l_extendedprice / 10 END AS paid_amt",
+            "CASE WHEN l_returnflag = 'R' THEN l_extendedprice * l_discount * 3 ELSE 0D END AS overdue_amt",
+            "l_extendedprice * (10 - l_linenumber) / 10 AS balance",
+            f"add_months({MONTH}, l_linenumber) AS snapshot_date",
         )
 
-    def _keys(self) -> list[Column]:
-        return [
-            self._customer().alias("Customer_ID"),
-            self._month().alias("snapshot_date"),
-            F.col("o_orderkey").alias("src_seq"),
-        ]
-
     def clickstream(self) -> DataFrame:
         joined = self.table("orders").join(self.table("embeddings"), F.col("vec_id") == F.col("o_custkey") % 500)
-        clicks = [F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(CLICK_COLUMNS)]
-        return joined.select(*self._keys(), *clicks)
+        clicks = [f"cast(embedding[{i}] AS double) AS {c}" for i, c in enumerate(CLICK_COLUMNS)]
+        return joined.selectExpr(*KEYS, *clicks)
 
     def _orders_with_customer(self) -> DataFrame:
         return self.table("orders").join(self.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
 
     def attributes(self) -> DataFrame:
-        key = F.col("o_custkey")
-        return self._orders_with_customer().select(
-            *self._keys(),
-            F.col("c_name").alias("Name"),
-            F.lit("000-00-0000").alias("SSN"),
-            F.concat((key % 50 + 18).cast("string"), F.when(key % 7 == 0, "_").otherwise("")).alias("Age"),
-            F.when(key % 11 == 0, "_").otherwise(F.col("c_mktsegment")).alias("Occupation"),
+        return self._orders_with_customer().selectExpr(
+            *KEYS,
+            "c_name AS Name",
+            "'000-00-0000' AS SSN",
+            "concat(18 + o_custkey % 50, if(o_custkey % 7 = 0, '_', '')) AS Age",
+            "if(o_custkey % 11 = 0, '_', c_mktsegment) AS Occupation",
         )
 
     def financials(self) -> DataFrame:
-        k, total = F.col("o_orderkey"), F.col("o_totalprice")
-
-        def text(c: Column) -> Column:
-            return c.cast("string")
-
-        def marked(c: Column, every: int) -> Column:
-            return F.concat(text(c), F.when(k % every == 0, "_").otherwise(""))
-
+        k = "o_orderkey"
         columns = {
-            "Annual_Income": marked(total, 9),
-            "Monthly_Inhand_Salary": F.when(k % 23 == 0, "0").otherwise(text(total / 16)),
-            "Num_Bank_Accounts": text(k % 10),
-            "Num_Credit_Card": text(k % 8),
-            "Interest_Rate": text(k % 30),
-            "Num_of_Loan": marked(k % 6, 13),
-            "Delay_from_due_date": text(k % 60 - 5),
-            "Num_of_Delayed_Payment": text(k % 25),
-            "Changed_Credit_Limit": F.when(k % 17 == 0, "_").otherwise(text(k % 20)),
-            "Num_Credit_Inquiries": text(k % 12),
-            "Credit_Mix": F.when(k % 5 == 0, "_").otherwise(F.col("o_orderpriority")),
-            "Outstanding_Debt": text(F.col("c_acctbal")),
-            "Credit_Utilization_Ratio": text(k % 45),
-            "Credit_History_Age": F.concat(
-                text(F.col("o_custkey") % 30), F.lit(" Years and "), text(k % 12), F.lit(" Months")
-            ),
-            "Payment_of_Min_Amount": F.when(F.col("o_orderstatus") == "P", "NM")
-            .when(F.col("o_orderstatus") == "F", "Yes")
-            .otherwise("No"),
-            "Total_EMI_per_month": text(k % 300),
-            "Amount_invested_monthly": text(k % 400),
-            "Payment_Behaviour": F.when(k % 13 == 0, "!@9#%8").otherwise(F.concat(F.lit("B"), text(k % 4))),
-            "Monthly_Balance": text(k % 700),
-            "Type_of_Loan": F.when(k % 4 == 0, "").when(k % 4 == 1, None).otherwise("Auto Loan"),
+            "Annual_Income": f"concat(o_totalprice, if({k} % 9 = 0, '_', ''))",
+            "Monthly_Inhand_Salary": f"if({k} % 23 = 0, '0', cast(o_totalprice / 16 AS string))",
+            "Num_Bank_Accounts": f"cast({k} % 10 AS string)",
+            "Num_Credit_Card": f"cast({k} % 8 AS string)",
+            "Interest_Rate": f"cast({k} % 30 AS string)",
+            "Num_of_Loan": f"concat({k} % 6, if({k} % 13 = 0, '_', ''))",
+            "Delay_from_due_date": f"cast({k} % 60 - 5 AS string)",
+            "Num_of_Delayed_Payment": f"cast({k} % 25 AS string)",
+            "Changed_Credit_Limit": f"if({k} % 17 = 0, '_', cast({k} % 20 AS string))",
+            "Num_Credit_Inquiries": f"cast({k} % 12 AS string)",
+            "Credit_Mix": f"if({k} % 5 = 0, '_', o_orderpriority)",
+            "Outstanding_Debt": "cast(c_acctbal AS string)",
+            "Credit_Utilization_Ratio": f"cast({k} % 45 AS string)",
+            "Credit_History_Age": f"concat(o_custkey % 30, ' Years and ', {k} % 12, ' Months')",
+            "Payment_of_Min_Amount": "CASE o_orderstatus WHEN 'P' THEN 'NM' WHEN 'F' THEN 'Yes' ELSE 'No' END",
+            "Total_EMI_per_month": f"cast({k} % 300 AS string)",
+            "Amount_invested_monthly": f"cast({k} % 400 AS string)",
+            "Payment_Behaviour": f"if({k} % 13 = 0, '!@9#%8', concat('B', {k} % 4))",
+            "Monthly_Balance": f"cast({k} % 700 AS string)",
+            "Type_of_Loan": f"CASE {k} % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'Auto Loan' END",
         }
-        return self._orders_with_customer().select(*self._keys(), *[c.alias(n) for n, c in columns.items()])
+        return self._orders_with_customer().selectExpr(*KEYS, *[f"{e} AS {n}" for n, e in columns.items()])
 
     def raw(self) -> dict[str, DataFrame]:
         return {
@@ -121,15 +95,12 @@ class Inputs:
         }
 
     def scores(self) -> DataFrame:
-        ship = F.col("l_shipdate").cast("date")
-        return self.table("lineitem").select(
-            F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("loan_id"),
-            month_start(ship).alias("label_snapshot_date"),
-            (F.col("l_returnflag") == "R").cast("int").alias("label"),
-            (((F.col("l_partkey") * 7 + F.col("l_suppkey") * 13) % 1000).cast("double") / 1000).alias(
-                "prediction_score"
-            ),
-            ship.alias("ship_date"),
+        return self.table("lineitem").selectExpr(
+            "concat('L', l_orderkey) AS loan_id",
+            "trunc(cast(l_shipdate AS date), 'MM') AS label_snapshot_date",
+            "cast(l_returnflag = 'R' AS int) AS label",
+            "cast((l_partkey * 7 + l_suppkey * 13) % 1000 AS double) / 1000 AS prediction_score",
+            "cast(l_shipdate AS date) AS ship_date",
         )
 
     def predictions(self) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from arrears.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from arrears.functions import measures
+from arrears.functions.clean import quoted
 from arrears.operators import discrimination, features, joins, splits, stability, summaries
 from arrears.operators.dedup import keep_first
 from arrears.operators.upsert import merge_keep_last
@@ -15,7 +16,7 @@ from workload.registry import query
 
 
 def _rounded(df, *columns, digits=6):
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.selectExpr(*[f"round(`{c}`, {digits}) AS `{c}`" if c in columns else f"`{c}`" for c in df.columns])
 
 
 # -- silver and gold -------------------------------------------------------
@@ -260,9 +261,9 @@ def frequent_one_hot(spark, sf_dir):
     levels = features.collect_levels(features.category_levels(training, CATEGORICAL_FEATURES))
     encoded = features.frequent_one_hot(training, levels)
     named = [(features.one_hot_name(c, i), c, level) for c, names in levels.items() for i, level in enumerate(names)]
-    sums = encoded.agg(*[F.sum(n).alias(n) for n, _, _ in named])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(level).alias("level"), F.col(n).alias("ones")) for n, c, level in named]
-    return sums.select(F.inline(F.array(*rows)))
+    sums = encoded.selectExpr(*[f"sum(`{n}`) AS `{n}`" for n, _, _ in named])
+    rows = [f"named_struct('column_name', '{c}', 'level', {quoted(level)}, 'ones', `{n}`)" for n, c, level in named]
+    return sums.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 @query(
@@ -286,7 +287,7 @@ def rank_auc_by_month(spark, sf_dir):
 @query("gini", "SELECT label_month, round(2 * auc - 1, 3) AS gini FROM month_auc")
 def gini(spark, sf_dir):
     scores = Inputs(spark, sf_dir).scores().withColumn("label_month", F.date_format("label_snapshot_date", "yyyy-MM"))
-    return discrimination.auc(scores, ["label_month"]).select("label_month", measures.gini(F.col("auc"), 3).alias("gini"))
+    return discrimination.auc(scores, ["label_month"]).selectExpr("label_month", f"{measures.gini('auc', 3)} AS gini")
 
 
 _AP_SQL = """
@@ -338,7 +339,7 @@ def quantile_cuts(spark, sf_dir):
 @query("score_histogram", "SELECT label_month, bin::INTEGER AS bin, count(*) AS n FROM binned_scores GROUP BY 1, 2")
 def score_histogram(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
-    cuts = stability.quantile_cuts(inputs.reference_scores(), "score")
+    cuts = stability.fit_reference(inputs.reference_scores()).cuts
     scores = inputs.scores().withColumn("label_month", F.date_format("label_snapshot_date", "yyyy-MM"))
     return stability.histogram(scores, cuts, "prediction_score", ["label_month"])
 
@@ -351,7 +352,8 @@ def score_histogram(spark, sf_dir):
 def score_psi(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     scores = inputs.scores().withColumn("label_month", F.date_format("label_snapshot_date", "yyyy-MM"))
-    psi = stability.population_stability(scores, inputs.reference_scores(), "prediction_score", ["label_month"], "score")
+    reference = stability.fit_reference(inputs.reference_scores())
+    psi = stability.population_stability(scores, reference, "prediction_score", ["label_month"])
     return _rounded(psi, "score_psi")
 
 
