@@ -24,10 +24,18 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 
 def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast the named columns in one projection; what does not parse becomes null."""
+    """Cast the named columns in one projection; what does not parse becomes null.
+
+    Columns that have the type already pass through untouched, which keeps
+    plans of stacked projections small.
+    """
     require_columns(df, types)
+    present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return df.selectExpr(
-        *[f"try_cast(`{c}` AS {types[c]}) AS `{c}`" if c in types else f"`{c}`" for c in df.columns]
+        *[
+            f"try_cast(`{c}` AS {types[c]}) AS `{c}`" if c in types and types[c] != present[c] else f"`{c}`"
+            for c in df.columns
+        ]
     )
 
 

@@ -18,7 +18,8 @@ def quantile_cuts(
     """One row, ``cuts``: distinct exact quantiles, or equal steps on [0, 1] when fewer than three differ."""
     probabilities = [i / bins for i in range(bins + 1)]
     quantiles = exact_quantiles(reference, [], score, probabilities, split_above)
-    equal = ", ".join(f"{p!r}D" for p in probabilities)
+    # Multiples of the step, whose rounding decides where a score on an edge goes.
+    equal = ", ".join(f"{i * (1 / bins)!r}D" for i in range(bins)) + ", 1D"
     distinct = "array_sort(array_distinct(filter(quantiles, x -> x IS NOT NULL)))"
     return quantiles.selectExpr(f"CASE WHEN size({distinct}) < 3 THEN array({equal}) ELSE {distinct} END AS cuts")
 

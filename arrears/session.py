@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Recording a Python stack per column call costs more than planning small queries.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
