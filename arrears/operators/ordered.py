@@ -28,13 +28,19 @@ def value_counts(
     return df.groupBy(*groups, value).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
 
 
-def range_cuts(df: DataFrame, groups: Sequence[str], value: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
+def range_cuts(
+    df: DataFrame, groups: Sequence[str], value: str, split_above: int = SPLIT_ABOVE
+) -> DataFrame | None:
     """255 ascending cut points per group that has more than ``split_above`` distinct values.
 
-    One narrow scan with sketches, no shuffle of rows. The cuts are written
+    ``None`` when no group has even that many rows, which a count tells. Else
+    one narrow scan with sketches, no shuffle of rows. The cuts are written
     out: a sketch may merge differently when it is computed again, and every
     branch of a plan has to use the same cuts.
     """
+    rows = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
+    if rows.filter(F.col("_rows") > split_above).isEmpty():
+        return None
     probabilities = [i / RANGES for i in range(1, RANGES)]
     cuts = (
         df.groupBy(*groups)
@@ -74,11 +80,21 @@ def running_totals(
     groups = list(groups)
     present = df.dropna(subset=[*groups, value])
     cuts = range_cuts(present.select(*groups, value), groups, value, split_above)
-    counts = _with_range(value_counts(present, groups, value, sums), groups, value, cuts)
+    counts = value_counts(present, groups, value, sums)
+    in_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
+    if cuts is None:
+        smaller = in_group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(
+            *groups,
+            value,
+            *sums,
+            *[F.coalesce(F.sum(s).over(smaller), F.lit(0)).alias(f"{s}_below") for s in sums],
+            *[F.sum(s).over(in_group).alias(f"{s}_total") for s in sums],
+        )
 
+    counts = _with_range(counts, groups, value, cuts)
     # At most RANGES rows per group.
     per_range = counts.groupBy(*groups, "_range").agg(*[F.sum(s).alias(s) for s in sums])
-    in_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
     before = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
         *groups,

@@ -10,6 +10,7 @@ from arrears.operators.dedup import keep_first
 from arrears.operators.upsert import merge_keep_last
 from arrears.plans import monitoring
 from arrears.plans.training import champion
+from arrears.session import materialise
 from workload.fixtures import Inputs
 from workload.reference_sql import CATEGORICAL, FE, NUMERIC
 from workload.registry import query
@@ -229,7 +230,8 @@ def monitor_monthly(spark, sf_dir):
     "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, round(quantile_cont(cast({c} AS DOUBLE), 0.5), 6) AS median FROM gold_training" for c in NUMERIC),
 )
 def column_medians(spark, sf_dir):
-    return _rounded(features.column_medians(Inputs(spark, sf_dir).gold_training(), NUMERIC_FEATURES), "median")
+    training = materialise(Inputs(spark, sf_dir).gold_training().select(*NUMERIC_FEATURES), "training_numbers")
+    return _rounded(features.column_medians(training, NUMERIC_FEATURES), "median")
 
 
 @query(
@@ -257,7 +259,7 @@ def category_levels(spark, sf_dir):
 
 @query("frequent_one_hot", f"SELECT column_name, level, cast(row_count AS DOUBLE) AS ones FROM ({_LEVELS_SQL})")
 def frequent_one_hot(spark, sf_dir):
-    training = Inputs(spark, sf_dir).gold_training()
+    training = materialise(Inputs(spark, sf_dir).gold_training().select(*CATEGORICAL_FEATURES), "training_categories")
     levels = features.collect_levels(features.category_levels(training, CATEGORICAL_FEATURES))
     encoded = features.frequent_one_hot(training, levels)
     named = [(features.one_hot_name(c, i), c, level) for c, names in levels.items() for i, level in enumerate(names)]
