@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+SESSION_KEY = "spark.arrears.scratch.session"
+
 
 def build_session(app: str = "arrears", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library is tuned for; keyword values win."""
@@ -32,23 +34,41 @@ def build_session(app: str = "arrears", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Where that is unset, a folder in the warehouse, which executors share too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="arrears-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
+
+
+def session_dir(spark: SparkSession) -> str:
+    """This session's own folder below the shared one; removed when the driver's Python ends."""
+    known = spark.conf.get(SESSION_KEY, None)
+    if not known:
+        known = f"{shared_dir(spark)}/arrears/{uuid.uuid4().hex}"
+        spark.conf.set(SESSION_KEY, known)
+        atexit.register(_drop_at_exit, spark, known)
+    return known
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path nothing else uses, below the shared folder."""
-    return f"{shared_dir(spark)}/arrears/{uuid.uuid4().hex}/{name}"
+    """A path nothing else uses, below the session's folder."""
+    return f"{session_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a stage that nothing reads any more."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        drop_path(spark, path)
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
