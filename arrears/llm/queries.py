@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arrears.llm import prefix_bpe
+from arrears.llm import pivotal_mix, prefix_bpe, risk_rules, separator_scan, simhash_balls, token_files
 from arrears.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +17,8 @@ ORACLE_SQL: dict[str, str] = {}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
+#: Free id above the ranks.
+END_OF_DOCUMENT = 50_256
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -23,6 +26,34 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = pivotal_mix.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op5_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_balls.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op6_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = risk_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(read_table(spark, sf_dir, "documents"), TOKENIZER, 2)
+
+
+@query
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = separator_scan.token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN, END_OF_DOCUMENT)
+    return counts.select("doc_id", "n_tokens")
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
