@@ -4,34 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import pivotal_mix, prefix_bpe, risk_rules, separator_scan, simhash_balls, token_files
+from arrears.llm import attention_quality, deep_shallow, oracle, pivotal_mix, prefix_bpe, risk_rules, separator_scan, simhash_balls, skip_chain, token_files, uniform_threshold
 from arrears.llm.common import read_table
+from arrears.llm.settings import END_OF_DOCUMENT, PATTERN, RANKS, TOKENIZER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-PATTERN = public_tokenizers.PATTERN
-#: Free id above the ranks.
-END_OF_DOCUMENT = 50_256
-
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op1_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return skip_chain.personal_data(docs, skip_chain.train(docs))
+
+
+@query
+def op2_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return uniform_threshold.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pivotal_mix.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query
+def op4_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deep_shallow.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_balls.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -58,3 +69,18 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return prefix_bpe.encode_texts(docs, RANKS, PATTERN)
+
+
+@query
+def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return attention_quality.score(docs, attention_quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+ORACLE_SQL["op2_uniform_threshold"] = oracle.TOP_K
+ORACLE_SQL["op6_risk_rules"] = oracle.risk_rules()

@@ -7,7 +7,8 @@ import pytest
 import tiktoken
 
 from arrears.llm.prefix_bpe import PrefixTable, Vocabulary, codec, encode_texts
-from arrears.llm.queries import PATTERN, RANKS, op9_byte_bpe
+from arrears.llm.queries import op9_byte_bpe
+from arrears.llm.settings import PATTERN, RANKS
 
 
 @pytest.fixture(scope="module")

@@ -5,8 +5,9 @@ import pytest
 import tiktoken
 
 from arrears.llm.prefix_bpe import Vocabulary
-from arrears.llm.queries import END_OF_DOCUMENT, PATTERN, RANKS, op8_separator_scan
+from arrears.llm.queries import op8_separator_scan
 from arrears.llm.separator_scan import scan_flat_files, spell, token_counts, unspell, write_flat_files
+from arrears.llm.settings import END_OF_DOCUMENT, PATTERN, RANKS
 from arrears.session import scratch_path
 
 

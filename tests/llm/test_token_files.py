@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from arrears.llm.queries import TOKENIZER, op7_token_files
+from arrears.llm.queries import op7_token_files
+from arrears.llm.settings import TOKENIZER
 from arrears.llm.token_files import Segment, token_files, write_segment
 
 
