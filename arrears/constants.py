@@ -163,3 +163,7 @@ PII_COLUMNS = ["Name", "SSN"]
 
 SCORE_BANDS = [(0.2, "00-20"), (0.4, "20-40"), (0.6, "40-60"), (0.8, "60-80"), (1.001, "80-100")]
 SCORE_BAND_FLOOR = -0.001
+
+# Fixed: settings of the validation model.
+VALIDATION_MAX_ITER = 30
+VALIDATION_REG_PARAM = 0.05

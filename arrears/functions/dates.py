@@ -32,6 +32,11 @@ def in_month(c: Column, day: Column) -> Column:
     return (c >= first) & (c < F.add_months(first, 1))
 
 
+def before(column: Column, day: Column) -> Column:
+    """Strictly earlier than a day; null is not."""
+    return column < day
+
+
 def up_to_month(c: Column, day: Column) -> Column:
     return c < F.add_months(month_start(day), 1)
 

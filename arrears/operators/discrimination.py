@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions.measures import gini, to_class
-from arrears.operators.ordered import SPLIT_ABOVE, running_totals
+from arrears.operators.ordered import ROWS_PER_RANGE, running_totals
 
 
 def ranking_metrics(
@@ -16,7 +16,7 @@ def ranking_metrics(
     groups: Sequence[str] = (),
     score: str = "prediction_score",
     label: str = "label",
-    split_above: int = SPLIT_ABOVE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Per group ``n_rows``, ``n_positive``, ``auc``, ``gini`` and ``average_precision``.
 
@@ -27,7 +27,7 @@ def ranking_metrics(
     """
     labelled = df.filter(F.col(label).isNotNull())
     sums = {"n": F.lit(1), "pos": F.col(label).cast("bigint")}
-    ranked = running_totals(labelled, groups, score, sums, split_above)
+    ranked = running_totals(labelled, groups, score, sums, rows_per_range)
     mid_rank = F.col("n_below") + (F.col("n") + 1) / F.lit(2.0)
     taken = F.col("n_total") - F.col("n_below")
     hits = F.col("pos_total") - F.col("pos_below")

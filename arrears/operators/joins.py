@@ -1,4 +1,4 @@
-"""Joins of a many side with a side that is unique on the join key."""
+"""Joins of labels with features, and of features with each other."""
 
 from __future__ import annotations
 
@@ -9,60 +9,6 @@ from pyspark.sql import functions as F
 
 from arrears.constants import CUSTOMER, FEATURE_SNAPSHOT, LABEL_SNAPSHOT, SNAPSHOT
 
-# A key is split off once it holds this many rows; at most MAX_HOT_KEYS are.
-HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-TRACKED_KEYS = 10_000
-
-
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Hashes of the heaviest join keys, at most ``max_keys`` rows.
-
-    Found with a heavy-hitter sketch, so nothing is shuffled by key. Being
-    approximate it only decides which way a row travels, never the result.
-    """
-    tracked = max(TRACKED_KEYS, max_keys)
-    sketch = df.select(F.xxhash64(*keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {max_keys}, {tracked})").alias("top")
-    )
-    return (
-        sketch.select(F.explode("top").alias("t"))
-        .filter(F.col("t.count") >= min_rows)
-        .select(F.col("t.item").alias("_hot"))
-    )
-
-
-def join_to_unique(
-    many: DataFrame,
-    one: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    hot_key_rows: int | None = HOT_KEY_ROWS,
-) -> DataFrame:
-    """Equi-join where ``one`` has at most one row per key; ``how`` is inner or left.
-
-    Rows of hot keys never move: they meet the matching rows of ``one`` in a
-    broadcast join. That broadcast is bounded by construction, as ``one`` is
-    unique on the key and at most ``MAX_HOT_KEYS`` keys are hot. All other
-    rows take an ordinary join. With no hot key adaptive execution finds the
-    hot branch empty and drops it. ``hot_key_rows=None`` skips the split.
-    """
-    keys = list(keys)
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type: {how}")
-    if hot_key_rows is None:
-        return many.join(one, keys, how)
-
-    hot = F.broadcast(hot_key_hashes(many, keys, hot_key_rows))
-
-    def on_hot(df: DataFrame, kind: str) -> DataFrame:
-        hashed = df.withColumn("_h", F.xxhash64(*keys))
-        return hashed.join(hot, hashed["_h"] == hot["_hot"], kind).drop("_h")
-
-    cold_rows = on_hot(many, "left_anti").join(one, keys, how)
-    hot_rows = on_hot(many, "left_semi").join(F.broadcast(on_hot(one, "left_semi")), keys, how)
-    return cold_rows.unionByName(hot_rows)
-
 
 def join_snapshots(frames: Sequence[DataFrame], keys: Sequence[str] = (CUSTOMER, SNAPSHOT)) -> DataFrame:
     """Inner join of frames that are all unique on the same key.
@@ -76,25 +22,22 @@ def join_snapshots(frames: Sequence[DataFrame], keys: Sequence[str] = (CUSTOMER,
     return first
 
 
-def join_point_in_time(
-    labels: DataFrame, features: DataFrame, hot_key_rows: int | None = HOT_KEY_ROWS
-) -> DataFrame:
+def join_point_in_time(labels: DataFrame, features: DataFrame) -> DataFrame:
     """Labels with the features known on the day the loan started.
 
-    ``features`` is unique on (customer, snapshot). The day of the features
+    A customer with very many loans is a skewed key of a plain join, which
+    adaptive execution splits. ``features`` is unique on (customer, snapshot). The day of the features
     stays in the result as ``feature_snapshot_date``.
     """
     as_of = features.withColumnRenamed(SNAPSHOT, "loan_start_date")
-    joined = join_to_unique(labels, as_of, [CUSTOMER, "loan_start_date"], "inner", hot_key_rows)
+    joined = labels.join(as_of, [CUSTOMER, "loan_start_date"])
     feature_columns = [c for c in features.columns if c not in (CUSTOMER, SNAPSHOT)]
     return joined.select(*labels.columns, F.col("loan_start_date").alias(FEATURE_SNAPSHOT), *feature_columns)
 
 
-def join_label_month(
-    labels: DataFrame, features: DataFrame, hot_key_rows: int | None = HOT_KEY_ROWS
-) -> DataFrame:
+def join_label_month(labels: DataFrame, features: DataFrame) -> DataFrame:
     """Labels with the features of the label month; labels without any keep nulls."""
     same_month = features.withColumnRenamed(SNAPSHOT, LABEL_SNAPSHOT)
-    joined = join_to_unique(labels, same_month, [CUSTOMER, LABEL_SNAPSHOT], "left", hot_key_rows)
+    joined = labels.join(same_month, [CUSTOMER, LABEL_SNAPSHOT], "left")
     feature_columns = [c for c in features.columns if c not in (CUSTOMER, SNAPSHOT)]
     return joined.select(*labels.columns, *feature_columns)

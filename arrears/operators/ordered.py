@@ -1,10 +1,10 @@
 """Exact order statistics of groups too big for one task.
 
 Equal values are summed up first, so a value held by a third of all rows is
-one row. The distinct values of a big group are then cut into ranges of at
-most about 1/256 of its rows, each range is ordered on its own, and the totals
-of the ranges below are added. No task ever sees a whole big group, nothing
-is collected, and results do not depend on where the cuts fall.
+one row. The values of every group are then cut into ranges whose number grows
+with the rows of the largest group, each range is ordered on its own, and the
+totals of the ranges below are added. No task ever sees a whole big group,
+only one number is collected, and results do not depend on where the cuts fall.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from arrears.session import materialise
 
-RANGES = 256
-# Groups with fewer distinct values than this are ordered in one go.
-SPLIT_ABOVE = 2_000_000
+# Rows that one range should hold.
+ROWS_PER_RANGE = 1_000_000
 
 
 def value_counts(
@@ -28,37 +27,29 @@ def value_counts(
     return df.groupBy(*groups, value).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
 
 
-def range_cuts(
-    df: DataFrame, groups: Sequence[str], value: str, split_above: int = SPLIT_ABOVE
-) -> DataFrame | None:
-    """255 ascending cut points per group that has more than ``split_above`` distinct values.
+def range_cuts(df: DataFrame, groups: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
+    """Ascending cut points per group, and the number of ranges they make, a power of two.
 
-    ``None`` when no group has even that many rows, which a count tells. Else
-    one narrow scan with sketches, no shuffle of rows. The cuts are written
-    out: a sketch may merge differently when it is computed again, and every
-    branch of a plan has to use the same cuts.
+    The number follows from the rows of the largest group. One narrow scan with
+    sketches, no shuffle of rows. The cuts are written out: a sketch may merge
+    differently when it is computed again, and every branch of a plan has to
+    use the same cuts.
     """
-    rows = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
-    if rows.filter(F.col("_rows") > split_above).isEmpty():
-        return None
-    probabilities = [i / RANGES for i in range(1, RANGES)]
-    cuts = (
-        df.groupBy(*groups)
-        .agg(
-            F.approx_count_distinct(value).alias("_values"),
-            F.percentile_approx(value, probabilities, 10_000).alias("_cuts"),
-        )
-        .filter(F.col("_values") > split_above)
-        .select(*groups, "_cuts")
-    )
-    return materialise(cuts, "range_cuts")
-
-
-def _with_range(df: DataFrame, groups: Sequence[str], value: str, cuts: DataFrame) -> DataFrame:
-    """Number of cuts at or below the value, by bisection; 0 for groups without cuts."""
-    df = df.join(cuts, list(groups), "left") if groups else df.withColumn("_cuts", cuts.scalar())
+    most = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+    ranges = 2
+    while ranges * rows_per_range < most:
+        ranges *= 2
+    probabilities = [i / ranges for i in range(1, ranges)]
+    accuracy = max(10_000, 10 * ranges)
+    cuts = df.groupBy(*groups).agg(F.percentile_approx(value, probabilities, accuracy).alias("_cuts"))
+    return materialise(cuts, "range_cuts"), ranges
+
+
+def _with_range(df: DataFrame, groups: Sequence[str], value: str, cuts: DataFrame, ranges: int) -> DataFrame:
+    """Number of cuts at or below the value, by bisection."""
+    df = df.join(cuts, list(groups)) if groups else df.withColumn("_cuts", cuts.scalar())
     columns = [f"`{c}`" for c in df.columns]
-    reached, step = "0", RANGES // 2
+    reached, step = "0", ranges // 2
     while step >= 1:
         df = df.selectExpr(*columns, f"{reached} + if(`{value}` >= get(_cuts, {reached} + {step - 1}), {step}, 0) AS _range")
         reached, step = "_range", step // 2
@@ -70,7 +61,7 @@ def running_totals(
     groups: Sequence[str],
     value: str,
     sums: Mapping[str, Column],
-    split_above: int = SPLIT_ABOVE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Distinct values with, per sum, the total of all smaller values.
 
@@ -79,21 +70,10 @@ def running_totals(
     """
     groups = list(groups)
     present = df.dropna(subset=[*groups, value])
-    cuts = range_cuts(present.select(*groups, value), groups, value, split_above)
-    counts = value_counts(present, groups, value, sums)
-    in_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
-    if cuts is None:
-        smaller = in_group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(
-            *groups,
-            value,
-            *sums,
-            *[F.coalesce(F.sum(s).over(smaller), F.lit(0)).alias(f"{s}_below") for s in sums],
-            *[F.sum(s).over(in_group).alias(f"{s}_total") for s in sums],
-        )
-
-    counts = _with_range(counts, groups, value, cuts)
-    # At most RANGES rows per group.
+    cuts, ranges = range_cuts(present.select(*groups, value), groups, value, rows_per_range)
+    counts = _with_range(value_counts(present, groups, value, sums), groups, value, cuts, ranges)
+    in_group = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    # One row per group and range.
     per_range = counts.groupBy(*groups, "_range").agg(*[F.sum(s).alias(s) for s in sums])
     before = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
@@ -122,10 +102,10 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     probabilities: Sequence[float],
-    split_above: int = SPLIT_ABOVE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Groups plus ``quantiles``, linearly interpolated between neighbouring order statistics."""
-    totals = running_totals(df, groups, value, {"n": F.lit(1)}, split_above)
+    totals = running_totals(df, groups, value, {"n": F.lit(1)}, rows_per_range)
 
     def at_rank(rank: str) -> str:
         return f"max(CASE WHEN n_below <= {rank} AND {rank} < n_below + n THEN `{value}` END)"
@@ -144,10 +124,10 @@ def exact_quantiles(
 
 
 def value_at_count(
-    df: DataFrame, groups: Sequence[str], value: str, share: float, split_above: int = SPLIT_ABOVE
+    df: DataFrame, groups: Sequence[str], value: str, share: float, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Per group the smallest value at or below which ``round(share * rows)`` rows lie."""
-    totals = running_totals(df, groups, value, {"n": F.lit(1)}, split_above)
+    totals = running_totals(df, groups, value, {"n": F.lit(1)}, rows_per_range)
     wanted = F.round(F.lit(float(share)) * F.col("n_total"))
     reached = F.col("n_below") + F.col("n") >= wanted
     return totals.groupBy(*groups).agg(F.min(F.when(reached & (wanted > 0), F.col(value))).alias("cut"))

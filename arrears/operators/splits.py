@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arrears.constants import LABEL_SNAPSHOT, SPLIT_SEED
 from arrears.functions.dates import ModelWindows
-from arrears.operators.ordered import SPLIT_ABOVE, value_at_count
+from arrears.operators.ordered import ROWS_PER_RANGE, value_at_count
 
 TRAIN, TEST, OOT = "train", "test", "oot"
 
@@ -37,7 +37,7 @@ def random_split(
     Train and test are complements by construction; all rows of one key land
     on the same side.
     """
-    in_train = hash_bucket(keys, seed) < round(train_share * 100)
+    in_train = hash_number(keys, seed) < int(train_share * 2**60)
     return df.withColumn("split", F.when(in_train, TRAIN).otherwise(TEST))
 
 
@@ -52,7 +52,7 @@ def stratified_split(
     label: str = "label",
     train_share: float = 0.8,
     seed: int = SPLIT_SEED,
-    split_above: int = SPLIT_ABOVE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Adds ``split`` with the same train share in every label.
 
@@ -60,7 +60,7 @@ def stratified_split(
     share; rows with the same key stay together. Unlabelled rows get no split.
     """
     hashed = df.withColumn("_hash", hash_number(keys, seed))
-    cuts = value_at_count(hashed, [label], "_hash", train_share, split_above)
+    cuts = value_at_count(hashed, [label], "_hash", train_share, rows_per_range)
     # One row per class of a binary label.
     marked = hashed.join(F.broadcast(cuts), label, "left")
     side = F.when(F.col("_hash") <= F.col("cut"), TRAIN).when(F.col(label).isNotNull(), TEST)

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.constants import PSI_BINS, PSI_SHARE_FLOOR
-from arrears.operators.ordered import SPLIT_ABOVE, exact_quantiles
+from arrears.operators.ordered import ROWS_PER_RANGE, exact_quantiles
 
 
 def quantile_cuts(
-    reference: DataFrame, score: str, bins: int = PSI_BINS, split_above: int = SPLIT_ABOVE
+    reference: DataFrame, score: str, bins: int = PSI_BINS, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """One row, ``cuts``: distinct exact quantiles, or equal steps on [0, 1] when fewer than three differ."""
     probabilities = [i / bins for i in range(bins + 1)]
-    quantiles = exact_quantiles(reference, [], score, probabilities, split_above)
+    quantiles = exact_quantiles(reference, [], score, probabilities, rows_per_range)
     # Multiples of the step, whose rounding decides where a score on an edge goes.
     equal = ", ".join(f"{i * (1 / bins)!r}D" for i in range(bins)) + ", 1D"
     distinct = "array_sort(array_distinct(filter(quantiles, x -> x IS NOT NULL)))"
@@ -48,10 +48,10 @@ class ScoreReference:
 
 
 def fit_reference(
-    reference: DataFrame, score: str = "score", bins: int = PSI_BINS, split_above: int = SPLIT_ABOVE
+    reference: DataFrame, score: str = "score", bins: int = PSI_BINS, rows_per_range: int = ROWS_PER_RANGE
 ) -> ScoreReference:
     """Fit the edges and shares. At most ``bins`` + 1 numbers come to the driver."""
-    cuts = quantile_cuts(reference, score, bins, split_above).first()
+    cuts = quantile_cuts(reference, score, bins, rows_per_range).first()
     if cuts is None:
         raise ValueError("there are no reference scores")
     cuts = list(cuts["cuts"])

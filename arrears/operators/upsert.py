@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arrears.constants import LABEL_SNAPSHOT, LOAN
 from arrears.operators.dedup import keep_last
-from arrears.session import materialise
+from arrears.session import drop_path, scratch_path
 from arrears.sources.tables import overwrite_partitions, read_table, table_exists
 
 
@@ -30,18 +30,24 @@ def upsert_table(
 ) -> str:
     """Merge ``new`` into a table partitioned by ``by``, rewriting only the partitions it touches.
 
-    ``by`` has to be one of the keys. The merged rows are written beside the
-    table before its partitions are replaced, as a table cannot be read and
-    overwritten by one job; a failure leaves the table as it was or partly
-    replaced by complete partitions, and running again gives the same result.
+    ``by`` has to be one of the keys. ``new`` is worked out once, and the merged
+    rows are staged in the shared folder before partitions are replaced, as a
+    table cannot be read and overwritten by one job; both stages are deleted
+    afterwards. A failure leaves the table as it was or partly replaced by
+    complete partitions, and running again gives the same result.
     """
     if by not in keys:
         raise ValueError(f"the partition column {by} has to be one of the keys {list(keys)}")
     spark = new.sparkSession
-    if table_exists(spark, path):
-        touched = new.select(by).distinct()
-        current = read_table(spark, path).select(*new.columns).join(touched, by, "left_semi")
-        merged = merge_keep_last(current, new, keys, order_by)
-    else:
-        merged = keep_last(new, keys, order_by)
-    return overwrite_partitions(materialise(merged, "upsert"), path, [by])
+    if not table_exists(spark, path):
+        return overwrite_partitions(keep_last(new, keys, order_by), path, [by])
+    arrived, staged = scratch_path(spark, "upsert_new"), scratch_path(spark, "upsert_merged")
+    new.write.parquet(arrived)
+    new = spark.read.schema(new.schema).parquet(arrived)
+    current = read_table(spark, path).select(*new.columns).join(new.select(by).distinct(), by, "left_semi")
+    merged = merge_keep_last(current, new, keys, order_by)
+    merged.write.parquet(staged)
+    overwrite_partitions(spark.read.schema(merged.schema).parquet(staged), path, [by])
+    for folder in (arrived, staged):
+        drop_path(spark, folder)
+    return path

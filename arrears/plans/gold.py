@@ -15,7 +15,7 @@ from arrears.constants import (
     SNAPSHOT,
 )
 from arrears.functions import measures
-from arrears.operators.joins import HOT_KEY_ROWS, join_point_in_time, join_snapshots
+from arrears.operators.joins import join_point_in_time, join_snapshots
 from arrears.operators.schema import coerce_numeric, drop_pii
 
 
@@ -35,9 +35,13 @@ def gold_features(clickstream: DataFrame, attributes: DataFrame, financials: Dat
     return joined.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in FEATURE_STORE_COLUMNS])
 
 
+def at_month_on_book(ledger: DataFrame, mob: int) -> DataFrame:
+    return ledger.filter(f"mob = {int(mob)}")
+
+
 def gold_labels(ledger: DataFrame, dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -> DataFrame:
     """Default flag of every loan at one month on book."""
-    return ledger.filter(f"mob = {int(mob)}").selectExpr(
+    return at_month_on_book(ledger, mob).selectExpr(
         "loan_id",
         "Customer_ID",
         "loan_start_date",
@@ -47,8 +51,6 @@ def gold_labels(ledger: DataFrame, dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -
     )
 
 
-def gold_training(
-    labels: DataFrame, features: DataFrame, hot_key_rows: int | None = HOT_KEY_ROWS
-) -> DataFrame:
+def gold_training(labels: DataFrame, features: DataFrame) -> DataFrame:
     """Labels with the features of the loan start date."""
-    return coerce_numeric(drop_pii(join_point_in_time(labels, features, hot_key_rows)), NUMERIC_FEATURES)
+    return coerce_numeric(drop_pii(join_point_in_time(labels, features)), NUMERIC_FEATURES)

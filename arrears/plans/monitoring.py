@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arrears.constants import AUC_FLOOR, LABEL_SNAPSHOT, PSI_CEILING
 from arrears.functions.dates import month_label, up_to_month
 from arrears.operators.discrimination import auc
-from arrears.operators.ordered import SPLIT_ABOVE
+from arrears.operators.ordered import ROWS_PER_RANGE
 from arrears.operators.stability import ScoreReference, fit_reference, population_stability
 from arrears.operators.summaries import monthly_rates
 from arrears.sources.tables import read_table, write_small
@@ -20,7 +20,7 @@ def monitoring_table(
     score: str = "prediction_score",
     reference_score: str = "score",
     execution_date: str | None = None,
-    split_above: int = SPLIT_ABOVE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row per label month: rates, average score, AUC, accuracy, PSI against the reference.
 
@@ -28,12 +28,12 @@ def monitoring_table(
     ``reference`` is a frame of scores, or what ``fit_reference`` made of one.
     """
     if isinstance(reference, DataFrame):
-        reference = fit_reference(reference, reference_score, split_above=split_above)
+        reference = fit_reference(reference, reference_score, rows_per_range=rows_per_range)
     rows = predictions
     if execution_date is not None:
         rows = rows.filter(up_to_month(F.col(LABEL_SNAPSHOT), F.lit(execution_date).cast("date")))
     rows = rows.withColumn("label_month", month_label(F.col(LABEL_SNAPSHOT)))
-    ranked = auc(rows, ["label_month"], score, split_above=split_above).select("label_month", "auc")
+    ranked = auc(rows, ["label_month"], score, rows_per_range=rows_per_range).select("label_month", "auc")
     drift = population_stability(rows, reference, score, ["label_month"]).select("label_month", "score_psi")
     return (
         monthly_rates(rows)

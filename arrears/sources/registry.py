@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrears.constants import CLICK_COLUMNS, CUSTOMER, FINANCIAL_DOUBLES, FINANCIAL_INTEGERS, LEDGER_TYPES, SNAPSHOT
 from arrears.operators.schema import require_columns
@@ -49,16 +50,20 @@ SOURCES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
-    """CSV with a header; every column stays text, only the header line is read up front.
+def read_csv(spark: SparkSession, path: str, required: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; every column is text by an explicit schema, empty cells are null.
 
     Types are enforced by the silver layer, so a month of clean values cannot
-    get another type than a dirty one. Empty cells are null.
+    get another type than a dirty one. The schema has the columns of the first
+    header in their order; a file whose header differs is an error when it is
+    read, not a silent swap of columns. ``multi_line`` allows quoted line breaks.
     """
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    header = reader.csv(path)
     if required:
-        require_columns(df, required)
-    return df
+        require_columns(header, required)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

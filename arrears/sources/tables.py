@@ -81,7 +81,8 @@ def rebuild_table(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,)) ->
 
 def write_small(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """One-file report table: metrics, leaderboards, summaries of a few rows."""
-    writer = df.repartition(1).write.mode("overwrite")
+    # Merging partitions keeps their order, so a sorted report stays sorted in its one file.
+    writer = df.coalesce(1).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

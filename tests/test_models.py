@@ -3,11 +3,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from arrears.functions.clean import numeric
+from arrears.operators import splits
 from arrears.operators.scoring import score_batch
 from arrears.plans import inference, monitoring, search, training
-from arrears.session import scratch_path
+from arrears.session import materialise, scratch_path
 from arrears.sources.tables import read_table
 
 
@@ -43,6 +45,8 @@ def test_candidates_rank_and_register(spark, run):
     metadata = spark.read.json(f"{bank}/model_metadata").first()
     assert metadata["best_model"] == board[0]["model_name"]
     assert (metadata["train_rows"], metadata["test_rows"]) == (450, 150)
+    assert metadata["model_path"] == f"{bank}/best_model"
+    assert [r["model_name"] for r in metadata["leaderboard"]] == [r["model_name"] for r in board]
     assert read_table(spark, f"{bank}/reference_scores").count() == 450
 
 
@@ -56,7 +60,9 @@ def test_scoring_is_idempotent_and_monitored(spark, loans, run):
     assert scored.filter("prediction <> cast(prediction_score >= 0.5 AS int) OR score_band IS NULL").count() == 0
     path = scratch_path(spark, "predictions")
     first = inference.run_batch_inference(run.model, loans, path).first()
-    again = inference.run_batch_inference(run.model, loans, path, "2024-08-20").first()
+    record = scratch_path(spark, "summary")
+    again = inference.run_batch_inference(run.model, loans, path, "2024-08-20", record).first()
+    assert spark.read.json(record).first()["row_count"] == 600
     assert (first["row_count"], first["prediction_months"]) == (again["row_count"], again["prediction_months"]) == (600, 4)
 
     reference = scratch_path(spark, "reference")
@@ -84,6 +90,33 @@ def test_validation_model(spark, loans):
     metrics = found.metrics.first()
     assert metrics["auc"] > 0.6 and (metrics["train_rows"], metrics["test_rows"]) == (450, 150)
     assert metrics["numeric_features"] == ["Annual_Income"] and metrics["categorical_features"] == ["Credit_Mix"]
+    assert found.extras["leakage_report"].where("status <> 'PASS'").count() == 0
+    folder = scratch_path(spark, "validation")
+    training.save_validation_run(found, folder)
+    assert spark.read.json(f"{folder}/metrics").first()["test_rows"] == 150
+    other = loans.drop("feature_snapshot_date").withColumnRenamed("label_snapshot_date", "seen_on")
+    assert training.train_validation_model(other, "2024-09-01", date_column="seen_on").metrics.first()["train_rows"] == 450
+
+
+def test_a_column_with_too_many_levels_is_refused(spark):
+    df = spark.range(30).selectExpr("concat('v', id % 12) AS c")
+    model = training.category_index(df, ["c"], 12)
+    assert len(model.labelsArray[0]) == 12 and model.labelsArray[0][0] == "v0"
+    with pytest.raises(ValueError, match="levels"):
+        training.category_index(df, ["c"], 11)
+
+
+def test_behaviour_model_is_stored_and_scores_again(spark):
+    rng = random.Random(2)
+    rows = [(f"L{i}", i % 14, rng.gauss(0, 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "loan_id string, m int, fe_1 double").selectExpr("loan_id", "add_months(date'2024-01-01', m) AS label_snapshot_date", "int(fe_1 + rand(3) > 0.5) AS label", "fe_1")
+    df = materialise(df)
+    day = F.lit("2025-03-01").cast("date")
+    run = search.train_behaviour_model(df, day, feature_columns=["fe_1"], draws=1, space={"maxIter": [3], "maxDepth": [2]})
+    root = search.save_search_run(run, scratch_path(spark, "behaviour_bank"))
+    marked = splits.window_split(training.labelled(df), day, ("loan_id",), seed=search.SPLIT_AND_MODEL_SEED)
+    checked = search.reload_and_check(marked, root).collect()
+    assert {r.split for r in checked} == {"train", "test", "oot"} and all(r.agrees for r in checked)
 
 
 def test_search_grid_is_seeded_and_distinct():

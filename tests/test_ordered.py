@@ -29,6 +29,10 @@ def brute_ap(pairs):
     return ap / total
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+
+
 @pytest.fixture(scope="module")
 def scored():
     """Ties, a score held by a third of all rows, one group without positives, one tiny group."""
@@ -42,10 +46,10 @@ def scored():
     return rows
 
 
-@pytest.mark.parametrize("split_above", [2_000_000, 20])
-def test_ranking_metrics_match_brute_force(spark, scored, split_above):
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 20])
+def test_ranking_metrics_match_brute_force(spark, scored, rows_per_range):
     df = spark.createDataFrame(scored, "g string, prediction_score double, label int").repartition(7)
-    found = {r["g"]: r for r in discrimination.ranking_metrics(df, ["g"], split_above=split_above).collect()}
+    found = {r["g"]: r for r in discrimination.ranking_metrics(df, ["g"], rows_per_range=rows_per_range).collect()}
     for g in "abcd":
         pairs = [(s, y) for h, s, y in scored if h == g]
         expected = brute_auc(pairs)
@@ -57,42 +61,45 @@ def test_ranking_metrics_match_brute_force(spark, scored, split_above):
     assert everything["accuracy"] == pytest.approx(np.mean([(s >= 0.5) == y for _, s, y in scored]))
 
 
-@pytest.mark.parametrize("split_above", [2_000_000, 20])
-def test_exact_quantiles_match_numpy(spark, scored, split_above):
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 20])
+def test_exact_quantiles_match_numpy(spark, scored, rows_per_range):
     df = spark.createDataFrame(scored, "g string, s double, y int")
     probabilities = [0.0, 0.1, 0.5, 0.77, 1.0]
-    found = {r["g"]: r["quantiles"] for r in ordered.exact_quantiles(df, ["g"], "s", probabilities, split_above).collect()}
+    found = {r["g"]: r["quantiles"] for r in ordered.exact_quantiles(df, ["g"], "s", probabilities, rows_per_range).collect()}
     for g in "abcd":
         assert found[g] == pytest.approx(np.quantile([s for h, s, _ in scored if h == g], probabilities))
 
 
-def test_big_groups_are_split_into_ranges(spark, scored):
+def test_ranges_grow_with_the_rows(spark, scored):
     df = spark.createDataFrame(scored, "g string, s double, y int")
-    cuts = {r["g"]: r["_cuts"] for r in ordered.range_cuts(df, ["g"], "s", 20).collect()}
-    assert set(cuts) == {"a", "b", "c"}
-    assert all(len(c) == ordered.RANGES - 1 and c == sorted(c) for c in cuts.values())
+    for per, least in ((1_000_000, 2), (20, 16)):
+        cuts, ranges = ordered.range_cuts(df, ["g"], "s", per)
+        assert ranges >= least and ranges & (ranges - 1) == 0
+        assert all(len(r["_cuts"]) == ranges - 1 and r["_cuts"] == sorted(r["_cuts"]) for r in cuts.collect())
 
 
-def brute_psi(expected, actual, bins=10):
-    cuts = np.unique(np.quantile(expected, np.linspace(0, 1, bins + 1)))
-    if len(cuts) < 3:
-        cuts = np.linspace(0, 1, bins + 1)
-    e, a = np.histogram(expected, cuts)[0], np.histogram(actual, cuts)[0]
-    e, a = np.clip(e / max(e.sum(), 1), 1e-6, None), np.clip(a / max(a.sum(), 1), 1e-6, None)
-    return float(((a - e) * np.log(a / e)).sum())
+def test_no_plain_row_meets_all_others_in_one_task(spark):
+    df = spark.range(5000).selectExpr("cast(id * 37 % 5000 AS double) AS s")
+    plan = plan_of(ordered.exact_quantiles(df, [], "s", [0.5]))
+    ordered_by_value = [line for line in plan.splitlines() if "Window" in line and "s#" in line.split("windowspecdefinition")[-1]]
+    assert all("_range" in line for line in ordered_by_value)
 
 
-@pytest.mark.parametrize("reference", ["spread", "constant", "ties"])
-def test_psi_matches_histogram_definition(spark, scored, reference):
-    rng = np.random.default_rng(3)
-    expected = {"spread": rng.random(500) * 0.8, "constant": np.full(50, 0.3), "ties": rng.integers(0, 4, 200) / 5}[reference]
-    fitted = stability.fit_reference(spark.createDataFrame([(float(x),) for x in expected], "score double"))
-    df = spark.createDataFrame(scored, "g string, prediction_score double, y int")
-    found = {r["g"]: r for r in stability.population_stability(df, fitted, groups=["g"]).collect()}
-    for g in "abcd":
-        actual = np.array([s for h, s, _ in scored if h == g])
-        assert found[g]["score_psi"] == pytest.approx(brute_psi(expected, actual), abs=1e-9)
-        assert found[g]["n_out_of_range"] == ((actual < fitted.cuts[0]) | (actual > fitted.cuts[-1])).sum()
+def psi(spark, reference, actual, bins):
+    fitted = stability.fit_reference(spark.createDataFrame([(x,) for x in reference], "score double"), bins=bins)
+    return stability.population_stability(spark.createDataFrame([(x,) for x in actual], "prediction_score double"), fitted).first()
+
+
+def test_psi_by_hand(spark):
+    # Edges 0, 0.5, 1 with half of the reference each; 1.0 lies in the last bin, two scores lie outside.
+    found = psi(spark, [0.0, 0.2, 0.8, 1.0], [0.1, 0.5, 1.0, 1.2, -0.1], 2)
+    assert found["score_psi"] == pytest.approx(0.115524530, abs=1e-8) and found["n_out_of_range"] == 2
+    # An empty bin counts with the floor of one millionth.
+    assert psi(spark, [0.0, 0.2, 0.8, 1.0], [0.1, 0.2], 2)["score_psi"] == pytest.approx(6.90774216, abs=1e-6)
+    # A constant reference has equal steps on [0, 1]; all mass moves from one bin to another.
+    assert psi(spark, [0.3] * 5, [0.95, 0.99], 10)["score_psi"] == pytest.approx(27.6309935, abs=1e-5)
+    # Ties: quantiles 0, 0, 1 leave two edges, so equal steps again; same shares, no shift.
+    assert psi(spark, [0.0, 0.0, 0.0, 1.0], [0.0, 0.01, 0.02, 1.0], 2)["score_psi"] == pytest.approx(0.0, abs=1e-12)
 
 
 def test_psi_of_itself_is_zero(spark, scored):
@@ -128,7 +135,7 @@ def test_splits_do_not_depend_on_partitioning(spark):
     for split in (
         lambda d: splits.random_split(d, ["id"]),
         lambda d: splits.stratified_split(d, ["id"]),
-        lambda d: splits.stratified_split(d, ["id"], split_above=50),
+        lambda d: splits.stratified_split(d, ["id"], rows_per_range=50),
     ):
         a = {tuple(r) for r in split(df.repartition(3)).select("id", "split").collect()}
         b = {tuple(r) for r in split(df.repartition(11)).select("id", "split").collect()}
@@ -148,6 +155,29 @@ def test_temporal_split_falls_back(spark):
         splits.temporal_split(df.filter("label = 0"), "2020-01-01")
 
 
+def test_stratified_fallback_and_reused_row(spark):
+    def frame(labels):
+        return spark.createDataFrame([(f"L{i}", y) for i, y in enumerate(labels)], "loan_id string, label int").withColumn("label_snapshot_date", F.lit("2024-01-01").cast("date"))
+
+    # One positive among few rows: the random split leaves a side without it for some sizes.
+    seen = set()
+    for n in range(2, 14):
+        marked = splits.temporal_split(frame([1, 1] + [0] * n), "2020-01-01", min_test_classes=2) if n > 8 else splits.temporal_split(frame([1] + [0] * n), "2020-01-01")
+        sizes = splits.split_sizes(marked)
+        assert sizes["train"]["classes"] == 2 and sizes["test"]["rows"] >= 1
+        seen.add(marked.count() - (n + (2 if n > 8 else 1)))
+    assert seen <= {0, 1}
+    # Two rows, one of each class: all are needed for training, so one is tested again.
+    both = splits.temporal_split(frame([1, 0]), "2020-01-01")
+    assert both.groupBy("split").count().orderBy("split").collect()[0]["count"] == 1 and both.count() == 3
+
+
+def test_share_of_a_random_split_is_not_rounded(spark):
+    df = spark.range(200_000)
+    share = splits.random_split(df, ["id"], 0.805).where("split = 'train'").count() / 200_000
+    assert abs(share - 0.805) < 0.003
+
+
 def test_complement(spark):
     df = spark.range(10)
     assert sorted(r[0] for r in splits.complement(df, df.filter("id < 7"), ["id"]).collect()) == [7, 8, 9]

@@ -5,11 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from arrears.constants import CLICK_COLUMNS, FORBIDDEN_COLUMNS, LEAKAGE_FRAGMENTS
 from arrears.operators import joins, summaries
 from arrears.operators.dedup import keep_first, keep_last
+from arrears.operators.schema import FeatureRoles
 from arrears.operators.upsert import upsert_table
 from arrears.plans import datamart, gold, silver
-from arrears.session import scratch_path
+from arrears.session import scratch_path, session_dir
 from arrears.sources import registry, tables
 from workload.fixtures import TIE_BREAK, Inputs
 
@@ -22,19 +24,75 @@ def plan_of(df):
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_key_rows", [None, 10, 1_000_000])
-def test_hot_keys_do_not_change_a_join(spark, how, hot_key_rows):
-    many = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id % 700) END AS k", "1 AS d")
-    one = spark.range(500).selectExpr("concat('k', id) AS k", "1 AS d", "id * 2 AS v").union(spark.createDataFrame([("hot", 1, -1)], "k string, d int, v long"))
-    expected = many.join(one, ["k", "d"], how)
-    assert rows_of(joins.join_to_unique(many, one, ["k", "d"], how, hot_key_rows)) == rows_of(expected)
-
-
-def test_hot_key_sketch_is_bounded(spark):
-    many = spark.range(5000).selectExpr("id % 50 AS k")
-    assert joins.hot_key_hashes(many, ["k"], 1, max_keys=7).count() == 7
-    assert joins.hot_key_hashes(many, ["k"], 101).count() == 0
+def test_a_key_with_a_third_of_the_rows_joins_like_any_other(spark):
+    labels = spark.range(3000).selectExpr("concat('L', id) AS loan_id", "if(id % 3 = 0, 'hot', concat('C', id % 700)) AS Customer_ID", "date'2024-01-01' AS loan_start_date", "date'2024-07-01' AS label_snapshot_date")
+    features = spark.createDataFrame([("hot", -1), *((f"C{i}", i) for i in range(0, 700, 2))], "Customer_ID string, v int").withColumn("snapshot_date", F.lit("2024-01-01").cast("date"))
+    joined = joins.join_point_in_time(labels, features)
+    assert joined.count() == labels.where("Customer_ID = 'hot' OR cast(substr(Customer_ID, 2) AS int) % 2 = 0").count()
+    assert joined.where("Customer_ID = 'hot' AND v <> -1").count() == 0
+    assert joins.join_label_month(labels, features).count() == 3000
+
+
+def test_training_set_reads_each_input_once(spark, smoke_dir):
+    plan = plan_of(Inputs(spark, smoke_dir).gold_training())
+    # Counting the vectors reads no column and is not an input of the set.
+    assert plan.count("ReadSchema: struct<") - plan.count("ReadSchema: struct<>") <= 8
+
+
+def test_every_vector_is_reached(spark):
+    big = "/root/testdata/sf0.1"
+    inputs = Inputs(spark, big)
+    vectors = inputs.table("embeddings").count()
+    customers = inputs.table("orders").select((F.col("o_custkey") % vectors).alias("v")).distinct().count()
+    first = inputs.clickstream().select(CLICK_COLUMNS[0], CLICK_COLUMNS[1], CLICK_COLUMNS[2]).distinct().count()
+    assert vectors == 2000 and first == customers > 500
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Customer_ID,Age\nC1,30\n")
+    (tmp_path / "b.csv").write_text("Age,Customer_ID\n40,C2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        registry.read_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text('Customer_ID,Age\nC2,"4\n0"\n')
+    rows = registry.read_csv(spark, str(tmp_path), ["Age"], multi_line=True).collect()
+    assert sorted(r.Age for r in rows) == ["30", "4\n0"]
+
+
+def test_a_sorted_report_stays_sorted(spark, tmp_path):
+    path = str(tmp_path / "report")
+    tables.write_small(spark.range(2000).repartition(7).orderBy(F.desc("id")), path)
+    assert [r.id for r in spark.read.parquet(path).collect()] == list(range(1999, -1, -1))
+
+
+def test_upsert_works_out_new_rows_once_and_leaves_no_stage(spark, tmp_path):
+    path, counted = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    first = spark.createDataFrame([("L1", "2024-01-01", 1)], "loan_id string, d string, v int").selectExpr("loan_id", "date(d) AS label_snapshot_date", "v")
+    upsert_table(first, path)
+
+    def seen(rows):
+        for batch in rows:
+            counted.add(batch.num_rows)
+            yield batch
+
+    upsert_table(first.withColumn("v", F.lit(2)).mapInArrow(seen, first.schema), path)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2] and counted.value == 1
+    left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    files = left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(left, True)
+    names = []
+    while files.hasNext():
+        names.append(files.next().getPath().toString())
+    assert not [n for n in names if "upsert" in n]
+
+
+def test_report_statuses_follow_the_data(spark):
+    rows = spark.createDataFrame([("L1", 1, 5.0, "2024-07-01")], "loan_id string, label int, dpd double, d string")
+    rows = rows.selectExpr("loan_id", "label", "dpd", "5.0D AS income", "date(d) AS label_snapshot_date", "date'2024-01-01' AS loan_start_date")
+    good = FeatureRoles(["income"], [], [], [], [])
+    status = {r.check_name: r.status for r in summaries.leakage_report(rows, good).collect()}
+    assert status["rows_loaded"] == status["temporal_alignment"] == status["numeric_features_used"] == "PASS"
+    bad = FeatureRoles([FORBIDDEN_COLUMNS[0], f"x_{LEAKAGE_FRAGMENTS[0]}"], [], [], [], [])
+    status = {r.check_name: r.status for r in summaries.leakage_report(rows.limit(0), bad).collect()}
+    assert status["rows_loaded"] == status["forbidden_columns_excluded"] == status["leakage_patterns_excluded"] == "FAIL"
 
 
 def test_dedup_is_stable_and_limits_before_the_shuffle(spark):

@@ -7,7 +7,10 @@ from arrears.functions import clean, dates, measures
 from arrears.operators import schema
 from arrears.operators.features import column_medians, fill_nulls
 from arrears.operators.summaries import label_distribution, temporal_mismatches
-from arrears.sources.tables import snapshots_between
+from arrears.plans.gold import at_month_on_book
+from arrears.plans.training import labelled
+from arrears.session import scratch_path
+from arrears.sources.tables import overwrite_partitions, read_snapshot, snapshots_between
 from workload.fixtures import Inputs
 from workload.reference_sql import CATEGORICAL, FE, FINANCIAL_DOUBLE, FINANCIAL_INT, NUMERIC, clean_int, clean_num
 from workload.registry import query
@@ -18,7 +21,8 @@ LEDGER = ["loan_id", "Customer_ID", "installment_num", "snapshot_date", "overdue
 
 @query("filter_snapshot", "SELECT loan_id, Customer_ID, installment_num, snapshot_date, overdue_amt FROM fx_lms WHERE snapshot_date = DATE '1996-06-01'")
 def filter_snapshot(spark, sf_dir):
-    return Inputs(spark, sf_dir).lms().filter(F.col("snapshot_date") == F.lit("1996-06-01").cast("date")).select(*LEDGER)
+    path = overwrite_partitions(Inputs(spark, sf_dir).lms(), scratch_path(spark, "ledger"))
+    return read_snapshot(spark, path, "1996-06-01").select(*LEDGER)
 
 
 @query("filter_date_range", "SELECT loan_id, Customer_ID, installment_num, snapshot_date, overdue_amt FROM fx_lms WHERE snapshot_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'")
@@ -28,7 +32,7 @@ def filter_date_range(spark, sf_dir):
 
 @query("filter_completed_loans", "SELECT loan_id, Customer_ID, installment_num, snapshot_date, overdue_amt FROM fx_lms WHERE loan_start_date < DATE '2000-01-01'")
 def filter_completed_loans(spark, sf_dir):
-    return Inputs(spark, sf_dir).lms().filter(F.col("loan_start_date") < F.lit("2000-01-01").cast("date")).select(*LEDGER)
+    return Inputs(spark, sf_dir).lms().filter(dates.before(F.col("loan_start_date"), F.lit("2000-01-01").cast("date"))).select(*LEDGER)
 
 
 @query("filter_month", "SELECT loan_id, ship_date, label, prediction_score FROM fx_scores WHERE date_trunc('month', ship_date) = DATE '1997-03-01'")
@@ -52,14 +56,14 @@ def filter_up_to_month(spark, sf_dir):
 @query("filter_mob", "SELECT loan_id, Customer_ID, mob, snapshot_date, dpd FROM silver_lms WHERE mob = 6")
 def filter_mob(spark, sf_dir):
     ledger = Inputs(spark, sf_dir).silver_lms()
-    return ledger.filter(F.col("mob") == 6).select("loan_id", "Customer_ID", "mob", "snapshot_date", "dpd")
+    return at_month_on_book(ledger, 6).select("loan_id", "Customer_ID", "mob", "snapshot_date", "dpd")
 
 
 @query("filter_labelled", "SELECT loan_id, label_snapshot_date, nullif(label, CASE WHEN prediction_score < 0.1 THEN label END) AS label FROM fx_scores WHERE prediction_score >= 0.1")
 def filter_labelled(spark, sf_dir):
     scores = Inputs(spark, sf_dir).scores()
     partly = scores.withColumn("label", F.when(F.col("prediction_score") >= 0.1, F.col("label")))
-    return partly.dropna(subset=["label"]).select("loan_id", "label_snapshot_date", "label")
+    return labelled(partly).select("loan_id", "label_snapshot_date", "label")
 
 
 @query("select_prefix", f"SELECT Customer_ID, snapshot_date, {', '.join(FE)} FROM silver_clickstream")

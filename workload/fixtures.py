@@ -44,7 +44,10 @@ class Inputs:
         )
 
     def clickstream(self) -> DataFrame:
-        joined = self.table("orders").join(self.table("embeddings"), F.col("vec_id") == F.col("o_custkey") % 500)
+        vectors = self.table("embeddings")
+        # Ids run from 0, so a remainder by their number reaches every row at every scale.
+        number = vectors.agg(F.count(F.lit(1)).alias("n")).scalar()
+        joined = self.table("orders").withColumn("_vec", F.col("o_custkey") % number).join(vectors, F.col("vec_id") == F.col("_vec"))
         clicks = [f"cast(embedding[{i}] AS double) AS {c}" for i, c in enumerate(CLICK_COLUMNS)]
         return joined.selectExpr(*KEYS, *clicks)
 

@@ -1,6 +1,6 @@
 """Training, scoring and search on the training set of the whole folder."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from arrears.constants import CATEGORICAL_FEATURES, CLICK_COLUMNS, LABEL_SNAPSHOT, NUMERIC_FEATURES
@@ -34,6 +34,11 @@ def impute_median(spark, sf_dir):
     return filled.select("loan_id", LABEL_SNAPSHOT, *outputs)
 
 
+def place_of_one(vector):
+    """Index of the only one in a one-hot vector."""
+    return F.array_position(vector_to_array(vector), 1.0).cast("double") - 1
+
+
 @query(
     "encode_categories",
     "\nUNION ALL ".join(
@@ -45,10 +50,12 @@ def impute_median(spark, sf_dir):
 )
 def encode_categories(spark, sf_dir):
     df = _training(spark, sf_dir).select(*CATEGORICAL_FEATURES)
-    stages, _ = training.encode_categories(CATEGORICAL_FEATURES)
-    encoded = Pipeline(stages=stages).fit(df).transform(df)
+    encoder, _ = training.one_hot(CATEGORICAL_FEATURES)
+    numbered = training.category_index(df, CATEGORICAL_FEATURES).transform(df)
+    encoded = encoder.fit(numbered).transform(numbered)
+    # The place of the one in the vector, which has to be the number of the level.
     pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level"), F.col(f"{c}_idx").alias("idx"))
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level"), place_of_one(F.col(f"hot_{c}")).alias("idx"))
         for c in CATEGORICAL_FEATURES
     ]
     return (

@@ -50,7 +50,7 @@ VIEWS: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_clickstream": f"""
         SELECT {KEYS}, {", ".join(f"cast(embedding[{i}] AS DOUBLE) AS fe_{i}" for i in range(1, 21))}
-        FROM orders JOIN embeddings ON vec_id = o_custkey % 500""",
+        FROM (SELECT *, o_custkey % (SELECT count(*) FROM embeddings) AS _vec FROM orders) JOIN embeddings ON vec_id = _vec""",
     "fx_attributes": f"""
         SELECT {KEYS}, c_name AS Name, '000-00-0000' AS SSN,
                concat(cast(18 + o_custkey % 50 AS VARCHAR), CASE WHEN o_custkey % 7 = 0 THEN '_' ELSE '' END) AS Age,

@@ -114,6 +114,7 @@ def join_labels_left(spark, sf_dir):
 
 _BUCKET = "('0x' || substr(md5({key} || '|42'), 1, 8))::BIGINT % {n}"
 _ORDER_BUCKET = _BUCKET.format(key="cast(o_orderkey AS VARCHAR)", n=100)
+_ORDER_NUMBER = "('0x' || substr(md5(cast(o_orderkey AS VARCHAR) || '|42'), 1, 15))::BIGINT"
 
 
 @query("split_complement", f"SELECT o_orderkey, o_custkey FROM orders WHERE {_ORDER_BUCKET} >= 80")
@@ -126,7 +127,7 @@ def split_complement(spark, sf_dir):
 # -- splits ----------------------------------------------------------------
 
 
-@query("split_hash", f"SELECT o_orderkey, CASE WHEN {_ORDER_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split FROM orders")
+@query("split_hash", f"SELECT o_orderkey, CASE WHEN {_ORDER_NUMBER} < {int(0.8 * 2**60)} THEN 'train' ELSE 'test' END AS split FROM orders")
 def split_hash(spark, sf_dir):
     orders = Inputs(spark, sf_dir).table("orders").select("o_orderkey")
     return splits.random_split(orders, ["o_orderkey"])
