@@ -9,11 +9,18 @@ itself, and the ids joined. Pieces repeat, so most are looked up.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A space with no white space on either side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
+#: Marks that the pattern always parts from the letters before them, and the
+#: first character for which libraries may not agree on what a letter is.
+_MARKS, _LATIN = frozenset(",.;:!?"), "\u0250"
+
 #: Pieces longer than this are encoded but not remembered.
 REMEMBERED_CHARS = 64
 #: Pieces remembered by one worker before it starts anew.
@@ -30,12 +37,13 @@ class PieceEncoder:
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self._encode = encode
         self._known: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string for each text; empty texts give empty bytes."""
         if len(self._known) > REMEMBERED_PIECES:
             self._known.clear()
-        known, plans, missing = self._known, [], {}
+        known, plans, missing, marked = self._known, [], {}, {}
         for text in texts:
             pieces = text.split(" ")
             found = list(map(known.get, pieces[1:]))
@@ -45,12 +53,20 @@ class PieceEncoder:
                     pieces = _CUT.split(text)
                     found = list(map(known.get, pieces[1:]))
                     new = {p for p, f in zip(pieces[1:], found) if f is None}
-                missing.update(dict.fromkeys(new))
+                for p in new:
+                    if p[-1] in _MARKS and is_word(p[:-1]):
+                        marked[p] = p[:-1]
+                        if p[:-1] not in known:
+                            missing[p[:-1]] = b""
+                    else:
+                        missing[p] = b""
             plans.append((pieces, found))
-        if missing:
-            order = list(missing)
-            for piece, ids in zip(order, self._encode([" " + p for p in order])):
-                missing[piece] = ids
+        order = list(missing)
+        for piece, ids in zip(order, self._encode([" " + p for p in order]) if order else ()):
+            missing[piece] = ids
+        for piece, word in marked.items():
+            ids = missing.get(word)
+            missing[piece] = (known[word] if ids is None else ids) + self._mark(piece[-1])
         heads = self._encode([pieces[0] for pieces, _ in plans])
         out = []
         for (pieces, found), head in zip(plans, heads):
@@ -62,14 +78,24 @@ class PieceEncoder:
                 known[piece] = ids
         return out
 
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self._marks:
+            self._marks[mark] = self._encode([mark])[0]
+        return self._marks[mark]
+
+
+def is_word(piece: str) -> bool:
+    """Whether a piece is nothing but letters, by any library's account."""
+    return piece.isalpha() and max(piece) < _LATIN
+
 
-def batches(texts: list[str], chars: int = 4_000_000):
-    """Consecutive (start, stop) runs of texts of about ``chars`` characters, at least one text each."""
+def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive (start, stop) runs of a column of texts of about ``size`` bytes, at least one text each."""
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > chars:
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        if held and held + n > size:
             yield start, i
             start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        held += n
+    if start < len(column):
+        yield start, len(column)

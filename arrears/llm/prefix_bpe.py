@@ -22,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.pieces import PieceEncoder, batches
+from arrears.llm.pieces import PieceEncoder, is_word, slices
 
 #: Token pairs whose verdict one worker remembers before it starts anew.
-REMEMBERED_PAIRS = 1_000_000
-#: Matches whose ids one worker remembers before it starts anew.
-REMEMBERED_MATCHES = 400_000
+REMEMBERED_PAIRS = 400_000
+#: Matches whose ids one worker remembers before it starts anew, beside whole pieces.
+REMEMBERED_MATCHES = 50_000
 
 
 class Vocabulary:
@@ -186,15 +186,22 @@ class BpeCodec:
         return b"".join(map(self._words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return [b"".join(map(self._match_ids, self._pattern.findall(piece))) for piece in pieces]
+        # A space and a word are one match, which is remembered as a piece.
+        return [
+            self._ids(piece) if piece[:1] == " " and is_word(piece[1:]) else b"".join(map(self._match_ids, self._pattern.findall(piece)))
+            for piece in pieces
+        ]
+
+    def _ids(self, match: str) -> bytes:
+        data = match.encode("utf-8", "surrogatepass")
+        whole = self.vocabulary.ranks.get(data)
+        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _match_ids(self, match: str) -> bytes:
         known = self._ids_of.get(match)
         if known is None:
-            data = match.encode("utf-8", "surrogatepass")
-            whole = self.vocabulary.ranks.get(data)
-            ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
-            known = struct.pack(f"<{len(ids)}I", *ids)
+            known = self._ids(match)
             if len(match) <= 32:
                 if len(self._ids_of) > REMEMBERED_MATCHES:
                     self._ids_of.clear()
@@ -230,7 +237,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", k
         bpe = codec(path, pattern)
         for part in parts:
             texts = part.column(part.num_columns - 1)
-            for start, stop in batches(texts.to_pylist()):
+            for start, stop in slices(texts):
                 ids = bpe.encode(texts.slice(start, stop - start).to_pylist())
                 columns = [c.slice(start, stop - start) for c in part.columns[:-1]]
                 columns.append(pa.array([len(i) // 4 for i in ids], pa.int64()))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.common import materialise, scratch_path
-from arrears.llm.pieces import batches
+from arrears.llm.pieces import slices
 from arrears.llm.prefix_bpe import codec
 
 #: Ids that spell a document number: digits to this base, plus one value for null.
@@ -69,9 +69,9 @@ def write_flat_files(docs: DataFrame, folder: str, ranks: str, pattern: str, end
             return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["ids"])
 
         for part in parts:
-            doc_ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for start, stop in batches(texts):
-                for d, ids in zip(doc_ids[start:stop], bpe.encode(texts[start:stop])):
+            doc_ids, texts = part.column(0).to_pylist(), part.column(1)
+            for start, stop in slices(texts):
+                for d, ids in zip(doc_ids[start:stop], bpe.encode(texts.slice(start, stop - start).to_pylist())):
                     body = np.frombuffer(ids, "<u4")
                     if body.size and body.max() >= end_id:
                         raise ValueError("a vocabulary id is not below the end id")
