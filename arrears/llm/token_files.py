@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.common import scratch_path, text_key
-from arrears.llm.pieces import PieceEncoder, batches
+from arrears.llm.pieces import PieceEncoder, slices
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -46,6 +46,9 @@ FITTING = 0.9
 #: Ids after which a segment is closed at the next document.
 SEGMENT_IDS = 1_000_000
 
+#: Pieces handed to the library as one text.
+JOINED = 200
+
 _HEAD = struct.Struct("<4s5Q")
 
 
@@ -176,12 +179,34 @@ def _encoder(path: str) -> PieceEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    vocabulary = tokenizer.get_vocab()
+    # In a byte-level vocabulary each character of a token stands for a byte.
+    size = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+    size[list(vocabulary.values())] = list(map(len, vocabulary))
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(pieces: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(pieces), 5_000):
-            found = tokenizer.encode_batch_fast(pieces[i : i + 5_000], add_special_tokens=False)
-            out.extend(np.array(e.ids, "<u4").tobytes() for e in found)
+        """Pieces that begin with their only outer space are encoded many at a time, end to end.
+
+        A token never crosses the space, so the bytes that tokens stand for
+        tell where each piece ends.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        inner = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
+        rest = sorted(set(range(len(pieces))) - set(inner))
+        runs = [inner[i : i + JOINED] for i in range(0, len(inner), JOINED)]
+        for run, ids in zip(runs, ids_of(["".join(pieces[i] for i in run) for run in runs])):
+            ends = np.cumsum([len(pieces[i].encode()) for i in run])
+            tokens = np.cumsum(size[ids])
+            cuts = np.searchsorted(tokens, ends) + 1
+            if not len(ids) or not np.array_equal(tokens[np.minimum(cuts, len(ids)) - 1], ends):
+                raise ValueError("the tokenizer's ids do not spell the text")
+            for i, found in zip(run, np.split(ids, cuts[:-1])):
+                out[i] = found.tobytes()
+        for i, ids in zip(rest, ids_of([pieces[i] for i in rest])):
+            out[i] = ids.tobytes()
         return out
 
     return PieceEncoder(encode)
@@ -222,9 +247,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             if not part.num_rows:
                 continue
             part_id = part.column(2)[0].as_py()
-            doc_ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for start, stop in batches(texts):
-                for d, ids in zip(doc_ids[start:stop], encoder.encode(texts[start:stop])):
+            doc_ids, texts = part.column(0).to_pylist(), part.column(1)
+            for start, stop in slices(texts):
+                for d, ids in zip(doc_ids[start:stop], encoder.encode(texts.slice(start, stop - start).to_pylist())):
                     held.append(ids + end)
                     names.append(d)
                     lengths.append(len(ids) // 4 + 1)
