@@ -99,9 +99,11 @@ def test_validation_model(spark, loans):
 
 
 def test_a_column_with_too_many_levels_is_refused(spark):
-    df = spark.range(30).selectExpr("concat('v', id % 12) AS c")
-    model = training.category_index(df, ["c"], 12)
-    assert len(model.labelsArray[0]) == 12 and model.labelsArray[0][0] == "v0"
+    df = spark.range(30).selectExpr("concat('v', id % 12) AS c", "concat('w', id % 2) AS d")
+    model = training.category_index(df, ["c", "d"], 12)
+    assert [len(stage.labels) for stage in model.stages] == [12, 2] and model.stages[0].labels[0] == "v0"
+    numbered = model.transform(df)
+    assert training.one_hot(["c", "d"])[0].fit(numbered).transform(numbered).count() == 30
     with pytest.raises(ValueError, match="levels"):
         training.category_index(df, ["c"], 11)
 

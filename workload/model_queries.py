@@ -1,16 +1,18 @@
 """Training, scoring and search on the training set of the whole folder."""
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from arrears.constants import CATEGORICAL_FEATURES, CLICK_COLUMNS, LABEL_SNAPSHOT, NUMERIC_FEATURES
+from arrears.constants import CATEGORICAL_FEATURES, CLICK_COLUMNS, LABEL_SNAPSHOT, NUMERIC_FEATURES, SCORE_BANDS
+from arrears.operators.discrimination import ranking_metrics
 from arrears.operators.joins import join_label_month
 from arrears.operators.scoring import default_probability, score_batch as score_frame
 from arrears.plans import inference, search, training
 from arrears.session import materialise, scratch_path
 from arrears.sources.tables import read_table
 from workload.fixtures import Inputs
-from workload.reference_sql import CATEGORICAL
+from workload.reference_sql import CATEGORICAL, NUMERIC
 from workload.registry import query
 
 CUTOFF = "1999-12-01"
@@ -26,12 +28,31 @@ def _validation_run(spark, sf_dir):
     return training.train_validation_model(_training(spark, sf_dir), CUTOFF, KEYS)
 
 
-@query("impute_median")
+@query(
+    "impute_median",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS filled, count({c}) AS unchanged, true AS near_median FROM gold_training" for c in NUMERIC
+    ),
+)
 def impute_median(spark, sf_dir):
+    """Per column the rows filled and left alone, and whether the fill's rank is within the stated error of one half."""
     df = _training(spark, sf_dir)
     imputer, outputs = training.impute_median(NUMERIC_FEATURES)
-    filled = imputer.fit(df).transform(df)
-    return filled.select("loan_id", LABEL_SNAPSHOT, *outputs)
+    model = imputer.fit(df)
+    medians = model.surrogateDF.first().asDict()
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count_if(F.col(c).isNull() & F.col(out).isNotNull()).alias("filled"),
+            F.count_if(F.col(c) == F.col(out)).alias("unchanged"),
+            (
+                (F.count_if(F.col(c) < medians[c]) <= F.ceil(0.501 * F.count(c)) + 1)
+                & (F.count_if(F.col(c) <= medians[c]) >= F.floor(0.499 * F.count(c)) - 1)
+            ).alias("near_median"),
+        )
+        for c, out in zip(NUMERIC_FEATURES, outputs)
+    ]
+    return model.transform(df).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def place_of_one(vector):
@@ -65,42 +86,80 @@ def encode_categories(spark, sf_dir):
     )
 
 
-@query("train_logreg")
+#: Rows that the scores of a temporal split have to be given for; the numbers themselves are beyond SQL.
+_TESTED = f"SELECT loan_id, label_snapshot_date, label, true AS is_probability FROM gold_training WHERE label IS NOT NULL AND label_snapshot_date > DATE '{CUTOFF}'"
+
+
+def _checked(scores, score="prediction_score"):
+    return scores.withColumn("is_probability", F.col(score).between(0, 1)).drop(score)
+
+
+@query("train_logreg", _TESTED)
 def train_logreg(spark, sf_dir):
-    return _validation_run(spark, sf_dir).test_scores
+    return _checked(_validation_run(spark, sf_dir).test_scores)
 
 
-@query("training_run_metrics")
+@query(
+    "training_run_metrics",
+    f"SELECT '{CUTOFF}' AS temporal_cutoff_date, count(*) FILTER (label_snapshot_date <= DATE '{CUTOFF}') AS train_rows, "
+    f"count(*) FILTER (label_snapshot_date > DATE '{CUTOFF}') AS test_rows, count(*) FILTER (label = 0) AS label_0_rows, "
+    "count(*) FILTER (label = 1) AS label_1_rows, true AS auc_in_range FROM gold_training WHERE label IS NOT NULL",
+)
 def training_run_metrics(spark, sf_dir):
-    return _validation_run(spark, sf_dir).metrics
+    metrics = _validation_run(spark, sf_dir).metrics
+    counts = ["temporal_cutoff_date", "train_rows", "test_rows", "label_0_rows", "label_1_rows"]
+    return metrics.select(*counts, F.col("auc").between(0, 1).alias("auc_in_range"))
 
 
 def _candidates(spark, sf_dir):
     return training.train_candidates(_training(spark, sf_dir), CUTOFF, keys=KEYS)
 
 
-@query("train_candidates")
+@query("train_candidates", _TESTED)
 def train_candidates(spark, sf_dir):
-    return _candidates(spark, sf_dir).test_scores
+    return _checked(_candidates(spark, sf_dir).test_scores)
 
 
-@query("leaderboard")
+@query("leaderboard", "\nUNION ALL ".join(f"SELECT '{name}' AS model_name, true AS in_order, true AS champion_auc_again" for name in training.CANDIDATES))
 def leaderboard(spark, sf_dir):
-    return _candidates(spark, sf_dir).metrics
+    """The candidates, whether they are in order, and whether the best AUC comes out of the stored test scores again."""
+    run = _candidates(spark, sf_dir)
+    best = ranking_metrics(run.test_scores).first()["auc"]
+    places = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    board = run.metrics.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    listed = F.array_sort(F.collect_list(F.struct("place", "auc")).over(places))["auc"]
+    return board.select("model_name", (F.sort_array(listed, False) == listed).alias("in_order"), (listed[0] == F.lit(best)).alias("champion_auc_again"))
 
 
-@query("reference_scores")
+@query(
+    "reference_scores",
+    f"SELECT label, label_snapshot_date, count(*) AS row_count, true AS is_probability FROM gold_training WHERE label IS NOT NULL AND label_snapshot_date <= DATE '{CUTOFF}' GROUP BY 1, 2",
+)
 def reference_scores(spark, sf_dir):
-    return _candidates(spark, sf_dir).extras["reference_scores"]
+    scores = _candidates(spark, sf_dir).extras["reference_scores"]
+    return scores.groupBy("label", LABEL_SNAPSHOT).agg(F.count(F.lit(1)).alias("row_count"), F.bool_and(F.col("score").between(0, 1)).alias("is_probability"))
 
 
-@query("model_registry")
+@query(
+    "model_registry",
+    f"SELECT count(*) FILTER (label_snapshot_date <= DATE '{CUTOFF}') AS train_rows, count(*) FILTER (label_snapshot_date > DATE '{CUTOFF}') AS test_rows, "
+    f"'{CUTOFF}' AS train_cutoff_date, {len(training.CANDIDATES)}::BIGINT AS candidates, true AS best_leads, true AS model_is_there FROM gold_training WHERE label IS NOT NULL",
+)
 def model_registry(spark, sf_dir):
+    """The stored record against the stored leaderboard and the model at the path it names."""
     bank = scratch_path(spark, "model_bank")
     training.save_model_bank(_candidates(spark, sf_dir), bank)
     board = spark.read.option("header", True).csv(f"{bank}/leaderboard")
-    metadata = spark.read.json(f"{bank}/model_metadata").select("best_model", "train_rows", "test_rows", "train_cutoff_date")
-    return board.join(metadata, board["model_name"] == metadata["best_model"], "left")
+    metadata = spark.read.json(f"{bank}/model_metadata")
+    loaded = len(training.load_model(spark, metadata.first()["model_path"]).stages) > 0
+    return metadata.select(
+        "train_rows",
+        "test_rows",
+        "train_cutoff_date",
+        F.lit(board.count()).cast("bigint").alias("candidates"),
+        (F.col("best_model") == F.col("leaderboard")[0]["model_name"]).alias("best_leads"),
+        F.lit(loaded).alias("model_is_there"),
+    )
 
 
 @query(
@@ -119,10 +178,20 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
-@query("score_batch")
+@query("score_batch", "SELECT loan_id, label_snapshot_date, label, true AS class_follows, true AS band_follows FROM gold_training")
 def score_batch(spark, sf_dir):
+    """Scored rows, and whether class and band are what the score says: half and more is 1, bands are fifths closed on the right."""
     df = _training(spark, sf_dir)
-    return score_frame(training.train_candidates(df, CUTOFF, keys=KEYS).model, df)
+    scored = score_frame(training.train_candidates(df, CUTOFF, keys=KEYS).model, df)
+    fifth = F.greatest(F.ceil(F.col("prediction_score") * 5), F.lit(1)).cast("int")
+    names = F.array(*[F.lit(name) for _, name in SCORE_BANDS])
+    return scored.select(
+        "loan_id",
+        LABEL_SNAPSHOT,
+        "label",
+        (F.col("prediction") == (F.col("prediction_score") >= 0.5).cast("int")).alias("class_follows"),
+        (F.col("score_band") == F.get(names, fifth - 1)).alias("band_follows"),
+    )
 
 
 @query(
