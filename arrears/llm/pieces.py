@@ -23,7 +23,7 @@ _MARKS, _LATIN = frozenset(",.;:!?"), "\u0250"
 
 #: Pieces longer than this are encoded but not remembered.
 REMEMBERED_CHARS = 64
-#: Pieces remembered by one worker before it starts anew.
+#: Pieces remembered by one worker before it starts anew, unless told otherwise.
 REMEMBERED_PIECES = 400_000
 
 
@@ -34,14 +34,15 @@ class PieceEncoder:
     gives the reference result for a whole text, and is called here with pieces.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED_PIECES):
         self._encode = encode
+        self._remembered = remembered
         self._known: dict[str, bytes] = {}
         self._marks: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string for each text; empty texts give empty bytes."""
-        if len(self._known) > REMEMBERED_PIECES:
+        if len(self._known) > self._remembered:
             self._known.clear()
         known, plans, missing, marked = self._known, [], {}, {}
         for text in texts:

@@ -46,6 +46,8 @@ FITTING = 0.9
 #: Ids after which a segment is closed at the next document.
 SEGMENT_IDS = 1_000_000
 
+#: Pieces that a worker remembers; about 200 bytes each.
+REMEMBERED = 1_000_000
 #: Pieces handed to the library as one text.
 JOINED = 200
 
@@ -209,7 +211,7 @@ def _encoder(path: str) -> PieceEncoder:
             out[i] = ids.tobytes()
         return out
 
-    return PieceEncoder(encode)
+    return PieceEncoder(encode, REMEMBERED)
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
