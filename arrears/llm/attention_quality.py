@@ -149,8 +149,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, rounds:
 
     The rows are the ones whose ids have the smallest hashes, so that reruns
     agree. Only their passage descriptions come to the driver. Null labels and
-    ids are left out, and a document whose labels disagree counts as 0. Without
-    any row the model scores everything one half.
+    ids are left out, a document whose labels disagree counts as 0, and of
+    documents with one id the one with the smallest description is learned from.
+    Without any row the model scores everything one half.
     """
     usable = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     rows = usable.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -161,7 +162,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, rounds:
             found = [document_features(t.as_py()).astype("<f4").tobytes() for t in part.column(2)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], names=["doc_id", "quality", "x"])
 
-    got = texts.mapInArrow(run, "doc_id long, quality int, x binary").toArrow().sort_by([("doc_id", "ascending"), ("x", "ascending")])
+    described = texts.mapInArrow(run, "doc_id long, quality int, x binary")
+    # One row an id, so that rows that repeat an id add nothing to what the driver gets.
+    one = described.groupBy("doc_id", "quality").agg(F.min("x").alias("x"))
+    got = one.toArrow().sort_by([("doc_id", "ascending")])
     bags = [np.frombuffer(x, "<f4").reshape(-1, FEATURES) for x in got.column("x").to_pylist()]
     features = np.concatenate(bags) if bags else np.zeros((0, FEATURES), np.float32)
     sizes = np.array([len(b) for b in bags], np.int64)
