@@ -1,5 +1,6 @@
 """Training, comparison, scoring and monitoring on small synthetic loans."""
 
+import inspect
 import random
 
 import pytest
@@ -11,6 +12,7 @@ from arrears.operators.scoring import score_batch
 from arrears.plans import inference, monitoring, search, training
 from arrears.session import materialise, scratch_path
 from arrears.sources.tables import read_table
+from workload import model_queries
 
 
 @pytest.fixture(scope="module")
@@ -133,5 +135,22 @@ def test_search_grid_is_seeded_and_distinct():
     assert len(search.sample_grid(Named(), space, 100)) == 4
 
 
+def test_registered_searches_are_whole(spark, smoke_dir, monkeypatch):
+    whole, asked = search.random_search, []
+
+    def small(*args, **given):
+        call = inspect.signature(whole).bind(*args, **given)
+        call.apply_defaults()
+        asked.append((call.arguments["draws"], call.arguments["folds"], call.arguments["space"]))
+        call.arguments |= {"draws": 1, "folds": 2, "space": {"maxIter": [2], "maxDepth": [2]}}
+        return whole(*call.args, **call.kwargs)
+
+    monkeypatch.setattr(search, "random_search", small)
+    record = model_queries.random_search_cv(spark, smoke_dir).collect()
+    assert record and all(r["hp_params"] == {"maxIter": "2", "maxDepth": "2"} for r in record)
+    assert model_queries.score_snapshots(spark, smoke_dir).count() > 0
+    assert asked == [(100, 3, search.SEARCH_SPACE)] * 2
+
+
 def test_numeric_expression_reads_plain_numbers(spark):
     assert spark.sql(f"SELECT {numeric(chr(39) + '1e3' + chr(39))} AS x").first()["x"] == 1000.0

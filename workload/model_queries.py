@@ -212,19 +212,25 @@ def _behaviour_rows(spark, sf_dir):
     return materialise(join_label_month(inputs.gold_labels(), inputs.silver_clickstream()), "labels_with_clicks")
 
 
+def _at_once(spark):
+    """Settings that are fitted at the same time; each fit is many small jobs."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 @query("random_search_cv")
 def random_search_cv(spark, sf_dir):
+    """Record of the whole documented search: all draws of the whole space, three folds."""
     run = search.train_behaviour_model(
-        _behaviour_rows(spark, sf_dir), F.lit("2000-04-01").cast("date"), KEYS, draws=2
+        _behaviour_rows(spark, sf_dir), F.lit("2000-04-01").cast("date"), KEYS, parallelism=_at_once(spark)
     )
-    return run.record.drop("hp_params")
+    return run.record
 
 
 @query("score_snapshots", "SELECT Customer_ID, snapshot_date, 'credit_model_2000_04_01' AS model_name FROM silver_clickstream")
 def score_snapshots(spark, sf_dir):
-    space = {name: values[:1] for name, values in search.SEARCH_SPACE.items()}
+    """Snapshots that the winner of the whole search scores; the scores themselves, which SQL cannot give, stay in the table."""
     rows = _behaviour_rows(spark, sf_dir)
-    model, _, _ = search.random_search(training.labelled(rows), draws=1, folds=2, space=space, keys=KEYS)
+    model, _, _ = search.random_search(training.labelled(rows), parallelism=_at_once(spark), keys=KEYS)
     features = Inputs(spark, sf_dir).silver_clickstream().select("Customer_ID", "snapshot_date", *CLICK_COLUMNS)
     path = scratch_path(spark, "snapshot_predictions")
     inference.score_snapshots(model, features, "credit_model_2000_04_01", path)
