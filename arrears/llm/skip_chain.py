@@ -10,11 +10,13 @@ observed; the others are free. Potentials are
 * of nodes that are the same or similar but far apart (the skips): equal digits,
   the same last nine digits, or the same name before the at sign.
 
-Skips lead from each node to the next one with the same key, so their number
-grows with the nodes and not with their pairs. Loopy message passing carries
-the label of an observed mention to the others in the document, for example to
-a telephone number that is repeated without its country code. A free node whose
-most probable label is a kind becomes a span.
+Skips lead from each node to the next one with the same key, and from each free
+node to an observed one with its key, so their number grows with the nodes and
+not with their pairs, and every free mention hears of an observed one in the
+first round, however many lie between. Loopy message passing carries the label
+of an observed mention to the others in the document, for example to a telephone
+number that is repeated without its country code. A free node whose most
+probable label is a kind becomes a span.
 
 Weights are learned from the base spans of a bounded sample of documents. A
 free node that shares a skip with an observed one is left out of the learning,
@@ -169,6 +171,23 @@ def skips(found: list[Node]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def anchored(found: list[Node], seen: list[int]) -> list[tuple[int, int]]:
+    """Places of free nodes, each with the last observed one before it that shares a key, or else the first one."""
+    first: dict[str, int] = {}
+    for i, node in enumerate(found):
+        if seen[i] >= 0:
+            for key in node.keys:
+                first.setdefault(key, i)
+    out, last = set(), dict(first)
+    for i, node in enumerate(found):
+        for key in node.keys:
+            if seen[i] >= 0:
+                last[key] = i
+            elif key in last:
+                out.add((min(i, last[key]), max(i, last[key])))
+    return sorted(out)
+
+
 def observed(found: list[Node], base: list[Span]) -> list[int]:
     """Kind of the base span that each node overlaps, or -1; one sweep over both."""
     out, at = [], 0
@@ -218,7 +237,7 @@ def infer(found: list[Node], seen: list[int], w: Weights) -> np.ndarray:
     """Label probabilities of all nodes, by loopy sum-product over chain and skip edges."""
     n, labels = len(found), NONE + 1
     own = potentials(found, seen, w)
-    pairs = [(i, i + 1, 0) for i in range(n - 1)] + [(a, b, 1) for a, b in skips(found)]
+    pairs = [(i, i + 1, 0) for i in range(n - 1)] + [(a, b, 1) for a, b in sorted({*skips(found), *anchored(found, seen)})]
     if not pairs:
         return _normal(own)
     a, b, which = np.array(pairs).T
@@ -227,10 +246,12 @@ def infer(found: list[Node], seen: list[int], w: Weights) -> np.ndarray:
     table = np.concatenate([table, table.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
     message = np.zeros((len(source), labels))
+    # What is observed stays so, however many messages say otherwise.
+    fixed = np.array(seen) >= 0
     for _ in range(ROUNDS):
         belief = own.copy()
         np.add.at(belief, target, message)
-        out = belief[source] - message[back]
+        out = np.where(fixed[source, None], own[source], belief[source] - message[back])
         new = np.logaddexp.reduce(out[:, :, None] + table, axis=1)
         new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
         moved = np.abs(new - message).max()
@@ -239,7 +260,7 @@ def infer(found: list[Node], seen: list[int], w: Weights) -> np.ndarray:
             break
     belief = own.copy()
     np.add.at(belief, target, message)
-    return _normal(belief)
+    return _normal(np.where(fixed[:, None], own, belief))
 
 
 def _normal(log: np.ndarray) -> np.ndarray:
@@ -274,7 +295,7 @@ def counts(text: str) -> dict[str, np.ndarray]:
     look, chain, skip = np.zeros((LOOKS, NONE + 1)), np.zeros((NONE + 1, NONE + 1)), np.zeros((NONE + 1, NONE + 1))
     found = nodes(text)
     seen = observed(found, base_spans(text))
-    edges = skips(found)
+    edges = sorted({*skips(found), *anchored(found, seen)})
     asked = {i for a, b in edges for i, j in ((a, b), (b, a)) if seen[i] < 0 <= seen[j]}
     label = [NONE if kind < 0 else kind for kind in seen]
     for i, node in enumerate(found):

@@ -67,6 +67,17 @@ def test_what_repeats_nothing_stays(weights):
         assert base == spans
 
 
+def test_hundreds_of_repeats_get_the_label(weights):
+    first, again = "+1 (632) 555-4827", "(632) 555-4827"
+    for n in (60, 700):
+        for between in (" and ", " or 20240101 and "):
+            for parts in ([first, *[again] * n], [*[again] * n, first], [*[again] * n, first, *[again] * n]):
+                text = between.join(parts)
+                base, spans = find(text, weights)
+                assert len(base) == 1 and len(spans) == len(parts), (n, between, len(spans))
+                assert again not in masked(text, spans)
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(3)
     w = Weights(rng.normal(size=(40, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)))
