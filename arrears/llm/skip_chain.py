@@ -48,6 +48,12 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _GROUP = re.compile(r"\(?[0-9][0-9\x20().-]{5,}[0-9]")
+#: Where one group surely holds two numbers: after a full stop, or between brackets.
+_CUT = re.compile(r"\.\x20+|\)\x20*(?=\()")
+_RUN = re.compile(r"[0-9]+")
+_TAIL = re.compile(r"[A-Za-z0-9.-]*")
+#: Digits of one number, at least and at most.
+LEAST_DIGITS, MOST_DIGITS = 7, 19
 
 Span = tuple[int, int, int]
 
@@ -140,22 +146,66 @@ def _looks(text: str, start: int, end: int, at: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def nodes(text: str) -> list[Node]:
-    """Strings around at signs, and groups of seven digits or more, in order of their starts."""
+def number_keys(digits: str) -> tuple[str, ...]:
+    """Keys of a number: all its digits, and the last nine where it may be a number with a prefix."""
+    return ("d" + digits, *(("s" + digits[-9:],) if 9 <= len(digits) <= MOST_DIGITS else ()))
+
+
+def pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of a group of digits between the places where it surely holds two numbers; the group itself if there are none."""
+    cuts = [(m.start(), m.end()) for m in _CUT.finditer(text, start, end)]
+    return list(zip([start, *(b for _, b in cuts)], [*(a for a, _ in cuts), end]))
+
+
+def known_within(text: str, start: int, end: int, known: set[str]) -> list[tuple[int, int]]:
+    """Neighbouring runs of digits of a group that make up a known number, from the left, not overlapping.
+
+    All digits equal go before the last nine equal; of the latter the shortest
+    counts, so that digits beside a number stay outside.
+    """
+    runs = [(m.start(), m.end(), m.group()) for m in _RUN.finditer(text, start, end)]
+    out, i = [], 0
+    while i < len(runs):
+        digits, same, alike = "", -1, -1
+        for j in range(i, len(runs)):
+            if len(digits) + len(runs[j][2]) > MOST_DIGITS:
+                break
+            digits += runs[j][2]
+            if len(digits) >= LEAST_DIGITS and "d" + digits in known:
+                same = j
+            if alike < 0 and len(digits) >= 9 and "s" + digits[-9:] in known and all("s" + "".join(r[2] for r in runs[k : j + 1])[-9:] not in known for k in range(i + 1, j + 1)):
+                alike = j
+        j = same if same >= 0 else alike
+        if j >= 0:
+            low, high = runs[i][0], runs[j][1]
+            out.append((low - (low > start and text[low - 1] == "(" and ")" in text[low:high]), high))
+        i = max(i, j) + 1
+    return out
+
+
+def nodes(text: str, base: list[Span] | tuple = ()) -> list[Node]:
+    """Strings around at signs, and groups of seven digits or more, in order of their starts.
+
+    A group may hold several numbers. Its parts at sure cuts are nodes too, and
+    so are the runs of digits in it that make up a number of ``base``.
+    """
     out, at, free = [], text.find("@"), 0
     while at >= 0:
         start = at - len(text[free:at]) + len(text[free:at].rstrip(_NAME))
-        rest = re.match(r"[A-Za-z0-9.-]*", text[at + 1 : at + 256]).end()
-        end = at + 1 + rest
+        end = _TAIL.match(text, at + 1).end()
         if start < at:
             out.append(Node(start, end, _looks(text, start, end, at), ("n" + text[start:at].lower(),)))
         free = max(at + 1, end)
         at = text.find("@", free)
+    known = {key for a, kind, b in base if kind for part in {(a, b), *pieces(text, a, b)} for key in number_keys("".join(_RUN.findall(text, *part)))}
     for m in _GROUP.finditer(text):
-        digits = "".join(filter(str.isdigit, m.group()))
-        if len(digits) >= 7:
-            keys = ("d" + digits, *(("s" + digits[-9:],) if len(digits) >= 9 else ()))
-            out.append(Node(m.start(), m.end(), _looks(text, m.start(), m.end(), -1), keys))
+        parts = {m.span(), *pieces(text, *m.span())}
+        if known:
+            parts |= {part for p in parts for part in known_within(text, *p, known)}
+        for start, end in parts:
+            digits = "".join(_RUN.findall(text, start, end))
+            if len(digits) >= LEAST_DIGITS:
+                out.append(Node(start, end, _looks(text, start, end, -1), number_keys(digits)))
     return sorted(out, key=lambda n: (n.start, n.end))
 
 
@@ -272,14 +322,15 @@ def find(text: str, w: Weights) -> tuple[list[Span], list[Span]]:
     if "@" not in text and not any(map(text.__contains__, "0123456789")):
         return [], []
     base = base_spans(text)
-    found = nodes(text)
+    found = nodes(text, base)
     seen = observed(found, base)
     if not found or not base or min(seen) >= 0:
         # Without an observed node nothing carries a label to a free one.
         return base, base
     best = infer(found, seen, w).argmax(axis=1)
     added, free = [], 0
-    for node, kind, label in zip(found, seen, best.tolist()):
+    # Of nodes that start together the longest counts.
+    for node, kind, label in sorted(zip(found, seen, best.tolist()), key=lambda x: (x[0].start, -x[0].end)):
         if kind < 0 and label != NONE and node.start >= free:
             added.append((node.start, label, node.end))
             free = node.end
@@ -293,8 +344,9 @@ def spelled(spans: list[Span]) -> str:
 def counts(text: str) -> dict[str, np.ndarray]:
     """What learning needs of one text: looks by label, neighbour and skip label pairs."""
     look, chain, skip = np.zeros((LOOKS, NONE + 1)), np.zeros((NONE + 1, NONE + 1)), np.zeros((NONE + 1, NONE + 1))
-    found = nodes(text)
-    seen = observed(found, base_spans(text))
+    base = base_spans(text)
+    found = nodes(text, base)
+    seen = observed(found, base)
     edges = sorted({*skips(found), *anchored(found, seen)})
     asked = {i for a, b in edges for i, j in ((a, b), (b, a)) if seen[i] < 0 <= seen[j]}
     label = [NONE if kind < 0 else kind for kind in seen]

@@ -78,6 +78,27 @@ def test_hundreds_of_repeats_get_the_label(weights):
                 assert again not in masked(text, spans)
 
 
+def test_digits_beside_a_repeated_number_do_not_hide_it(weights):
+    number, again, card = "+1 (632) 555-4827", "(632) 555-4827", "4539 5787 6362 1486"
+    for text, hidden, n in (
+        (f"call {number}, or {again}. 3 items", again, 1),
+        (f"call {number}. 3 items, or {again} today", again, 1),
+        (f"call {number}, or {again} {again}, or {again} (632) 111-2222", again, 3),
+        (f"call {number}, or 20240101 {again} 17", again, 1),
+        (f"paid by {card}. 3 items, not {card}. 20 items", card, 0),
+        (f"paid by {card}, see 12. 4539-5787.6362-1486. 7", "4539-5787.6362-1486", 1),
+    ):
+        base, spans = find(text, weights)
+        assert len(spans) - len(base) == n and hidden not in masked(text, spans), text
+    text = f"{number} or {again} (632) 111-2222"
+    assert masked(text, find(text, weights)[1]) == "<PHONE> or <PHONE> (632) 111-2222"
+
+
+def test_long_hosts_are_whole():
+    text = "anna@" + "a" * 400 + " more"
+    assert [text[n.start : n.end] for n in nodes(text)] == [text[:-5]]
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(3)
     w = Weights(rng.normal(size=(40, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)))
