@@ -18,9 +18,9 @@ of an observed mention to the others in the document, for example to a telephone
 number that is repeated without its country code. A free node whose most
 probable label is a kind becomes a span.
 
-Weights are learned from the base spans of a bounded sample of documents. A
-free node that shares a skip with an observed one is left out of the learning,
-since its label is what is being asked.
+Weights are learned from the base spans of all documents, as sums. A free node
+that shares a skip with an observed one is left out of the learning, since its
+label is what is being asked.
 """
 
 from __future__ import annotations
@@ -37,8 +37,6 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-#: Documents that the weights are learned from, at most.
-TRAINING_DOCS = 3_000
 #: Rounds of message passing, and the change below which it ends.
 ROUNDS, STILL = 30, 1e-4
 
@@ -380,13 +378,12 @@ def learn(total: dict[str, np.ndarray]) -> Weights:
     return Weights(given, np.clip(chain, -CHAIN_LIMIT, CHAIN_LIMIT), np.clip(skip, -SKIP_LIMIT, SKIP_LIMIT))
 
 
-def train(docs: DataFrame, most: int = TRAINING_DOCS) -> Weights:
-    """Weights from ``most`` rows at most: those whose ids have the smallest hashes, null ids left out.
+def train(docs: DataFrame) -> Weights:
+    """Weights from all rows; null texts count as empty.
 
     Only sums come to the driver. Without any row the weights are those of smoothing alone.
     """
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).distinct()
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).join(F.broadcast(rows), "doc_id").select("t")
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("t"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None

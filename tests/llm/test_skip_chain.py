@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from arrears.llm.queries import op1_skip_chain
-from arrears.llm.skip_chain import KINDS, NONE, Node, Weights, base_spans, find, infer, learn, luhn, mask_personal_data, masked, nodes, personal_data, potentials, skips, spelled, train
+from arrears.llm.skip_chain import KINDS, NONE, Node, Weights, base_spans, counts, find, infer, learn, luhn, mask_personal_data, masked, nodes, personal_data, potentials, skips, spelled, train
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -99,6 +99,15 @@ def test_long_hosts_are_whole():
     assert [text[n.start : n.end] for n in nodes(text)] == [text[:-5]]
 
 
+def test_weights_come_from_all_documents(spark):
+    # More rows than the sample of old had, some without id and some with one id; only one holds a card.
+    texts = [f"write a{i}@b.cc" for i in range(3_200)] + ["pay 4539 5787 6362 1486", None]
+    docs = spark.createDataFrame([(i // 2 if i % 5 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    each = [counts(t or "") for t in texts]
+    want, got = learn({k: sum(x[k] for x in each) for k in each[0]}), train(docs)
+    assert all(np.allclose(getattr(got, k), getattr(want, k)) for k in ("look", "chain", "skip"))
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(3)
     w = Weights(rng.normal(size=(40, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)))
