@@ -210,11 +210,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, doc_id:
     """Groups of rows whose fingerprints are linked at ``radius`` or fewer differing bits.
 
     One row for each row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits),
-    ``component_id`` (smallest doc_id reachable, its own included), ``fp`` and
-    ``text_key``. Rows without words have fingerprint zero and are linked like
-    any other. Equal fingerprints are one node, so copies cost no pairs. Rows
-    without doc_id are linked too; a group with no doc_id at all has a null
-    component_id. An empty table gives an empty one; other columns are ignored.
+    ``component_id`` (smallest doc_id reachable, its own included), ``fp``,
+    ``text_key`` and ``component`` (smallest ``fp`` reachable, which tells groups
+    apart where ids repeat or are null). Rows without words have fingerprint zero
+    and are linked like any other. Equal fingerprints are one node, so copies
+    cost no pairs. Rows without doc_id are linked too; a group with no doc_id at
+    all has a null component_id. An empty table gives an empty one; other columns are ignored.
     """
     rows = materialise(fingerprints(docs, shingle, doc_id, text), "fingerprints")
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
@@ -222,8 +223,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, doc_id:
     found = materialise(components(edges), "components")
     labelled = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", "text_key")
+    named = labelled.join(least, "component").select("fp", "component_id", "component")
+    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", "text_key", "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -233,8 +234,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """
     groups = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
     own = groups.where("doc_id <=> component_id")
-    # A group without ids is told by the smallest text key of its fingerprints.
-    chosen = own.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("g")).agg(F.min("text_key").alias("text_key"))
+    chosen = own.groupBy("component").agg(F.min("component_id").alias("__id"), F.min("text_key").alias("__chosen"))
     keyed = docs.withColumn("__key", text_key(F.col("text")))
-    kept = keyed.join(chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__chosen")), F.expr("doc_id <=> __id AND __key = __chosen"), "left_semi")
+    kept = keyed.join(chosen, F.expr("doc_id <=> __id AND __key = __chosen"), "left_semi")
     return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")

@@ -103,3 +103,15 @@ def test_fingerprint_of_few_words():
     assert fingerprint("") == fingerprint(" \n") == 0
     assert fingerprint("One") == xxhash.xxh64_intdigest(b"one", 42)
     assert fingerprint("ÀB c") == xxhash.xxh64_intdigest("Àb c".encode(), 42)
+
+
+def test_one_row_a_group_whatever_the_ids(spark):
+    rng = random.Random(8)
+    one, two, three = ([f"w{rng.randrange(10**6)}" for _ in range(600)] for _ in range(3))
+    near = next(t for i in range(600) if 1 <= (fingerprint(" ".join(three)) ^ fingerprint(t := " ".join([*three[:i], "other", *three[i + 1 :]]))).bit_count() <= 3)
+    one, two, three = map(" ".join, (one, two, three))
+    # Two groups with the same smallest id, and one without ids but with two fingerprints.
+    rows = [(1, one), (2, one), (1, two), (3, two), (None, three), (None, near), (None, near)]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in kept].count(1) == 2 and {r.text for r in kept if r.doc_id} == {one, two}
+    assert len(kept) == 3 and {r.text for r in kept if r.doc_id is None} < {three, near}
