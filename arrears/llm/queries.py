@@ -8,7 +8,22 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import attention_quality, deep_shallow, oracle, pivotal_mix, prefix_bpe, risk_rules, separator_scan, simhash_balls, skip_chain, token_files, uniform_threshold
+from arrears.llm import (
+    attention_quality,
+    deep_shallow,
+    merkle_manifest,
+    oracle,
+    pivotal_mix,
+    prefix_bpe,
+    risk_rules,
+    separator_scan,
+    simhash_balls,
+    skip_chain,
+    spelling_groups,
+    token_files,
+    uniform_threshold,
+    wu_manber,
+)
 from arrears.llm.common import read_table
 from arrears.llm.settings import END_OF_DOCUMENT, PATTERN, RANKS, TOKENIZER
 
@@ -77,6 +92,35 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_quality.score(docs, attention_quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_bit_sliced_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = merkle_manifest.manifest(
+        docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": merkle_manifest.lower_ascii(F.col("text"))}, where_changed=tampered
+    )
+    return merkle_manifest.verify(leaves).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wu_manber.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda n, run: n + run["end"] - run["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hit_runs") > 0).alias("contaminated"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,3 +128,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL["op2_uniform_threshold"] = oracle.TOP_K
 ORACLE_SQL["op6_risk_rules"] = oracle.risk_rules()
+ORACLE_SQL["op11_bit_sliced_variants"] = oracle.SPELLING
+ORACLE_SQL["op12_merkle_manifest"] = oracle.merkle()
+ORACLE_SQL["op13_wu_manber"] = oracle.DECONTAMINATION
