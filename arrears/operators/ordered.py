@@ -1,23 +1,57 @@
 """Exact order statistics of groups too big for one task.
 
-Equal values are summed up first, so a value held by a third of all rows is
-one row. The values of every group are then cut into ranges whose number grows
-with the rows of the largest group, each range is ordered on its own, and the
-totals of the ranges below are added. No task ever sees a whole big group,
-only one number is collected, and results do not depend on where the cuts fall.
+Equal values are summed up first, so a value held by a third of all rows is one
+row; these sums are stored, so the input is read once. Every value has an
+integer form of the same order, and its leading bits name the range of values it
+lies in. A range with too many different values is divided by its next bits,
+until none is left. Ranges are ordered on their own and the totals of the ranges
+below are added. No task ever sees a whole big group, nothing is sampled or sent
+along with the rows, and results do not depend on where ranges end.
+
+Medians of many columns and the cut of a split need no order of rows at all:
+they are found by counting, in passes over the columns side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.session import materialise
 
-# Rows that one range should hold.
+#: Different values that one range should hold.
 ROWS_PER_RANGE = 1_000_000
+#: Bits below the leading ones: ranges start with sign, exponent and eight bits of the fraction.
+FIRST_SHIFT = 44
+#: Bits by which a heavy range is divided at a time.
+STEP = 12
+#: Values that may come to the driver to pick one by its rank.
+LISTED = 5_000
+#: Accuracy of the sketches that bracket a rank.
+ACCURACY = 2_000
+
+
+def order_bits(value: str) -> str:
+    """SQL for the integer whose order is that of the numbers ``value``: sign and magnitude of the 64-bit float.
+
+    The exponent comes from the logarithm, corrected by comparison with the
+    powers of two beside it, so the form is exact. Not-a-number is the largest.
+    """
+    x = f"cast({value} AS double)"
+    size = f"abs({x})"
+    guess = f"floor(log2({size}))"
+    exponent = f"({guess} + CASE WHEN {size} >= pow(2D, {guess} + 1) THEN 1 WHEN {size} < pow(2D, {guess}) THEN -1 ELSE 0 END)"
+    normal = f"(cast({exponent} AS bigint) + 1023) * {2**52} + cast(({size} / pow(2D, {exponent}) - 1) * {2**52}D AS bigint)"
+    magnitude = (
+        f"CASE WHEN isnan({x}) THEN {0x7FF8 << 48} WHEN {size} = double('Infinity') THEN {0x7FF0 << 48} "
+        f"WHEN {size} < pow(2D, -1022) THEN cast({size} / pow(2D, -1074) AS bigint) ELSE {normal} END"
+    )
+    return f"(CASE WHEN {x} < 0 THEN -1 ELSE 1 END * ({magnitude}))"
 
 
 def value_counts(
@@ -27,33 +61,28 @@ def value_counts(
     return df.groupBy(*groups, value).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
 
 
-def range_cuts(df: DataFrame, groups: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
-    """Ascending cut points per group, and the number of ranges they make, a power of two.
+def _range_at(shift: int) -> Column:
+    """Smallest integer form with the same leading bits."""
+    return F.shiftleft(F.shiftright("_bits", shift), shift)
+
+
+def with_ranges(counts: DataFrame, groups: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Rows with ``_bits`` also get ``_range``, the least integer form of the range they lie in.
 
-    The number follows from the rows of the largest group. One narrow scan with
-    sketches, no shuffle of rows. The cuts are written out: a sketch may merge
-    differently when it is computed again, and every branch of a plan has to
-    use the same cuts.
+    Ranges of one group do not overlap, so they are in the order of their
+    ``_range``, however far each was divided. Heavy ranges are few: rows over
+    ``rows_per_range`` at most.
     """
-    most = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
-    ranges = 2
-    while ranges * rows_per_range < most:
-        ranges *= 2
-    probabilities = [i / ranges for i in range(1, ranges)]
-    accuracy = max(10_000, 10 * ranges)
-    cuts = df.groupBy(*groups).agg(F.percentile_approx(value, probabilities, accuracy).alias("_cuts"))
-    return materialise(cuts, "range_cuts"), ranges
-
-
-def _with_range(df: DataFrame, groups: Sequence[str], value: str, cuts: DataFrame, ranges: int) -> DataFrame:
-    """Number of cuts at or below the value, by bisection."""
-    df = df.join(cuts, list(groups)) if groups else df.withColumn("_cuts", cuts.scalar())
-    columns = [f"`{c}`" for c in df.columns]
-    reached, step = "0", ranges // 2
-    while step >= 1:
-        df = df.selectExpr(*columns, f"{reached} + if(`{value}` >= get(_cuts, {reached} + {step - 1}), {step}, 0) AS _range")
-        reached, step = "_range", step // 2
-    return df.drop("_cuts")
+    frame, shift = counts.withColumn("_range", _range_at(FIRST_SHIFT)), FIRST_SHIFT
+    while shift > 0:
+        heavy = frame.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_values")).where(F.col("_values") > rows_per_range)
+        heavy = heavy.select(*groups, "_range", F.lit(True).alias("_heavy"))
+        if heavy.limit(1).count() == 0:
+            break
+        shift = max(shift - STEP, 0)
+        marked = frame.join(materialise(heavy, "heavy"), [*groups, "_range"], "left")
+        frame = marked.withColumn("_range", F.when(F.col("_heavy"), _range_at(shift)).otherwise(F.col("_range"))).drop("_heavy")
+    return frame
 
 
 def running_totals(
@@ -70,8 +99,8 @@ def running_totals(
     """
     groups = list(groups)
     present = df.dropna(subset=[*groups, value])
-    cuts, ranges = range_cuts(present.select(*groups, value), groups, value, rows_per_range)
-    counts = _with_range(value_counts(present, groups, value, sums), groups, value, cuts, ranges)
+    stored = materialise(value_counts(present, groups, value, sums).withColumn("_bits", F.expr(order_bits(f"`{value}`"))), "value_counts")
+    counts = with_ranges(stored, groups, rows_per_range)
     in_group = Window.partitionBy(*groups) if groups else Window.partitionBy()
     # One row per group and range.
     per_range = counts.groupBy(*groups, "_range").agg(*[F.sum(s).alias(s) for s in sums])
@@ -123,11 +152,114 @@ def exact_quantiles(
     return found.selectExpr(*groups, f"array({', '.join(found_at)}) AS quantiles")
 
 
-def value_at_count(
-    df: DataFrame, groups: Sequence[str], value: str, share: float, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
-    """Per group the smallest value at or below which ``round(share * rows)`` rows lie."""
-    totals = running_totals(df, groups, value, {"n": F.lit(1)}, rows_per_range)
-    wanted = F.round(F.lit(float(share)) * F.col("n_total"))
-    reached = F.col("n_below") + F.col("n") >= wanted
-    return totals.groupBy(*groups).agg(F.min(F.when(reached & (wanted > 0), F.col(value))).alias("cut"))
+class _Bracket:
+    """Ranks of one column that are looked for between two of its values, both exclusive; None is open.
+
+    ``below`` rows of the column lie at or under ``low``, ``inside`` strictly between.
+    """
+
+    def __init__(self, column: str, ranks: list[int], low=None, high=None, below: int = 0, inside: int = 0):
+        self.column, self.ranks, self.low, self.high, self.below, self.inside = column, ranks, low, high, below, inside
+
+    def values(self) -> Column:
+        x = F.col(f"`{self.column}`").cast("double")
+        within = [c for c in (None if self.low is None else x > self.low, None if self.high is None else x < self.high) if c is not None]
+        for c in within:
+            x = F.when(c, x)
+        return x
+
+    def sketch(self, accuracy: int) -> Column:
+        """Two values around the ranks: four errors of the sketch apart, ends included."""
+        spread = 2 / accuracy
+        first, last = ((r - self.below) / max(self.inside - 1, 1) for r in (min(self.ranks), max(self.ranks)))
+        return F.percentile_approx(self.values(), [max(first - spread, 0.0), min(last + spread, 1.0)], accuracy)
+
+    def counts(self, low, high) -> Column:
+        x = self.values()
+        return F.struct(F.count_if(x < low), F.count_if(x == low), F.count_if((x > low) & (x < high)), F.count_if(x == high))
+
+    def parted(self, low, high, counted, found: dict) -> list[_Bracket]:
+        """Ranks that fall on ``low`` or ``high`` go to ``found``; narrower brackets for the others."""
+        under, at_low, between, at_high = counted
+        at_high = 0 if low == high else at_high
+        edges = [self.below + n for n in (under, under + at_low, under + at_low + between, under + at_low + between + at_high)]
+        over = self.below + self.inside - edges[3]
+        parts = [
+            _Bracket(self.column, [r for r in self.ranks if r < edges[0]], self.low, low, self.below, under),
+            _Bracket(self.column, [r for r in self.ranks if edges[1] <= r < edges[2]], low, high, edges[1], between),
+            _Bracket(self.column, [r for r in self.ranks if r >= edges[3]], high, self.high, edges[3], over),
+        ]
+        for r in self.ranks:
+            if edges[0] <= r < edges[1]:
+                found[self.column, r] = low
+            elif edges[2] <= r < edges[3]:
+                found[self.column, r] = high
+        return [p for p in parts if p.ranks]
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY, listed: int = LISTED) -> dict[str, float | None]:
+    """Median of every column, None without values; ``df`` is read several times, all columns side by side.
+
+    A pass of sketches brackets the middle ranks, a pass of counts says how many
+    values lie below and inside, and the few inside are listed; where too many
+    are left, the bracket is narrowed in the same way. Nothing is shuffled but
+    sketches and counts, and sketches only steer: every result is exact.
+    """
+    sizes = df.agg(F.struct(*[F.count(F.col(f"`{c}`").cast("double")) for c in columns]).alias("n")).first()["n"]
+    wanted = {c: sorted({(n - 1) // 2, n // 2}) for c, n in zip(columns, sizes) if n}
+    open_brackets = [_Bracket(c, ranks, inside=n) for (c, n), ranks in ((z, wanted[z[0]]) for z in zip(columns, sizes) if z[1])]
+    found: dict[tuple[str, int], float] = {}
+    while open_brackets:
+        few = [b for b in open_brackets if b.inside <= listed]
+        many = [b for b in open_brackets if b.inside > listed]
+        open_brackets = []
+        if few:
+            rows = df.agg(F.struct(*[F.sort_array(F.collect_list(b.values())) for b in few]).alias("v")).first()["v"]
+            found.update({(b.column, r): values[r - b.below] for b, values in zip(few, rows) for r in b.ranks})
+        if many:
+            ends = df.agg(F.struct(*[b.sketch(accuracy) for b in many]).alias("v")).first()["v"]
+            counted = df.agg(F.struct(*[b.counts(low, high) for b, (low, high) in zip(many, ends)]).alias("v")).first()["v"]
+            for b, (low, high), c in zip(many, ends, counted):
+                open_brackets += b.parted(low, high, c, found)
+    return {c: (found[c, wanted[c][0]] + found[c, wanted[c][-1]]) / 2 if c in wanted else None for c in columns}
+
+
+def share_cuts(df: DataFrame, group: str, value: str, share: float, bits: int = 60, listed: int = LISTED) -> dict:
+    """Per value of ``group`` the smallest ``value`` at or below which ``round(share * rows)`` rows lie, None if that is no row.
+
+    ``value`` is an integer from 0 up to ``2 ** bits``. Radix selection: the
+    rows are counted by the leading bits, then those of the one bin that holds
+    the cut by the next bits, until the bin is small enough to be listed or one
+    value. ``df`` is read once a step; at most ``2 ** STEP`` counts of each group
+    come to the driver. Rows with a null group are left out.
+    """
+    x, g = F.col(f"`{value}`"), F.col(f"`{group}`")
+    rows = df.where(g.isNotNull() & x.isNotNull())
+
+    def counted(inside: DataFrame, shift: int) -> dict[object, list[tuple[int, int]]]:
+        found: dict = {}
+        for r in inside.groupBy(g.alias("g"), F.shiftright(x, shift).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect():
+            found.setdefault(r["g"], []).append((r["bin"], r["n"]))
+        return {key: sorted(pairs) for key, pairs in found.items()}
+
+    def holding(found: list[tuple[int, int]], rank: int) -> tuple[int, int, int]:
+        """The bin that holds the row of that rank (from 1), the rank in it, and its rows."""
+        for at, n in found:
+            if rank <= n:
+                return at, rank, n
+            rank -= n
+        raise ValueError("the rows changed between two passes")
+
+    shift = max(bits - STEP, 0)
+    first = counted(rows, shift)
+    # Rounded as Spark rounds doubles, half away from zero.
+    ranks = {key: int(Decimal(repr(share * sum(n for _, n in found))).quantize(Decimal(1), ROUND_HALF_UP)) for key, found in first.items()}
+    cuts: dict = dict.fromkeys(first)
+    bins = {key: holding(found, ranks[key]) for key, found in first.items() if ranks[key] > 0}
+    while bins and shift > 0:
+        places = [(g == F.lit(key)) & (F.shiftright(x, shift) == at) for key, (at, _, _) in bins.items()]
+        few = max(size for _, _, size in bins.values()) <= listed
+        shift = 0 if few else max(shift - STEP, 0)
+        found = counted(rows.where(reduce(or_, places)), shift)
+        bins = {key: holding(found[key], rank) for key, (_, rank, _) in bins.items()}
+    return cuts | {key: at for key, (at, _, _) in bins.items()}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from arrears.constants import LABEL_SNAPSHOT, SPLIT_SEED
 from arrears.functions.dates import ModelWindows
-from arrears.operators.ordered import ROWS_PER_RANGE, value_at_count
+from arrears.operators.ordered import LISTED, share_cuts
+from arrears.session import held
 
 TRAIN, TEST, OOT = "train", "test", "oot"
 
@@ -52,19 +53,28 @@ def stratified_split(
     label: str = "label",
     train_share: float = 0.8,
     seed: int = SPLIT_SEED,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = LISTED,
 ) -> DataFrame:
     """Adds ``split`` with the same train share in every label.
 
     Per label the rows with the smallest hashes are train, up to the rounded
     share; rows with the same key stay together. Unlabelled rows get no split.
+    The cuts are found by counting leading bits of the hashes; the split itself
+    is a narrow projection. ``rows_per_range`` is how many hashes may be listed
+    to pick a cut.
     """
-    hashed = df.withColumn("_hash", hash_number(keys, seed))
-    cuts = value_at_count(hashed, [label], "_hash", train_share, rows_per_range)
-    # One row per class of a binary label.
-    marked = hashed.join(F.broadcast(cuts), label, "left")
-    side = F.when(F.col("_hash") <= F.col("cut"), TRAIN).when(F.col(label).isNotNull(), TEST)
-    return marked.withColumn("split", side).select(*df.columns, "split")
+    hashed = df.select(F.col(label), hash_number(keys, seed).alias("_hash"))
+    with held(hashed) as kept:
+        cuts = share_cuts(kept, label, "_hash", train_share, listed=rows_per_range)
+    return df.withColumn("split", _side(cuts, label, hash_number(keys, seed)))
+
+
+def _side(cuts: dict, label: str, number: Column) -> Column:
+    """Train up to the cut of the label (one a class), else test; null without label."""
+    in_train = F.lit(False)
+    for value, cut in cuts.items():
+        in_train = in_train | ((F.col(label) == F.lit(value)) & (number <= F.lit(cut if cut is not None else -1)))
+    return F.when(in_train, TRAIN).when(F.col(label).isNotNull(), TEST)
 
 
 def temporal_side(cutoff: str, date_column: str = LABEL_SNAPSHOT) -> Column:
@@ -141,15 +151,10 @@ def window_split(
     day = F.col(date_column)
     inside = df.filter((day >= w.train_test_start) & (day <= w.oot_end))
     is_oot = day >= w.oot_start
-    hashed = inside.withColumn("_hash", hash_number(keys, seed))
-    cuts = value_at_count(hashed.filter(~is_oot), [label], "_hash", train_share)
-    side = (
-        F.when(is_oot, OOT)
-        .when(F.col("_hash") <= F.col("cut"), TRAIN)
-        .when(F.col(label).isNotNull(), TEST)
-    )
-    # One row per class of a binary label.
-    return hashed.join(F.broadcast(cuts), label, "left").withColumn("split", side).select(*df.columns, "split")
+    hashed = inside.where(~is_oot).select(F.col(label), hash_number(keys, seed).alias("_hash"))
+    with held(hashed) as kept:
+        cuts = share_cuts(kept, label, "_hash", train_share)
+    return inside.withColumn("split", F.when(is_oot, OOT).otherwise(_side(cuts, label, hash_number(keys, seed))))
 
 
 def split_stats(df: DataFrame, label: str = "label", digits: int = 2) -> DataFrame:

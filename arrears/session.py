@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -81,3 +84,17 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame on the executors while it is read repeatedly.
+
+    Lost blocks are recomputed from lineage, and what does not fit in memory
+    goes to disk.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

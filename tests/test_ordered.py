@@ -1,6 +1,8 @@
 """Order statistics, AUC, average precision and PSI against brute force, with and without splitting."""
 
+import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -70,12 +72,83 @@ def test_exact_quantiles_match_numpy(spark, scored, rows_per_range):
         assert found[g] == pytest.approx(np.quantile([s for h, s, _ in scored if h == g], probabilities))
 
 
-def test_ranges_grow_with_the_rows(spark, scored):
-    df = spark.createDataFrame(scored, "g string, s double, y int")
-    for per, least in ((1_000_000, 2), (20, 16)):
-        cuts, ranges = ordered.range_cuts(df, ["g"], "s", per)
-        assert ranges >= least and ranges & (ranges - 1) == 0
-        assert all(len(r["_cuts"]) == ranges - 1 and r["_cuts"] == sorted(r["_cuts"]) for r in cuts.collect())
+def test_bits_are_those_of_the_number(spark):
+    rng = random.Random(11)
+    numbers = [0.0, -0.0, 1.0, 2.0, 0.5, math.nextafter(1.0, 0.0), math.nextafter(1.0, 2.0), 5e-324, 2.2250738585072014e-308, math.nextafter(2.2250738585072014e-308, 0.0), 1.7976931348623157e308, float("inf")]
+    numbers += [math.ldexp(1 + rng.choice([0, 2**-52, rng.random()]), rng.randint(-1022, 1023)) for _ in range(2000)]
+    numbers += [math.nextafter(2.0**e, 0.0) for e in range(-300, 300)]
+    numbers += [-x for x in numbers]
+    found = spark.createDataFrame([(x,) for x in numbers], "x double").selectExpr("x", f"{ordered.order_bits('x')} AS b").collect()
+    for r in found:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
+        assert r.b == (-bits if r.x < 0 else bits), r.x
+    assert spark.sql(f"SELECT {ordered.order_bits('double(chr(78)||chr(97)||chr(78))')} > {ordered.order_bits('double(1e308)')} AS b").first().b
+
+
+def test_heavy_ranges_are_divided(spark):
+    """Half of the values lie in one range of leading bits, a third of the rows on one value."""
+    rng = random.Random(3)
+    near = [0.5 + rng.random() * 2**-20 for _ in range(400)]
+    rows = [("a", x, rng.randint(0, 1)) for x in near + [rng.random() - 0.5 for _ in range(300)] + [near[7]] * 350]
+    df = spark.createDataFrame(rows, "g string, prediction_score double, label int")
+    counts = ordered.value_counts(df, ["g"], "prediction_score", {"n": F.lit(1)}).withColumn("_bits", F.expr(ordered.order_bits("prediction_score")))
+    for per, most in ((1_000_000, 400), (20, 20)):
+        ranged = ordered.with_ranges(counts, ["g"], per).groupBy("_range").agg(F.count("*").alias("n"), F.min("_bits").alias("lo"), F.max("_bits").alias("hi")).orderBy("_range").collect()
+        assert max(r.n for r in ranged) <= most
+        assert all(a.hi < b.lo for a, b in zip(ranged, ranged[1:]))
+        found = discrimination.ranking_metrics(df, ["g"], rows_per_range=per).first()
+        assert found["auc"] == pytest.approx(brute_auc([r[1:] for r in rows]))
+
+
+@pytest.mark.parametrize("listed", [5000, 3])
+@pytest.mark.parametrize("accuracy", [2000, 10])
+def test_medians_are_exact_on_ties_and_any_order(spark, listed, accuracy):
+    rng = random.Random(8)
+    columns = {
+        "sorted_up": [float(i) for i in range(999)],
+        "sorted_down": [float(-i) for i in range(999)],
+        "saw": [float(i % 2 * 1000 + i // 2) for i in range(999)],
+        "two_halves": [1.0] * 500 + [2.0] * 499,
+        "heavy": [rng.choice([0.25, rng.random()]) for _ in range(999)],
+        "with_nulls": [None if i % 3 else rng.gauss(0, 1e9) for i in range(999)],
+        "empty": [None] * 999,
+        "one": [None] * 998 + [7.0],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    found = ordered.exact_medians(df, list(columns), accuracy, listed)
+    for c, values in columns.items():
+        present = [x for x in values if x is not None]
+        assert found[c] == (pytest.approx(np.median(present), rel=1e-15) if present else None), c
+    even = ordered.exact_medians(df.where("two_halves = 2 OR sorted_up < 499"), ["two_halves", "sorted_up"], accuracy, listed)
+    assert even["two_halves"] == 1.5
+
+
+def test_no_cell_is_exploded_for_medians(spark, monkeypatch):
+    plans = []
+    agg = type(spark.range(1)).agg
+    monkeypatch.setattr(type(spark.range(1)), "agg", lambda self, *a: plans.append(agg(self, *a)) or plans[-1])
+    features.column_medians(spark.range(3000).selectExpr("double(id % 97) AS x", "rand(1) AS y"), ["x", "y"], accuracy=100, listed=10)
+    assert len(plans) >= 3 and not any("Generate" in plan_of(p) or "Expand" in plan_of(p) or "Sort" in plan_of(p).replace("SortAggregate", "") for p in plans)
+
+
+@pytest.mark.parametrize("listed", [5000, 1])
+def test_cut_of_a_share_by_radix_selection(spark, listed):
+    rng = random.Random(6)
+    rows = [(y, rng.randrange(2**60)) for y in (0, 1) for _ in range(300)] + [(1, 5)] * 250 + [(2, 7), (None, 3), (0, None)]
+    df = spark.createDataFrame(rows, "y int, h long")
+    for share in (0.0, 0.2, 0.5, 0.8, 1.0):
+        found = ordered.share_cuts(df, "y", "h", share, listed=listed)
+        for y in (0, 1, 2):
+            values = sorted(h for z, h in rows if z == y and h is not None)
+            rank = math.floor(share * len(values) + 0.5)
+            assert found[y] == (values[rank - 1] if rank else None)
+
+
+def test_splits_move_no_rows(spark):
+    df = spark.range(3000).selectExpr("id", "int(id % 3 = 0) AS label", "add_months(date'2024-01-01', int(id % 14)) AS label_snapshot_date")
+    day = F.lit("2025-03-01").cast("date")
+    for split in (splits.stratified_split(df, ["id"]), splits.window_split(df, day, ["id"])):
+        assert "Exchange" not in plan_of(split)
 
 
 def test_no_plain_row_meets_all_others_in_one_task(spark):
