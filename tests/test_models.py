@@ -146,7 +146,11 @@ def test_registered_searches_are_whole(spark, smoke_dir, monkeypatch):
         return whole(*call.args, **call.kwargs)
 
     monkeypatch.setattr(search, "random_search", small)
-    record = model_queries.random_search_cv(spark, smoke_dir).collect()
+    recorded = []
+    record_of = search.behaviour_record
+    monkeypatch.setattr(search, "behaviour_record", lambda *args: recorded.append(record_of(*args)) or recorded[-1])
+    assert model_queries.random_search_cv(spark, smoke_dir).count() == 3
+    record = recorded[0].collect()
     assert record and all(r["hp_params"] == {"maxIter": "2", "maxDepth": "2"} for r in record)
     assert model_queries.score_snapshots(spark, smoke_dir).count() > 0
     assert asked == [(100, 3, search.SEARCH_SPACE)] * 2

@@ -1,5 +1,8 @@
 """Training, scoring and search on the training set of the whole folder."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from arrears.sources.tables import read_table
 from workload.fixtures import Inputs
 from workload.reference_sql import CATEGORICAL, NUMERIC
 from workload.registry import query
+from workload.relational_queries import _OOT_SQL
 
 CUTOFF = "1999-12-01"
 KEYS = ("loan_id", LABEL_SNAPSHOT)
@@ -212,26 +216,35 @@ def _behaviour_rows(spark, sf_dir):
     return materialise(join_label_month(inputs.gold_labels(), inputs.silver_clickstream()), "labels_with_clicks")
 
 
-def _at_once(spark):
-    """Settings that are fitted at the same time; each fit is many small jobs."""
-    return max(4, spark.sparkContext.defaultParallelism)
+def _search(spark, sf_dir):
+    return search.train_behaviour_model(_behaviour_rows(spark, sf_dir), F.lit("2000-04-01").cast("date"), KEYS)
 
 
-@query("random_search_cv")
+@query(
+    "random_search_cv",
+    f"WITH {_OOT_SQL} SELECT 'credit_model_2000_04_01' AS model_version, split, DATE '1999-02-01' AS train_test_start_date, DATE '2000-01-31' AS train_test_end_date, "
+    "DATE '2000-02-01' AS oot_start_date, DATE '2000-03-31' AS oot_end_date, count(*) AS row_count, round(avg(label), 2) AS label_rate, "
+    "true AS auc_in_range, true AS gini_follows, true AS chosen_from_space FROM marked GROUP BY split",
+)
 def random_search_cv(spark, sf_dir):
-    """Record of the whole documented search: all draws of the whole space, three folds."""
-    run = search.train_behaviour_model(
-        _behaviour_rows(spark, sf_dir), F.lit("2000-04-01").cast("date"), KEYS, parallelism=_at_once(spark)
+    """Record of the whole documented search (all draws of the whole space, three folds), with what SQL cannot give as checks:
+    that AUC and Gini belong together and that the chosen setting is one of the space."""
+    chosen = [F.element_at("hp_params", n).isin([str(v) for v in values]) for n, values in search.SEARCH_SPACE.items()]
+    return _search(spark, sf_dir).record.select(
+        *["model_version", "split", "train_test_start_date", "train_test_end_date", "oot_start_date", "oot_end_date", "row_count", "label_rate"],
+        F.col("auc").between(0, 1).alias("auc_in_range"),
+        (F.abs(F.col("gini") - (2 * F.col("auc") - 1)) <= 0.0005 + 1e-12).alias("gini_follows"),
+        F.coalesce(reduce(and_, chosen), F.lit(False)).alias("chosen_from_space"),
     )
-    return run.record
 
 
 @query("score_snapshots", "SELECT Customer_ID, snapshot_date, 'credit_model_2000_04_01' AS model_name FROM silver_clickstream")
 def score_snapshots(spark, sf_dir):
-    """Snapshots that the winner of the whole search scores; the scores themselves, which SQL cannot give, stay in the table."""
-    rows = _behaviour_rows(spark, sf_dir)
-    model, _, _ = search.random_search(training.labelled(rows), parallelism=_at_once(spark), keys=KEYS)
+    """Snapshots that the stored winner of the whole search scores; the scores themselves, which SQL cannot give, stay in the table."""
+    root = search.save_search_run(_search(spark, sf_dir), scratch_path(spark, "model_bank"))
+    model = training.load_model(spark, f"{root}/model")
+    version = read_table(spark, f"{root}/record").first()["model_version"]
     features = Inputs(spark, sf_dir).silver_clickstream().select("Customer_ID", "snapshot_date", *CLICK_COLUMNS)
     path = scratch_path(spark, "snapshot_predictions")
-    inference.score_snapshots(model, features, "credit_model_2000_04_01", path)
+    inference.score_snapshots(model, features, version, path)
     return read_table(spark, path).filter(F.col("model_predictions").isNotNull()).select("Customer_ID", "snapshot_date", "model_name")
