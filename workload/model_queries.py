@@ -7,10 +7,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from arrears.constants import CATEGORICAL_FEATURES, CLICK_COLUMNS, LABEL_SNAPSHOT, NUMERIC_FEATURES, SCORE_BANDS
+from arrears.constants import CATEGORICAL_FEATURES, CLICK_COLUMNS, LABEL_SNAPSHOT, NUMERIC_FEATURES, SCORE_BANDS, VALIDATION_REG_PARAM
+from arrears.operators.descent import margin_sql
 from arrears.operators.discrimination import ranking_metrics
 from arrears.operators.joins import join_label_month
-from arrears.operators.scoring import default_probability, score_batch as score_frame
+from arrears.operators.optimality import descent_left
+from arrears.operators.scoring import default_probability, logistic, score_batch as score_frame
 from arrears.plans import inference, search, training
 from arrears.session import materialise, scratch_path
 from arrears.sources.tables import read_table
@@ -90,17 +92,30 @@ def encode_categories(spark, sf_dir):
     )
 
 
-#: Rows that the scores of a temporal split have to be given for; the numbers themselves are beyond SQL.
-_TESTED = f"SELECT loan_id, label_snapshot_date, label, true AS is_probability FROM gold_training WHERE label IS NOT NULL AND label_snapshot_date > DATE '{CUTOFF}'"
+#: Rows that the scores of a temporal split have to be given for, and what has to be true of the model; the numbers themselves are beyond SQL.
+_TESTED = (
+    "SELECT loan_id, label_snapshot_date, label, true AS is_probability, true AS loss_is_least FROM gold_training "
+    f"WHERE label IS NOT NULL AND label_snapshot_date > DATE '{CUTOFF}'"
+)
+#: Share of the first gradient that a fitted model may have left; a constant score has all of it.
+LEAST_LEFT, DESCENT_LEFT = 0.01, 0.05
 
 
-def _checked(scores, score="prediction_score"):
-    return scores.withColumn("is_probability", F.col(score).between(0, 1)).drop(score)
+def _checked(scores, left, most, score="prediction_score"):
+    least = left.select(F.col("left") <= most).scalar()
+    return scores.withColumn("is_probability", F.col(score).between(0, 1)).withColumn("loss_is_least", least).drop(score)
 
 
 @query("train_logreg", _TESTED)
 def train_logreg(spark, sf_dir):
-    return _checked(_validation_run(spark, sf_dir).test_scores)
+    """Scores of the test rows, and whether the gradient of the model's loss over the training rows vanishes."""
+    df = _training(spark, sf_dir)
+    run = training.train_validation_model(df, CUTOFF, KEYS)
+    fitted = run.model.stages[-1]
+    learned = training.labelled(df).where(F.col(LABEL_SNAPSHOT) <= F.lit(CUTOFF).cast("date"))
+    scored = run.model.transform(learned).select("label", vector_to_array("features").alias("inputs"), vector_to_array("probability")[1].alias("prediction_score"))
+    left = descent_left(scored, list(fitted.coefficients), VALIDATION_REG_PARAM, standardised=True)
+    return _checked(run.test_scores, left, LEAST_LEFT)
 
 
 @query(
@@ -121,7 +136,14 @@ def _candidates(spark, sf_dir):
 
 @query("train_candidates", _TESTED)
 def train_candidates(spark, sf_dir):
-    return _checked(_candidates(spark, sf_dir).test_scores)
+    """Scores of the test rows by the champion, and whether its descent has used up the gradient, over the stored training rows."""
+    run = _candidates(spark, sf_dir)
+    best = run.metrics.first()["model_name"]
+    row = run.extras["coefficients"].where(F.col("model_name") == best).first()
+    inputs = row["inputs"][:-1]
+    margin = margin_sql(row["weights"][:-1], row["weights"][-1], inputs)
+    learned = run.extras["prepared"].where("split = 'train'").select("label", F.array(*[F.col(f"`{c}`") for c in inputs]).alias("inputs"), F.expr(logistic(margin)).alias("prediction_score"))
+    return _checked(run.test_scores, descent_left(learned, row["weights"][:-1], training.CANDIDATES[best]), DESCENT_LEFT)
 
 
 @query("leaderboard", "\nUNION ALL ".join(f"SELECT '{name}' AS model_name, true AS in_order, true AS champion_auc_again" for name in training.CANDIDATES))
@@ -182,11 +204,14 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
-@query("score_batch", "SELECT loan_id, label_snapshot_date, label, true AS class_follows, true AS band_follows FROM gold_training")
+@query("score_batch", "SELECT loan_id, label_snapshot_date, label, true AS class_follows, true AS band_follows, true AS rate_is_met FROM gold_training")
 def score_batch(spark, sf_dir):
-    """Scored rows, and whether class and band are what the score says: half and more is 1, bands are fifths closed on the right."""
+    """Scored rows, whether class and band are what the score says (half and more is 1, bands are fifths closed on the right),
+    and whether the scores of the training rows have the mean of their labels, as a free intercept makes them."""
     df = _training(spark, sf_dir)
     scored = score_frame(training.train_candidates(df, CUTOFF, keys=KEYS).model, df)
+    learned = scored.where(F.col("label").isNotNull() & (F.col(LABEL_SNAPSHOT) <= F.lit(CUTOFF).cast("date")))
+    rate_is_met = learned.agg((F.abs(F.avg("prediction_score") - F.avg("label")) < 0.001).alias("met")).scalar()
     fifth = F.greatest(F.ceil(F.col("prediction_score") * 5), F.lit(1)).cast("int")
     names = F.array(*[F.lit(name) for _, name in SCORE_BANDS])
     return scored.select(
@@ -195,6 +220,7 @@ def score_batch(spark, sf_dir):
         "label",
         (F.col("prediction") == (F.col("prediction_score") >= 0.5).cast("int")).alias("class_follows"),
         (F.col("score_band") == F.get(names, fifth - 1)).alias("band_follows"),
+        rate_is_met.alias("rate_is_met"),
     )
 
 
