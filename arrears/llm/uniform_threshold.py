@@ -2,19 +2,21 @@
 
 The components of the vectors are cut into lists; the score of a pair is the
 sum of its partial scores, one from each list. Phase one gathers the best
-partial scores of every list and resolves those candidates exactly; the k-th
-best of them is a lower bound t on the k-th best score. Phase two sends t to all
-blocks: with m lists, a candidate that reaches t has a partial score of t / m
-or more in some list, so every other candidate can be left out. Phase three
-drops those whose known partial scores and the most that the others can give
-stay below t, resolves the remaining ones exactly and keeps the best.
-
-Queries are joined with candidates in blocks of bounded size on both sides.
+partial scores of every list from every task and resolves these few candidates
+exactly; the k-th best of them is a lower bound t on the k-th best score. Phase
+two broadcasts t: with m lists, a candidate that reaches t has a partial score
+of t / m or more in some list. Candidates whose lists are too short for that
+are not multiplied at all, entries below t / m are not collected, and those
+whose known partial scores and the most that the others can give stay below t
+are dropped. Phase three resolves the rest exactly and sends on what reaches t.
+
+Queries are broadcast in groups of bounded size and the candidates are read in
+place, so the shuffle holds entries of the result lists and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,41 +28,65 @@ from arrears.llm.common import materialise
 SCALE = 1024
 #: Lists that the components are cut into.
 LISTS = 2
-#: Queries in a group, candidates in a block, candidates scored at once.
-GROUP, BLOCK, CHUNK = 1_024, 8_192, 1_024
+#: Queries in a group, candidates after which results are merged, candidates scored at once.
+GROUP, BLOCK, CHUNK = 16_384, 8_192, 1_024
+#: Bytes of vectors that a group of queries has at most, about.
+GROUP_BYTES = 32_000_000
+#: Scores are longs; those beyond count as the nearest long.
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+
+_ENTRY = "query long, query_id long, vec_id long, score long"
 
 
 def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id``, ``dim`` and ``v``: floor(1024 * x) of every component as little-endian longs.
+    """``vec_id``, ``dim`` and ``v``, the components as little-endian doubles, of every row that takes part.
 
     Rows whose id or vector is null, or whose vector holds a null or non-finite
-    component or one beyond a long, are left out. Of rows with one id the one
-    with the largest bytes counts.
+    component, are left out; rows that repeat an id stay.
     """
     frame = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast("array<double>").alias("e"))
-    usable = "vec_id IS NOT NULL AND e IS NOT NULL AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < 9.0e15)"
+    usable = "vec_id IS NOT NULL AND e IS NOT NULL AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             lists = part.column(1)
-            values = np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False)).astype("<i8")
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype("<f8")
             sizes = np.diff(lists.offsets.to_numpy())
             stops = np.cumsum(sizes)
             packed = [values[b - n : b].tobytes() for n, b in zip(sizes.tolist(), stops.tolist())]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], names=["vec_id", "dim", "v"])
 
-    rows = frame.where(usable).mapInArrow(run, "vec_id long, dim int, v binary")
-    return rows.groupBy("vec_id").agg(F.max(F.struct("v", "dim")).alias("m")).select("vec_id", "m.dim", "m.v")
+    return frame.where(usable).mapInArrow(run, "vec_id long, dim int, v binary")
+
+
+def integers(packed: list[bytes], dim: int) -> np.ndarray:
+    """floor(1024 * x) of every component, one row a vector, in the smallest type that holds them exactly.
+
+    Scaling by a power of two and the floor are exact in doubles, up to their largest.
+    """
+    x = np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), dim)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(SCALE * x)
+    if np.isfinite(scaled).all():
+        return scaled
+    return np.array([[int(b) if np.isfinite(b) else SCALE * int(a) for a, b in zip(*rows)] for rows in zip(x.tolist(), scaled.tolist())], object).reshape(x.shape)
 
 
-def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(-1, dim) if dim else np.zeros((len(column), 0), np.int64)
+def _largest(a: np.ndarray) -> int:
+    return int(max(abs(x) for x in a.flat)) if a.dtype == object and a.size else int(np.abs(a).max(initial=0))
 
 
 def _exactly(q: np.ndarray, c: np.ndarray) -> type:
     """Smallest number type in which all inner products of these integers are exact."""
-    top = max(1, q.shape[1]) * int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0))
-    return np.float64 if top < 1 << 53 else np.int64 if top < 1 << 62 else object
+    top = max(1, q.shape[1]) * _largest(q) * _largest(c)
+    # With room for the number of lists as a factor.
+    return np.float64 if top < 1 << 49 else np.int64 if top < 1 << 58 else object
+
+
+def _as(a: np.ndarray, kind: type) -> np.ndarray:
+    if kind is not object or a.dtype == object:
+        return a.astype(kind)
+    return np.array([[int(x) for x in row] for row in a.tolist()], object).reshape(a.shape)
 
 
 def _slices(dim: int, lists: int) -> list[slice]:
@@ -70,97 +96,149 @@ def _slices(dim: int, lists: int) -> list[slice]:
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best rows of each query, ties to the smaller id."""
-    order = np.lexsort((vec, -score, query))
+    # Not ``-score``: the smallest long has no negative.
+    order = np.lexsort((vec, ~score, query))
     query = query[order]
     start = np.flatnonzero(np.append(True, query[1:] != query[:-1])) if len(query) else np.empty(0, int)
     rank = np.arange(len(query)) - np.repeat(start, np.diff(np.append(start, len(query))))
     return order[rank < k]
 
 
-def _candidates(q: np.ndarray, c: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, lists: int, bound: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query places, candidate places and exact scores of one chunk.
-
-    Without ``bound``: the best ``k`` of each list. With it: all that may reach it.
-    """
-    kind = _exactly(q, c)
-    qk, ck = q.astype(kind), c.astype(kind)
+def within_reach(q: np.ndarray, c: np.ndarray, bound: np.ndarray, known: np.ndarray, lists: int) -> np.ndarray:
+    """Candidates that some query may give ``bound / lists`` in some list, by the lengths of both; all if a query has no bound."""
+    if not known.all() or (bound <= 0).any() or q.dtype == object or c.dtype == object:
+        return np.ones(len(c), bool)
     parts = _slices(q.shape[1], lists)
+    out = np.zeros(len(c), bool)
+    for s in parts:
+        with np.errstate(divide="ignore", over="ignore"):
+            needed = (bound / len(parts) / np.sqrt(np.square(q[:, s]).sum(axis=1))).min()
+            # A little less than needed, for rounding.
+            out |= np.sqrt(np.square(c[:, s]).sum(axis=1)) >= needed * (1 - 1e-9)
+    return out
+
+
+def _gathered(q: np.ndarray, c: np.ndarray, k: int, lists: int, kind: type) -> np.ndarray:
+    """Phase one: the best ``k`` of each list, and one more, as the query itself may be among them."""
     wanted = np.zeros((len(q), len(c)), bool)
-    if bound is None:
-        for s in parts:
-            partial = qk[:, s] @ ck[:, s].T
-            if len(c) <= k + 1:
-                wanted[:] = True
-                break
-            # One more than k, as the query itself may be among them.
-            top = np.argpartition(-partial, k, axis=1)[:, : k + 1]
-            np.put_along_axis(wanted, top, True, axis=1)
-    else:
-        limit = bound.astype(kind)[:, None]
-        known, count = np.zeros(wanted.shape, kind), np.zeros(wanted.shape, np.int8)
-        for s in parts:
-            partial = qk[:, s] @ ck[:, s].T
-            enough = partial * len(parts) >= limit
-            known += np.where(enough, partial, 0)
-            count += enough
-        # A list that did not send the candidate gives less than bound / lists.
-        wanted = (count > 0) & (known * len(parts) + (len(parts) - count) * limit >= limit * len(parts))
-    wanted &= own[:, None] != ids[None, :]
+    if len(c) <= k + 1:
+        return ~wanted
+    for s in _slices(q.shape[1], lists):
+        partial = q[:, s] @ c[:, s].T
+        top = (np.argsort(-partial, axis=1) if kind is object else np.argpartition(-partial, k, axis=1))[:, : k + 1]
+        np.put_along_axis(wanted, top, True, axis=1)
+    return wanted
+
+
+def _sufficient(q: np.ndarray, c: np.ndarray, lists: int, bound: np.ndarray, known: np.ndarray, kind: type) -> np.ndarray:
+    """Phase two: entries of ``bound / lists`` or more, less those that cannot reach ``bound``; all for a query without bound."""
+    # Scores of these numbers lie well within the limits that a bound is cut to, so nothing overflows.
+    cut = bound if kind is object else np.clip(bound, -(1 << 59), 1 << 59)
+    parts, limit = _slices(q.shape[1], lists), _as(cut[:, None], kind)
+    sums, count = np.zeros((len(q), len(c)), kind), np.zeros((len(q), len(c)), np.int8)
+    for s in parts:
+        partial = q[:, s] @ c[:, s].T
+        enough = (partial * len(parts) >= limit).astype(bool)
+        sums = sums + np.where(enough, partial, 0)
+        count += enough
+    # A list that did not send the candidate gives less than bound / lists.
+    reached = (sums * len(parts) + (len(parts) - count) * limit >= limit * len(parts)).astype(bool)
+    return ((count > 0) & reached) | ~known[:, None]
+
+
+def _resolved(q: np.ndarray, c: np.ndarray, wanted: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query places, candidate places and exact scores, within the longs, of the wanted pairs."""
     a, b = np.nonzero(wanted)
-    score = np.einsum("ij,ij->i", qk[a], ck[b]) if kind is not object else (qk[a] * ck[b]).sum(axis=1)
-    return a, b, score.astype(np.int64) if kind is not object else np.array([int(x) for x in score], np.int64)
+    if kind is object:
+        score = np.array([min(max(sum(x * y for x, y in zip(q[i], c[j])), LOWEST), HIGHEST) for i, j in zip(a, b)], np.int64)
+    else:
+        score = np.einsum("ij,ij->i", q[a], c[b]).astype(np.int64)
+    return a, b, score
+
+
+class Queries:
+    """A group of queries by number of components: row numbers, ids, integers, and the cutoffs once known."""
+
+    def __init__(self, table: pa.Table):
+        self.by_dim: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        dims = table.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            chosen = table.filter(pa.array(dims == dim))
+            self.by_dim[dim] = chosen.column("row").to_numpy(), chosen.column("vec_id").to_numpy(), integers(chosen.column("v").to_pylist(), dim)
+        self.cutoffs: dict[int, int] = {}
+
+
+def search(shared, k: int, lists: int, phase: int, counted: Callable[[int], None] | None = None) -> Callable:
+    """Function for ``mapInArrow``: the task's ``k`` best entries of each query of the group, by the rules of the phase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = shared.value
+        held = {dim: [np.empty(0, np.int64)] * 3 for dim in group.by_dim}
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in set(np.unique(dims).tolist()) & set(group.by_dim):
+                rows, _, q = group.by_dim[dim]
+                bound = np.array([group.cutoffs.get(r, 0) for r in rows.tolist()], np.int64)
+                known = np.array([r in group.cutoffs for r in rows.tolist()], bool)
+                chosen = batch.filter(pa.array(dims == dim))
+                numbers, ids, packed = chosen.column("row").to_numpy(), chosen.column("vec_id").to_numpy(), chosen.column("v").to_pylist()
+                for start in range(0, len(ids), BLOCK):
+                    out = [held[dim]]
+                    for i in range(start, min(start + BLOCK, len(ids)), CHUNK):
+                        part = slice(i, min(i + CHUNK, start + BLOCK))
+                        out.append(_chunk(q, integers(packed[part], dim), rows, numbers[part], ids[part], bound, known, k, lists, phase, counted))
+                    query, vec, score = (np.concatenate(x) for x in zip(*out))
+                    best = _best(query, vec, score, k)
+                    held[dim] = [query[best], vec[best], score[best]]
+        for dim, (rows, own, _) in group.by_dim.items():
+            query, vec, score = held[dim]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[query]), pa.array(own[query]), pa.array(vec), pa.array(score)], ["query", "query_id", "vec_id", "score"])
+
+    return run
+
+
+def _chunk(q, c, rows, numbers, ids, bound, known, k, lists, phase, counted):
+    if phase == 2:
+        near = within_reach(q, c, bound, known, lists)
+        c, numbers, ids = c[near], numbers[near], ids[near]
+    kind = _exactly(q, c)
+    qk, ck = _as(q, kind), _as(c, kind)
+    wanted = _gathered(qk, ck, k, lists, kind) if phase == 1 else _sufficient(qk, ck, lists, bound, known, kind)
+    wanted &= rows[:, None] != numbers[None, :]
+    a, b, score = _resolved(qk, ck, wanted, kind)
+    if counted is not None:
+        counted(len(a))
+    good = (score >= bound[a]) | ~known[a] if phase == 2 else np.ones(len(a), bool)
+    return [a[good], ids[b[good]], score[good]]
 
 
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10, lists: int = LISTS, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """The ``k`` best candidates of every query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Queries are the rows whose id is divisible by ``every``, candidates all rows
-    of the same number of components but the query's own. Fewer candidates than
-    ``k``: all of them; none: no rows. Ties go to the smaller id. See
-    ``whole_vectors`` for rows that take no part. Other columns are not used.
+    of the same number of components but the query's own row; a row that repeats
+    another is a query and a candidate of its own. Fewer candidates than ``k``:
+    all of them; none: no rows. Ties go to the smaller id. A score beyond the
+    longs counts as the nearest long. See ``whole_vectors`` for rows that take
+    no part; an empty table gives an empty one. Other columns are not used.
     """
-    rows = materialise(whole_vectors(vectors, vec_id, embedding), "whole_vectors")
-    total = rows.agg(F.count("*"), F.sum((F.col("vec_id") % every == 0).cast("long"))).first()
-    groups, blocks = max(1, -(-(total[1] or 0) // GROUP)), max(1, -(-total[0] // BLOCK))
-    # Each block of candidates meets each group of queries; both have a bounded number of rows.
-    number = F.xxhash64("vec_id")
-    queries = rows.where(F.col("vec_id") % every == 0).withColumn("g", F.pmod(number, F.lit(groups)).cast("int"))
-    candidates = rows.withColumn("b", F.pmod(number, F.lit(blocks)).cast("int")).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    candidates = candidates.select(*[F.col(c).alias(c) for c in candidates.columns])
-    spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        dim = key[2].as_py() if hasattr(key[2], "as_py") else key[2]
-        out = [(np.empty(0, np.int64),) * 3]
-        if left.num_rows and right.num_rows:
-            ids, c = left.column("vec_id").to_numpy(), _matrix(left.column("v"), dim)
-            own, q = right.column("vec_id").to_numpy(), _matrix(right.column("v"), dim)
-            bounds = right.column("bound").to_pylist()
-            # A query without bound has fewer than k candidates anywhere, and takes all.
-            first = "phase" in right.column_names and right.column("phase")[0].as_py() == 1
-            low = -(1 << 50)
-            bound = None if first else np.array([low if x is None else x for x in bounds], np.int64)
-            for i in range(0, len(c), CHUNK):
-                a, b, s = _candidates(q, c[i : i + CHUNK], own, ids[i : i + CHUNK], k, lists, bound)
-                if bound is not None:
-                    good = (s >= bound[a]) | (bound[a] == low)
-                    a, b, s = a[good], b[good], s[good]
-                chosen = _best(a, ids[i + b], s, k)
-                out.append((own[a[chosen]], ids[i + b[chosen]], s[chosen]))
-        query, vec, value = (np.concatenate(x) for x in zip(*out))
-        chosen = _best(query, vec, value, k)
-        return pa.table({"query_id": query[chosen], "vec_id": vec[chosen], "score": value[chosen]})
-
-    def meet(side: DataFrame, phase: int) -> DataFrame:
-        # Both sides come from one table; new names keep their columns apart.
-        side = side.withColumn("phase", F.lit(phase)).withColumn("b", spread)
-        side = side.select(*[F.col(c).alias(c) for c in side.columns])
-        return candidates.groupBy("g", "b", "dim").cogroup(side.groupBy("g", "b", "dim")).applyInArrow(score, "query_id long, vec_id long, score long")
-
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    seen = meet(queries.withColumn("bound", F.lit(None).cast("long")), 1)
-    bounds = seen.withColumn("rank", F.row_number().over(order)).where(f"rank <= {k}").groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("bound"))
-    bounds = materialise(bounds, "cutoffs")
-    bounded = queries.join(bounds, F.col("vec_id") == F.col("query_id"), "left").select("vec_id", "dim", "v", "g", "bound")
-    found = meet(bounded, 2).withColumn("rank", F.row_number().over(order)).where(f"rank <= {k}")
-    return found.select("query_id", "rank", "vec_id", "score")
+    spark = vectors.sparkSession
+    rows = materialise(whole_vectors(vectors, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()), "whole_vectors")
+    asked = rows.where(F.col("vec_id") % every == 0)
+    count, size = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("v")), F.lit(0))).first()
+    groups = max(1, -(-count // GROUP), -(-size // GROUP_BYTES))
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    results = []
+    for g in range(groups):
+        group = Queries(asked.where(F.pmod(F.xxhash64("row"), F.lit(groups)) == g).select("row", "vec_id", "dim", "v").toArrow())
+        first = rows.mapInArrow(search(spark.sparkContext.broadcast(group), k, lists, 1), _ENTRY)
+        ranked = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
+        # One number for each query of the group.
+        group.cutoffs = {r["query"]: r["score"] for r in ranked.select("query", "score").collect()}
+        found = rows.mapInArrow(search(spark.sparkContext.broadcast(group), k, lists, 2), _ENTRY)
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        results.append(found if groups == 1 else materialise(found, "found"))
+    out = results[0]
+    for found in results[1:]:
+        out = out.union(found)
+    return out
