@@ -48,7 +48,7 @@ c AS (
     FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM d) GROUP BY r
 ),
 s AS (
-    SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+    SELECT doc_id, stratum, t, CAST(len(w) AS BIGINT) AS n_words,
            CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
@@ -57,19 +57,24 @@ s AS (
 ),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
 q AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
-held AS (SELECT * FROM b JOIN q USING (doc_id) WHERE NOT base_failed),
+held AS (
+    SELECT stratum, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols,
+           any_value(n_dup_lines) AS n_dup_lines, any_value(n_repeat_words) AS n_repeat_words, min(good) AS good
+    FROM b JOIN q USING (doc_id) WHERE NOT base_failed GROUP BY stratum, t
+),
 tries AS ({tries}),
 tests AS (
     SELECT stratum, rule, cutoff, sum(good) AS n, sum(CASE WHEN ratio > cutoff THEN good ELSE 0 END) AS lost,
            sum(CASE WHEN ratio > cutoff THEN 1 - good ELSE 0 END) AS caught
     FROM tries CROSS JOIN (SELECT CAST(c AS DOUBLE) AS cutoff FROM (VALUES {grid}) AS v(c)) GROUP BY stratum, rule, cutoff
 ),
-level AS (SELECT {risk.delta} / greatest({len(RULES) * len(GRID)} * count(DISTINCT coalesce(stratum, '')), 1) AS level FROM tests),
-safe AS (
-    SELECT stratum, rule, cutoff, caught - {risk.worth} * lost AS gain FROM tests CROSS JOIN level
-    WHERE CASE WHEN lost >= n * {rate} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(lost + 1 AS BIGINT)), lambda i:
-        exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) END <= level
+level AS (SELECT {risk.delta / len(RULES)} / greatest(count(DISTINCT coalesce('=' || stratum, '')), 1) AS level FROM tests),
+tested AS (
+    SELECT stratum, rule, cutoff, caught - {risk.worth} * lost AS gain, CASE WHEN lost >= n * {rate} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(lost + 1 AS BIGINT)), lambda i:
+        exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) END > level AS fails
+    FROM tests CROSS JOIN level
 ),
+safe AS (SELECT * FROM (SELECT *, bool_or(fails) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS failed FROM tested) WHERE NOT failed),
 best AS (SELECT stratum, rule, arg_max(cutoff, gain + cutoff) AS cutoff FROM safe WHERE gain > 0 GROUP BY stratum, rule),
 limits AS (SELECT stratum, true AS found, {limits} FROM best GROUP BY stratum)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -6,7 +6,8 @@ method takes two documents with fractional probabilities and moves probability
 from one to the other, at random in such a way that neither expectation
 changes, until one of them is 0 or 1. The amount moved is measured in words, so
 the expected words of the pair stay the same, and in the end the words taken
-miss the target by half of one document at most.
+miss the target by half of one document at most. Of rows that repeat a document
+all but one are settled by arithmetic.
 
 Pairs are formed along a tree: documents are dealt to small buckets by hash,
 each bucket is folded in one pass and leaves one open document at most, and the
@@ -141,17 +142,17 @@ def copies(units: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     return out
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """How often each document is taken so that sources come near their targets.
+def planned(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """One row for each different (``source``, ``doc_id``, ``text_key``) with ``size``, ``source_size``, ``target``, its
+    ``rows``, how often each of them is taken (``base``), and how many of them once more (``more``).
 
-    One row for each row of ``docs``: ``doc_id``, ``text_key``, ``source``,
-    ``size`` (words; a null text has none), ``source_size``, ``target`` and
-    ``copies`` (0 to ``most``). Rows that agree in doc_id, source and text are
-    one unit with the words of all of them and get the same number of copies. A
-    source without words has target 0 and is not taken. An empty table gives an
-    empty one. Equal input gives equal results, however it is partitioned.
+    Equal rows are interchangeable: what they have to give beyond ``base`` is a
+    number of whole rows and the fraction of one, and that one alone goes into
+    the tree, so many copies miss a target no further than a single row.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "source", word_count(F.col("text")).alias("size"))
+    rows = docs.select(
+        F.col("`doc_id`").cast("long").alias("doc_id"), text_key(F.col("`text`")).alias("text_key"), F.col("`source`").alias("source"), word_count(F.col("`text`")).alias("size")
+    )
     units = materialise(rows.groupBy("source", "doc_id", "text_key", "size").agg(F.count("*").alias("rows")), "mix_units")
     sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     goals = materialise(targets(sizes, weights, most), "mix_targets").withColumnRenamed("source", "__s")
@@ -159,18 +160,56 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
     rated = units.join(goals, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     times = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     rated = rated.withColumn("times", times).withColumn("base", F.floor("times"))
-    fractions = rated.select("source", "doc_id", "text_key", (F.col("size") * F.col("rows")).alias("size"), (F.col("times") - F.col("base")).alias("p"))
-    chosen = copies(fractions).select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), F.col("p").cast("int").alias("extra"))
+    beyond = F.col("rows") * (F.col("times") - F.col("base"))
+    rated = rated.withColumn("whole", F.floor(beyond))
+    fractions = rated.select("source", "doc_id", "text_key", "size", (beyond - F.col("whole")).alias("p"))
+    chosen = copies(fractions).select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), F.col("p").cast("long").alias("extra"))
     same = F.expr("source <=> __s AND doc_id <=> __d AND text_key = __k")
-    whole = rated.join(chosen, same).withColumn("copies", (F.col("base") + F.col("extra")).cast("int"))
+    return rated.join(chosen, same).select(
+        "source", "doc_id", "text_key", "size", "source_size", "target", "rows", F.col("base").cast("int").alias("base"), (F.col("whole") + F.col("extra")).alias("more")
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """How often each document is taken so that sources come near their targets.
+
+    One row for each row of ``docs``: ``doc_id``, ``text_key``, ``source``,
+    ``size`` (words; a null text has none), ``source_size``, ``target`` and
+    ``copies`` (0 to ``most``). Rows that agree in doc_id, source and text are
+    interchangeable; their copies differ by one at most. A source without words
+    has target 0 and is not taken. An empty table gives an empty one. Equal
+    input gives equal results, however it is partitioned. Other columns are not
+    read, whatever their names.
+    """
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row")
-    return whole.select("doc_id", "text_key", "source", "size", "source_size", "target", "copies", each).drop("row")
+    rows = planned(docs, weights, most).select("*", each)
+    taken = F.col("base") + (F.col("row") <= F.col("more")).cast("int")
+    return rows.select("doc_id", "text_key", "source", "size", "source_size", "target", taken.alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it, all columns kept."""
-    taken = mix(docs, weights, most).where("copies > 0").select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "copies").distinct()
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    same = F.expr("source <=> __s AND doc_id <=> __d AND __key = __k")
-    joined = keyed.join(taken.withColumnRenamed("copies", "__copies"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with every row as often as the mix takes it, all columns kept, whatever their names.
+
+    Null and empty texts have no words and are taken as ``mix`` says; equal rows
+    are numbered, without bringing them together, to take some of them once more;
+    an empty table gives an empty one.
+    """
+    plan = planned(docs, weights, most).where("base > 0 OR more > 0")
+    plan = plan.select(F.col("source").alias("s"), F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "base", "more", "rows")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    keyed = docs.select(whole, F.col("`source`").alias("of"), F.col("`doc_id`").cast("long").alias("id"), text_key(F.col("`text`")).alias("key"))
+    joined = keyed.join(plan, F.expr("of <=> s AND id <=> d AND key = k")).select("whole", "s", "d", "k", "base", "more", "rows")
+    # Where all equal rows are taken equally often, as nearly everywhere, no row needs a number.
+    uneven = (F.col("more") > 0) & (F.col("more") < F.col("rows"))
+    joined = materialise(joined.withColumn("at", F.monotonically_increasing_id()), "mixed_rows")
+    even = joined.where(~uneven).select("whole", (F.col("base") + (F.col("more") > 0).cast("int")).alias("copies"))
+    split = joined.where(uneven).withColumn("part", F.shiftright("at", 33))
+    unit = ["s", "d", "k"]
+    counts = split.groupBy(*unit, "part").agg(F.count(F.lit(1)).alias("here"))
+    before = Window.partitionBy(*unit).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_{c}") for c in (*unit, "part")], F.coalesce(F.sum("here").over(before), F.lit(0)).alias("offset"))
+    numbered = split.withColumn("number", F.row_number().over(Window.partitionBy(*unit, "part").orderBy("at")))
+    placed = numbered.join(offsets, F.expr("s <=> _s AND d <=> _d AND k = _k AND part = _part"))
+    odd = placed.select("whole", (F.col("base") + (F.col("offset") + F.col("number") <= F.col("more")).cast("int")).alias("copies"))
+    taken = even.unionByName(odd).where("copies > 0")
+    return taken.select("whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")

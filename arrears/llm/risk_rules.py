@@ -4,12 +4,18 @@ Base rules reject a document outright. Beyond them, each rule measures a ratio,
 and a document is rejected where the ratio exceeds the rule's cutoff in its
 stratum. Cutoffs come from a fixed grid. For each stratum, rule and grid value,
 the labelled holdout tells how many good documents the cutoff would reject; a
-cutoff is safe only if so few rejections (or fewer) would be improbable under a
+cutoff holds only if so few rejections (or fewer) would be improbable under a
 false rejection rate of ``alpha / rules``, by the exact binomial distribution,
-at a level corrected for the number of all tests. Together the rules then
-reject more than ``alpha`` of the good documents of some stratum with a
-probability below ``delta``. Among the safe cutoffs the one with the best
-balance of bad and good documents rejected is taken, or none.
+at the level ``delta / (rules * strata)``. Cutoffs of one rule are nested: a
+stricter one rejects whatever a laxer one does. So they are tested in a fixed
+sequence from the laxest on, up to the first that fails, which needs no further
+correction for the grid. Together the rules then reject more than ``alpha`` of
+the good documents of some stratum with a probability below ``delta``. Among
+the cutoffs before the first failure the one with the best balance of bad and
+good documents rejected is taken, or none.
+
+Trials have to be independent, so labelled rows of one stratum with the same
+text are one trial, which is good only if all of them are.
 
 Only DataFrame functions are used.
 """
@@ -136,7 +142,9 @@ def cutoffs(stats: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFra
     and grid value at most.
     """
     quality = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
-    held = stats.where("NOT base_failed").join(quality, "doc_id").select("stratum", "good", *ratios())
+    labelled = stats.where("NOT base_failed").join(quality, "doc_id").select("stratum", "text_key", "good", *ratios())
+    # Equal texts have equal ratios.
+    held = labelled.groupBy("stratum", "text_key").agg(F.min("good").alias("good"), *[F.first(r).alias(r) for r in RULES])
     tries = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("ratio")) for r in RULES])).alias("t")
     # The number of grid values below the ratio says which cutoffs reject it.
     level = sum((F.col("t.ratio") > c).cast("int") for c in GRID)
@@ -149,9 +157,12 @@ def cutoffs(stats: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFra
         F.sum(F.when(F.col("level") > F.col("k"), F.col("bad")).otherwise(0)).alias("caught"),
     )
     rate = risk.alpha / len(RULES)
-    strata = stats.sparkSession.createDataFrame([(len(RULES) * len(GRID),)], "each long").crossJoin(tests.agg(F.count_distinct(F.coalesce("stratum", F.lit(""))).alias("strata")))
-    level_of = F.broadcast(strata.select((F.lit(risk.delta) / F.greatest(F.col("each") * F.col("strata"), F.lit(1))).alias("level")))
-    safe = tests.join(level_of).where(binomial_tail(F.col("lost"), F.col("n"), rate) <= F.col("level"))
+    # Null is a stratum beside the empty string.
+    strata = tests.agg(F.greatest(F.count_distinct(F.struct("stratum")), F.lit(1)).alias("strata")).scalar()
+    fails = binomial_tail(F.col("lost"), F.col("n"), rate) > F.lit(risk.delta / len(RULES)) / strata
+    # One row for each grid value in a window.
+    laxer = Window.partitionBy("stratum", "rule").orderBy(F.col("cutoff").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    safe = tests.withColumn("fails", fails).withColumn("failed", F.max(F.col("fails")).over(laxer)).where("NOT failed")
     gain = F.col("caught") - risk.worth * F.col("lost")
     best = safe.where(gain > 0).groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct(gain, F.col("cutoff"))).alias("cutoff"))
     return best.groupBy("stratum").pivot("rule", list(RULES)).agg(F.max("cutoff"))
@@ -174,9 +185,8 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
     """``stats`` with ``kept``: past the base rules and no ratio above its stratum's cutoff."""
     chosen = limits.select(F.col("stratum").alias("__stratum"), *[F.col(r).alias(f"__{r}") for r in RULES])
-    # One row a stratum that is large enough to prove a bound; broadcast only below a checked number.
-    side = F.broadcast(chosen) if chosen.count() <= 10_000 else chosen
-    joined = stats.join(side, F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
+    # One row a stratum that is large enough to prove a bound; the planner chooses how to join it.
+    joined = stats.join(chosen, F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
     broken = [F.coalesce(ratio > F.col(f"__{name}"), F.lit(False)) for name, ratio in zip(RULES, ratios())]
     rejected = broken[0]
     for b in broken[1:]:
@@ -200,7 +210,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> Da
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    kept = quality_rules(docs, labels, risk).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__chosen"))
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    return keyed.join(kept, F.expr("doc_id <=> __id AND __key = __chosen"), "left_semi").drop("__key")
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names.
+
+    Verdicts are those of ``quality_rules``: rows without words go, repeated
+    rows stay or go together, an empty table gives an empty one.
+    """
+    kept = quality_rules(docs, labels, risk).where("kept").select(F.col("doc_id").alias("id"), F.col("text_key").alias("chosen"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    keyed = docs.select(whole, F.col("`doc_id`").alias("of"), text_key(F.col("`text`")).alias("key"))
+    return keyed.join(kept, F.expr("of <=> id AND key = chosen"), "left_semi").select("whole.*")

@@ -230,11 +230,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, doc_id:
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one row of each group: the smallest doc_id, of equal ones the smallest text key.
 
-    A group without any doc_id keeps one row in the same way. All columns stay.
+    A group without any doc_id keeps one row in the same way. All columns stay,
+    whatever their names. Null and empty texts are alike; an empty table gives
+    an empty one.
     """
     groups = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
     own = groups.where("doc_id <=> component_id")
-    chosen = own.groupBy("component").agg(F.min("component_id").alias("__id"), F.min("text_key").alias("__chosen"))
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    kept = keyed.join(chosen, F.expr("doc_id <=> __id AND __key = __chosen"), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")
+    chosen = own.groupBy("component").agg(F.min("component_id").alias("id"), F.min("text_key").alias("chosen"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    keyed = docs.select(whole, F.col("`doc_id`").alias("of"), text_key(F.col("`text`")).alias("key"))
+    kept = keyed.join(chosen, F.expr("of <=> id AND key = chosen"), "left_semi")
+    return kept.dropDuplicates(["of", "key"]).select("whole.*")

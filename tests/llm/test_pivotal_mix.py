@@ -56,10 +56,24 @@ def test_equal_results_however_partitioned(spark, smoke_dir):
 
 
 def test_odd_rows(spark, odd_docs):
-    docs = odd_docs.selectExpr("*", "9 AS copies", "'x' AS size", "0 AS p")
+    docs = odd_docs.selectExpr("*", "9 AS copies", "'x' AS size", "0 AS p", "'y' AS __key", "1 AS __s", "2 AS __copies", "3 AS whole", "4 AS at", "5 AS rows")
     rows = mix(docs).collect()
     assert len(rows) == 9 and all(0 <= r.copies <= 3 for r in rows)
-    assert len({r.copies for r in rows if r.doc_id == 5}) == 1
+    equal = [r.copies for r in rows if r.doc_id == 5]
+    assert len(equal) == 2 and max(equal) - min(equal) <= 1
     taken = mixed(docs)
     assert taken.columns == docs.columns and taken.count() == sum(r.copies for r in rows)
     assert mix(docs.limit(0)).count() == 0 and mixed(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("copied", [1, 2, 7, 1000])
+def test_repeated_rows_meet_the_target(spark, copied):
+    """One source is nothing but copies of one row; the other has different documents."""
+    same = spark.range(copied).selectExpr("5L AS doc_id", "'b' AS source", "'one two three four five six seven eight nine ten' AS text")
+    other = spark.range(copied).selectExpr("id + 10 AS doc_id", "'a' AS source", "concat('w', id, ' x y z') AS text")
+    docs = same.union(other).repartition(5)
+    rows = mix(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.count("*").alias("n"), F.max("size").alias("most"))
+    for r in rows.collect():
+        assert r.n == copied and abs(r.taken - r.target) <= r.most / 2 + 1e-6
+    taken = mixed(docs)
+    assert {(r.source, r["count"]) for r in taken.groupBy("source").count().collect()} == {(r.source, r.taken // r.most) for r in rows.collect() if r.taken}
