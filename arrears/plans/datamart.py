@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from arrears.constants import LABEL_DPD, LABEL_MOB, LABEL_SNAPSHOT, SNAPSHOT
 from arrears.operators.schema import union_by_name
 from arrears.plans import gold, silver
+from arrears.plans.graph import Step, run_steps
+from arrears.sources.counts import stored_counts, write_counted
 from arrears.sources.registry import SOURCES, with_snapshot_date
 from arrears.sources.tables import (
     overwrite_partitions,
@@ -83,46 +85,44 @@ def _clip(df: DataFrame, days: DateRange, date_column: str = SNAPSHOT) -> DataFr
 Writer = Callable[..., str]
 
 
-def build_bronze(
-    raw: Mapping[str, DataFrame],
-    mart: Datamart,
-    ranges: Mapping[str, DateRange],
-    write: Writer = overwrite_partitions,
-) -> None:
-    for name, df in raw.items():
-        write(_clip(with_snapshot_date(df), ranges[name]), mart.path("bronze", name))
-
-
-def build_silver(
-    spark: SparkSession,
-    mart: Datamart,
-    ranges: Mapping[str, DateRange],
-    tie_break: Sequence[str] = (),
-    write: Writer = overwrite_partitions,
-) -> None:
-    for name in ranges:
-        bronze = _clip(mart.read(spark, "bronze", name), ranges[name])
-        write(silver.BUILDERS[name](bronze, tie_break), mart.path("silver", name))
-
-
-def build_gold(
+def build_steps(
     spark: SparkSession,
+    raw: Mapping[str, DataFrame],
     mart: Datamart,
     feature_days: DateRange,
     label_days: DateRange,
+    tie_break: Sequence[str] = (),
     dpd: int = LABEL_DPD,
     mob: int = LABEL_MOB,
-    write: Writer = overwrite_partitions,
-) -> None:
-    sources = [_clip(mart.read(spark, "silver", s), feature_days) for s in FEATURE_SOURCES]
-    write(gold.gold_features(*sources), mart.path("gold", "feature_store"))
+) -> dict[str, Step]:
+    """One step for each table, named layer.table; every table is counted as it is written."""
+    whole = label_days.is_open
+    write: Writer = rebuild_table if whole else overwrite_partitions
+    days = {s: label_days if s == "lms" else feature_days for s in raw}
 
-    ledger = _clip(mart.read(spark, "silver", "lms"), label_days)
-    write(gold.gold_labels(ledger, dpd, mob), mart.path("gold", "label_store"), [LABEL_SNAPSHOT])
+    def step(layer: str, table: str, needs: Sequence[str], rows: Callable[[], DataFrame], label: str | None = None) -> Step:
+        by = GOLD_TABLES.get(table, SNAPSHOT)
+        return Step(needs, lambda: write_counted(write, rows(), mart.path(layer, table), [by], label, whole))
 
-    features = _clip(mart.read(spark, "gold", "feature_store"), feature_days)
-    labels = _clip(mart.read(spark, "gold", "label_store"), label_days, LABEL_SNAPSHOT)
-    write(gold.gold_training(labels, features), mart.path("gold", "training_dataset"), [LABEL_SNAPSHOT])
+    def stored(layer: str, table: str, range_: DateRange) -> DataFrame:
+        return _clip(mart.read(spark, layer, table), range_, GOLD_TABLES.get(table, SNAPSHOT))
+
+    steps = {}
+    for name, df in raw.items():
+        steps[f"bronze.{name}"] = step("bronze", name, [], lambda df=df, name=name: _clip(with_snapshot_date(df), days[name]))
+        steps[f"silver.{name}"] = step("silver", name, [f"bronze.{name}"], lambda name=name: silver.BUILDERS[name](stored("bronze", name, days[name]), tie_break))
+    steps["gold.feature_store"] = step(
+        "gold", "feature_store", [f"silver.{s}" for s in FEATURE_SOURCES], lambda: gold.gold_features(*[stored("silver", s, feature_days) for s in FEATURE_SOURCES])
+    )
+    steps["gold.label_store"] = step("gold", "label_store", ["silver.lms"], lambda: gold.gold_labels(stored("silver", "lms", label_days), dpd, mob))
+    steps["gold.training_dataset"] = step(
+        "gold",
+        "training_dataset",
+        ["gold.feature_store", "gold.label_store"],
+        lambda: gold.gold_training(stored("gold", "label_store", label_days), stored("gold", "feature_store", feature_days)),
+        "label",
+    )
+    return steps
 
 
 def backfill(
@@ -140,15 +140,12 @@ def backfill(
     The ledger is taken for those months, the customer sources for the months
     ``mob`` earlier, when the loans started. With both bounds open the mart is
     built from everything, replacing what was there. A second run over the
-    same range gives the same tables, and other months are left alone.
+    same range gives the same tables, and other months are left alone. Tables
+    that do not need each other are built at the same time; where a source
+    fails, the tables that do without it are built all the same.
     """
     label_days = DateRange(start, end)
-    feature_days = label_days.shift_months(-mob)
-    ranges = {s: label_days if s == "lms" else feature_days for s in raw}
-    write = rebuild_table if label_days.is_open else overwrite_partitions
-    build_bronze(raw, mart, ranges, write)
-    build_silver(spark, mart, ranges, tie_break, write)
-    build_gold(spark, mart, feature_days, label_days, dpd, mob, write)
+    run_steps(spark, build_steps(spark, raw, mart, label_days.shift_months(-mob), label_days, tie_break, dpd, mob))
     return mart
 
 
@@ -183,10 +180,25 @@ def summary(tables: Mapping[tuple[str, str], DataFrame], training: DataFrame) ->
 
 
 def mart_summary(spark: SparkSession, mart: Datamart) -> DataFrame:
-    """Summary of the tables on storage; tables not built yet are left out."""
-    present = {
-        (layer, name): mart.read(spark, layer, name)
-        for layer, name in mart.tables()
-        if table_exists(spark, mart.path(layer, name))
-    }
-    return summary(present, mart.read(spark, "gold", "training_dataset"))
+    """Summary of the tables on storage, from the counts stored as they were written; tables not built yet are left out.
+
+    A table that was written without counts is counted now.
+    """
+    training = ("gold", "training_dataset")
+    stored = {t: stored_counts(spark, mart.path(*t)) for t in mart.tables() if table_exists(spark, mart.path(*t))}
+    if training not in stored:
+        raise FileNotFoundError(f"{mart.path(*training)} has not been built")
+    parts = [c.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count") for (layer, name), c in stored.items() if c is not None]
+    uncounted = {t: mart.read(spark, *t) for t, c in stored.items() if c is None}
+    labels = stored[training]
+    if labels is None:
+        labels = uncounted[training].groupBy(F.col("label").cast("string").alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
+    parts.append(labels.select(F.lit("label_distribution").alias("layer"), F.col("label").alias("table_name"), "row_count"))
+    if uncounted:
+        parts.append(table_counts(uncounted))
+    summed = union_by_name(parts).groupBy("layer", "table_name").agg(F.sum("row_count").alias("row_count"))
+    # A table that was written empty has no partition to count.
+    empty = [t for t, c in stored.items() if c is not None]
+    present = spark.createDataFrame(empty or [training], "layer string, table_name string")
+    missing = present.join(summed, ["layer", "table_name"], "left_anti").withColumn("row_count", F.lit(0).cast("bigint"))
+    return summed.unionByName(missing)

@@ -1,6 +1,7 @@
 """Joins, de-duplication, tables, upserts and the datamart."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from arrears.operators import joins, summaries
 from arrears.operators.dedup import keep_first, keep_last
 from arrears.operators.schema import FeatureRoles
 from arrears.operators.upsert import upsert_table
-from arrears.plans import datamart, gold, silver
+from arrears.plans import datamart, gold, graph, silver
 from arrears.session import scratch_path, session_dir
 from arrears.sources import registry, tables
 from workload.fixtures import TIE_BREAK, Inputs
@@ -200,6 +201,56 @@ def test_backfill_by_month_equals_backfill_of_the_range(spark, smoke_dir):
     assert whole.read(spark, "gold", "training_dataset").count() > 0
 
 
+def test_counts_at_write_time_equal_a_scan(spark, smoke_dir):
+    raw, mart = Inputs(spark, smoke_dir).raw(), datamart.Datamart(scratch_path(spark, "counted"))
+    datamart.backfill(spark, raw, mart, "1997-01-01", "1997-04-30", TIE_BREAK)
+    # One month again with fewer rows, one month more.
+    fewer = raw | {"lms": raw["lms"].where("loan_id LIKE '%1'")}
+    datamart.run_month(spark, fewer, mart, "1997-02-10", tie_break=TIE_BREAK)
+    datamart.run_month(spark, raw, mart, "1997-05-01", tie_break=TIE_BREAK)
+    tables_now = {t: mart.read(spark, *t) for t in mart.tables()}
+    want = datamart.summary(tables_now, tables_now["gold", "training_dataset"])
+    assert rows_of(datamart.mart_summary(spark, mart)) == rows_of(want)
+    plan = datamart.mart_summary(spark, mart)._jdf.queryExecution().toString()
+    assert "FileScan parquet" not in plan and plan.split("== Physical Plan ==")[1].count("FileScan json") <= 2 * 12
+    # A table written without counts is counted.
+    path = mart.path("silver", "lms")
+    tables.rebuild_table(raw["lms"].where("loan_id LIKE '%3'"), path)
+    found = {(r["layer"], r["table_name"]): r["row_count"] for r in datamart.mart_summary(spark, mart).collect()}
+    assert found["silver", "lms"] == raw["lms"].where("loan_id LIKE '%3'").count()
+
+
+def test_a_failing_source_leaves_other_branches_intact(spark, smoke_dir):
+    raw, mart = Inputs(spark, smoke_dir).raw(), datamart.Datamart(scratch_path(spark, "failing"))
+    broken = raw["clickstream"].withColumn("fe_1", F.raise_error(F.lit("no clicks today")).cast("double"))
+    with pytest.raises(graph.StepsFailed, match="bronze.clickstream") as failure:
+        datamart.backfill(spark, raw | {"clickstream": broken}, mart, "1997-01-01", "1997-01-31", TIE_BREAK)
+    assert set(failure.value.failed) == {"bronze.clickstream"}
+    assert set(failure.value.left_out) == {"silver.clickstream", "gold.feature_store", "gold.training_dataset"}
+    assert mart.read(spark, "gold", "label_store").count() > 0 and mart.read(spark, "silver", "financials").count() > 0
+    with pytest.raises(FileNotFoundError):
+        mart.read(spark, "gold", "training_dataset")
+
+
+def test_steps_run_together_and_in_order(spark):
+    running, most, order = [], [], []
+
+    def work(name):
+        running.append(name)
+        most.append(len(running))
+        spark.range(100_000).selectExpr("sum(id)").collect()
+        time.sleep(0.3)
+        running.remove(name)
+        order.append(name)
+
+    needs = {"c": ["a", "b"], "a": [], "b": [], "d": ["c"], "e": ["a"]}
+    graph.run_steps(spark, {n: graph.Step(d, lambda n=n: work(n)) for n, d in needs.items()})
+    assert max(most) >= 2 and sorted(order) == list("abcde")
+    assert all(order.index(d) < order.index(n) for n, of in needs.items() for d in of)
+    with pytest.raises(ValueError, match="x"):
+        graph.run_steps(spark, {"x": graph.Step(["nothing"], lambda: None)})
+
+
 def test_month_ranges():
     month = datamart.DateRange.month("2024-08-15")
     assert (month.start, month.end) == ("2024-08-01", "2024-08-31")
