@@ -27,7 +27,11 @@ def ranking_metrics(
     """
     labelled = df.filter(F.col(label).isNotNull())
     sums = {"n": F.lit(1), "pos": F.col(label).cast("bigint")}
-    ranked = running_totals(labelled, groups, score, sums, rows_per_range)
+    return metrics_of_totals(running_totals(labelled, groups, score, sums, rows_per_range), groups)
+
+
+def metrics_of_totals(ranked: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """``ranking_metrics`` from running totals of ``n`` rows and ``pos`` positive ones."""
     mid_rank = F.col("n_below") + (F.col("n") + 1) / F.lit(2.0)
     taken = F.col("n_total") - F.col("n_below")
     hits = F.col("pos_total") - F.col("pos_below")

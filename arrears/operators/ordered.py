@@ -97,10 +97,18 @@ def running_totals(
     Columns: groups, value, ``<sum>``, ``<sum>_below`` and ``<sum>_total`` (of
     the group). Rows with a null value or a null group are left out.
     """
-    groups = list(groups)
     present = df.dropna(subset=[*groups, value])
-    stored = materialise(value_counts(present, groups, value, sums).withColumn("_bits", F.expr(order_bits(f"`{value}`"))), "value_counts")
-    counts = with_ranges(stored, groups, rows_per_range)
+    stored = materialise(value_counts(present, groups, value, sums), "value_counts")
+    return totals_of_counts(stored, groups, value, list(sums), rows_per_range)
+
+
+def totals_of_counts(
+    stored: DataFrame, groups: Sequence[str], value: str, sums: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """``running_totals`` of a stored table that has one row for each group and value already."""
+    groups = list(groups)
+    bits = stored.withColumn("_bits", F.expr(order_bits(f"`{value}`")))
+    counts = with_ranges(bits, groups, rows_per_range)
     in_group = Window.partitionBy(*groups) if groups else Window.partitionBy()
     # One row per group and range.
     per_range = counts.groupBy(*groups, "_range").agg(*[F.sum(s).alias(s) for s in sums])

@@ -61,21 +61,21 @@ def fit_reference(
 
 
 def population_stability(
-    actual: DataFrame, reference: ScoreReference, score: str = "prediction_score", groups: Sequence[str] = ()
+    actual: DataFrame, reference: ScoreReference, score: str = "prediction_score", groups: Sequence[str] = (), weight: str = "1"
 ) -> DataFrame:
     """``score_psi`` and ``n_out_of_range`` per group of ``actual``, in one grouped aggregation.
 
     Shares are of the rows within the range of the reference and are floored,
-    so an empty bin on one side stays finite.
+    so an empty bin on one side stays finite. A row counts ``weight`` times.
     """
     bins = range(1, len(reference.cuts))
     binned = actual.filter(F.col(score).isNotNull()).withColumn(
         "_bin", F.expr(bin_index(f"`{score}`", reference.cuts))
     )
     counted = binned.groupBy(*groups).agg(
-        F.expr("count(_bin) AS _inside"),
-        F.expr("count_if(_bin IS NULL) AS n_out_of_range"),
-        *[F.expr(f"count_if(_bin = {b}) AS _n{b}") for b in bins],
+        F.expr(f"sum(CASE WHEN _bin IS NOT NULL THEN {weight} ELSE 0 END) AS _inside"),
+        F.expr(f"cast(sum(CASE WHEN _bin IS NULL THEN {weight} ELSE 0 END) AS bigint) AS n_out_of_range"),
+        *[F.expr(f"sum(CASE WHEN _bin = {b} THEN {weight} ELSE 0 END) AS _n{b}") for b in bins],
     )
     terms = []
     for b, expected in zip(bins, reference.shares):

@@ -7,11 +7,49 @@ from pyspark.sql import functions as F
 
 from arrears.constants import AUC_FLOOR, LABEL_SNAPSHOT, PSI_CEILING
 from arrears.functions.dates import month_label, up_to_month
-from arrears.operators.discrimination import auc
-from arrears.operators.ordered import ROWS_PER_RANGE
+from arrears.operators.discrimination import metrics_of_totals
+from arrears.operators.ordered import ROWS_PER_RANGE, totals_of_counts, value_counts
 from arrears.operators.stability import ScoreReference, fit_reference, population_stability
-from arrears.operators.summaries import monthly_rates
-from arrears.sources.tables import read_table, write_small
+from arrears.session import materialise
+from arrears.sources.tables import overwrite_partitions, read_table, rebuild_table, write_small
+
+
+#: Sums of the rows of one month and score; sums over months or runs add up.
+STATE_SUMS = {
+    "n": "1",
+    "n_labelled": "int(label IS NOT NULL)",
+    "positives": "coalesce(cast(label AS bigint), 0)",
+    "n_predicted": "int(prediction IS NOT NULL)",
+    "predicted": "coalesce(cast(prediction AS bigint), 0)",
+    "n_judged": "int(label IS NOT NULL AND prediction IS NOT NULL)",
+    "hits": "coalesce(int(cast(label AS int) = cast(prediction AS int)), 0)",
+}
+
+
+def score_state(predictions: DataFrame, score: str = "prediction_score") -> DataFrame:
+    """Everything monitoring needs of the predictions: one row for each label month and distinct score, with its sums."""
+    rows = predictions.withColumn("label_month", month_label(F.col(LABEL_SNAPSHOT)))
+    return value_counts(rows, ["label_month"], score, {name: F.expr(each) for name, each in STATE_SUMS.items()}).withColumnRenamed(score, "score")
+
+
+def table_of_state(state: DataFrame, reference: ScoreReference, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """One row per label month of a stored state: rates, average score, AUC, accuracy, PSI against the reference."""
+    scored = F.when(F.col("score").isNotNull(), F.col("n"))
+    rates = state.groupBy("label_month").agg(
+        F.sum("n").alias("row_count"),
+        F.try_divide(F.sum("positives"), F.sum("n_labelled")).alias("observed_default_rate"),
+        F.try_divide(F.sum("predicted"), F.sum("n_predicted")).alias("predicted_default_rate"),
+        F.try_divide(F.sum(F.col("score") * F.col("n")), F.sum(scored)).alias("average_score"),
+        F.try_divide(F.sum("hits"), F.sum("n_judged")).alias("accuracy"),
+    )
+    ranked = state.where("label_month IS NOT NULL AND score IS NOT NULL AND n_labelled > 0").select("label_month", "score", F.col("n_labelled").alias("n"), F.col("positives").alias("pos"))
+    area = metrics_of_totals(totals_of_counts(ranked, ["label_month"], "score", ["n", "pos"], rows_per_range), ["label_month"]).select("label_month", "auc")
+    drift = population_stability(state, reference, "score", ["label_month"], "n").select("label_month", "score_psi")
+    return (
+        rates.join(area, "label_month", "left")
+        .join(drift, "label_month", "left")
+        .select("label_month", "row_count", "observed_default_rate", "predicted_default_rate", "average_score", "auc", "accuracy", "score_psi")
+    )
 
 
 def monitoring_table(
@@ -24,7 +62,8 @@ def monitoring_table(
 ) -> DataFrame:
     """One row per label month: rates, average score, AUC, accuracy, PSI against the reference.
 
-    Three grouped aggregates, each with one row per month, joined by month.
+    The predictions are read once, into a stored state; the three grouped
+    aggregates over it have one row per month each and are joined by month.
     ``reference`` is a frame of scores, or what ``fit_reference`` made of one.
     """
     if isinstance(reference, DataFrame):
@@ -32,24 +71,7 @@ def monitoring_table(
     rows = predictions
     if execution_date is not None:
         rows = rows.filter(up_to_month(F.col(LABEL_SNAPSHOT), F.lit(execution_date).cast("date")))
-    rows = rows.withColumn("label_month", month_label(F.col(LABEL_SNAPSHOT)))
-    ranked = auc(rows, ["label_month"], score, rows_per_range=rows_per_range).select("label_month", "auc")
-    drift = population_stability(rows, reference, score, ["label_month"]).select("label_month", "score_psi")
-    return (
-        monthly_rates(rows)
-        .join(ranked, "label_month", "left")
-        .join(drift, "label_month", "left")
-        .select(
-            "label_month",
-            "row_count",
-            "observed_default_rate",
-            "predicted_default_rate",
-            "average_score",
-            "auc",
-            "accuracy",
-            "score_psi",
-        )
-    )
+    return table_of_state(materialise(score_state(rows, score), "score_state"), reference, rows_per_range)
 
 
 def guardrail_breaches(monitoring: DataFrame, auc_floor: float = AUC_FLOOR, psi_ceiling: float = PSI_CEILING) -> DataFrame:
@@ -94,12 +116,49 @@ def run_monitoring(
     output_path: str,
     execution_date: str | None = None,
 ) -> DataFrame:
-    """Build and store the monitoring table from stored predictions; returns its summary."""
-    table = monitoring_table(
-        read_table(spark, predictions_path), read_table(spark, reference_path), execution_date=execution_date
-    )
+    """Build and store the monitoring table from stored predictions; returns its summary.
+
+    State and monthly rows are kept by month, so that ``add_month`` can go on from there.
+    """
+    predictions = read_table(spark, predictions_path)
+    if execution_date is not None:
+        predictions = predictions.filter(up_to_month(F.col(LABEL_SNAPSHOT), F.lit(execution_date).cast("date")))
+    root = output_path.rstrip("/")
+    rebuild_table(score_state(predictions), f"{root}/state", ["label_month"])
+    return _watched(spark, root, reference_path, rebuild_table, None)
+
+
+def add_month(spark: SparkSession, predictions_path: str, reference_path: str, output_path: str, execution_date: str) -> DataFrame:
+    """Take the month of ``execution_date`` into a stored monitoring table, or take it anew; returns the summary of all months.
+
+    Only the partitions of that month are read and written, in the predictions,
+    the state and the monthly rows; other months stay as they are.
+    """
     root = output_path.rstrip("/")
-    write_small(table.orderBy("label_month"), f"{root}/monthly")
-    stored = read_table(spark, f"{root}/monthly")
+    rows = month_of_predictions(spark, predictions_path, execution_date)
+    overwrite_partitions(score_state(rows), f"{root}/state", ["label_month"])
+    return _watched(spark, root, reference_path, overwrite_partitions, execution_date[:7])
+
+
+def month_of_predictions(spark: SparkSession, predictions_path: str, execution_date: str) -> DataFrame:
+    """Predictions of one label month; the bounds are dates, so other partitions are not even listed."""
+    first = F.trunc(F.lit(execution_date).cast("date"), "month")
+    return read_table(spark, predictions_path).filter(F.col(LABEL_SNAPSHOT).between(first, F.last_day(first)))
+
+
+def _watched(spark: SparkSession, root: str, reference_path: str, write, month: str | None) -> DataFrame:
+    """Monthly rows of the stored state, of one month or all, into the monthly table; summary of the whole of it."""
+    reference = fit_reference(read_table(spark, reference_path))
+    # Months are text, which partition folders would turn into dates.
+    state = read_table(spark, f"{root}/state").withColumn("label_month", F.date_format(F.col("label_month").cast("date"), "yyyy-MM"))
+    table = table_of_state(state if month is None else state.filter(F.col("label_month") == month), reference)
+    write(table, f"{root}/monthly", ["label_month"])
+    stored = stored_months(spark, root)
     write_small(monitoring_summary(stored), f"{root}/summary", "json")
     return monitoring_summary(stored)
+
+
+def stored_months(spark: SparkSession, output_path: str) -> DataFrame:
+    """The monthly rows that ``run_monitoring`` and ``add_month`` keep."""
+    stored = read_table(spark, f"{output_path.rstrip('/')}/monthly")
+    return stored.withColumn("label_month", F.date_format(F.col("label_month").cast("date"), "yyyy-MM"))
