@@ -204,9 +204,9 @@ def neighbours(words: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
     key = ["least", "starts", "part"]
     sizes = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("members"))
     many = sizes.where(F.col("members") > group_words).select(*key, F.ceil(F.col("members") / group_words).cast("int").alias("chunks"))
-    # One row for each class and side, so twice as many as there are lengths.
+    # Two rows for each length that words have: a thousand lengths are a few kilobytes.
     classes = sizes.groupBy("least", "starts").agg(F.ceil(F.sum("members") / group_words).cast("long").alias("homes"))
-    frame = dealt.join(many, key, "left").join(classes, ["least", "starts"])
+    frame = dealt.join(many, key, "left").join(F.broadcast(classes), ["least", "starts"])
     own, mine = F.xxhash64(*key), F.expr("CAST(pmod(xxhash64(word, 1), chunks) AS int)")
 
     def place(home, ask, hold, asks, held):
