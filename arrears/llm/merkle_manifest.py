@@ -153,7 +153,9 @@ def manifest(
         row_digest(source).alias("node"),
         F.when(differs, row_digest(now)).alias("other"),
     )
-    stored = materialise(numbered(leaves, ["grp"], ["doc_id", "node"]), "leaves")
+    # Finding the ranges reads its input once more: better the digests than the texts.
+    digests = materialise(leaves, "digests")
+    stored = materialise(numbered(digests, ["grp"], ["doc_id", "node"]), "leaves")
     climbs = climbed(stored, ["grp"])
     roots = materialise(climbs.where("pos = 0").select("grp", F.col("top").alias("node")), "subroots")
     forest = climbed(materialise(numbered(roots, [], ["grp"]), "groups"), []).select(
