@@ -40,15 +40,28 @@ def build_session(app: str = "arrears", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the warehouse, which executors share too.
+    Where that is unset, a folder in the warehouse, unless that lies on the
+    driver's own disk and executors run elsewhere: that is an error, as other
+    machines would not see what one of them writes.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        refuse_own_disk(configured, _scheme(spark, configured), spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
+def refuse_own_disk(path: str, scheme: str, master: str) -> None:
+    """Raise where ``path`` lies on one machine's disk and the executors do not."""
+    if scheme == "file" and not master.startswith("local"):
+        raise RuntimeError(f"{path} is not shared by the executors of {master}; set spark.checkpoint.dir to a folder that is")
+
+
 def session_dir(spark: SparkSession) -> str:
     """This session's own folder below the shared one; removed when the driver's Python ends."""
     known = spark.conf.get(SESSION_KEY, None)

@@ -12,7 +12,7 @@ from arrears.operators.dedup import keep_first, keep_last
 from arrears.operators.schema import FeatureRoles
 from arrears.operators.upsert import upsert_table
 from arrears.plans import datamart, gold, graph, silver
-from arrears.session import scratch_path, session_dir
+from arrears.session import refuse_own_disk, scratch_path, session_dir
 from arrears.sources import registry, tables
 from workload.fixtures import TIE_BREAK, Inputs
 
@@ -256,3 +256,10 @@ def test_month_ranges():
     assert (month.start, month.end) == ("2024-08-01", "2024-08-31")
     shifted = month.shift_months(-6)
     assert (shifted.start, shifted.end) == ("2024-02-01", "2024-02-29")
+
+
+def test_scratch_on_one_machine_is_refused_on_a_cluster():
+    refuse_own_disk("/warehouse/_scratch", "file", "local[4]")
+    refuse_own_disk("hdfs:///warehouse/_scratch", "hdfs", "yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        refuse_own_disk("/warehouse/_scratch", "file", "yarn")
