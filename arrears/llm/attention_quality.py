@@ -1,8 +1,9 @@
 """Quality scores by attention-based multiple-instance learning.
 
 A document is a bag of passages, and only the document has a label. Each
-passage is described by counts of its words and characters and encoded by a
-learned layer. Gated attention gives the passages weights that add up to one,
+passage is described by its content (hashed words and hashed runs of three
+characters) and by counts of its words and characters, and encoded by a learned
+layer. Gated attention gives the passages weights that add up to one,
 and the score is a logistic function of the weighted encoding. All weights are
 learned from document labels.
 """
@@ -12,25 +13,42 @@ from __future__ import annotations
 import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Words in a passage.
 PASSAGE = 64
-#: Labelled documents that the model is fitted on, at most.
-TRAINING_DOCS = 4_000
+#: Labelled documents that the model is fitted on, their characters together, and those of one, at most.
+TRAINING_DOCS, TRAINING_CHARS, LONGEST = 4_000, 16_000_000, 400_000
 #: Rounds of fitting, and units of the encoding and of the attention.
 ROUNDS, UNITS, GATES = 400, 16, 8
 
 _MARKS = "|#*$%&!?.,;:<>=()[]{}/\\-_\"'@+"
-FEATURES = 12 + len(_MARKS)
+_COUNTS = 12 + len(_MARKS)
+#: Buckets of hashed words and of hashed runs of three characters.
+WORD_BUCKETS, RUN_BUCKETS = 32, 32
+FEATURES = _COUNTS + WORD_BUCKETS + RUN_BUCKETS
+
+
+def content_features(words: list[str]) -> np.ndarray:
+    """Shares of the words, and of the runs of three characters, that fall in each bucket; the spread of even shares as unit."""
+    out = np.zeros(WORD_BUCKETS + RUN_BUCKETS)
+    if words:
+        hashed = [crc32(w.encode("utf-8", "surrogatepass")) % WORD_BUCKETS for w in words]
+        out[:WORD_BUCKETS] = np.bincount(hashed, minlength=WORD_BUCKETS) / len(words)
+        codes = np.frombuffer(" ".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        if len(codes) > 2:
+            runs = (codes[:-2] * np.uint64(0x9E3779B1) + codes[1:-1] * np.uint64(0x85EBCA77) + codes[2:] * np.uint64(0xC2B2AE3D)) >> np.uint64(7)
+            out[WORD_BUCKETS:] = np.bincount((runs % np.uint64(RUN_BUCKETS)).astype(np.int64), minlength=RUN_BUCKETS) / len(runs)
+    return out
 
 
 def passage_features(words: list[str]) -> list[float]:
-    """Description of one passage; all ratios, so passages of any length compare."""
+    """Counts of one passage; all ratios, so passages of any length compare."""
     n = max(1, len(words))
     text = "".join(words)
     chars = max(1, len(text))
@@ -56,7 +74,8 @@ def passage_features(words: list[str]) -> list[float]:
 def document_features(text: str) -> np.ndarray:
     """One row for each passage of a whole text; one row of zeros where it has no word."""
     words = text.split()
-    rows = [passage_features(words[i : i + PASSAGE]) for i in range(0, len(words), PASSAGE)]
+    passages = [words[i : i + PASSAGE] for i in range(0, len(words), PASSAGE)]
+    rows = [np.concatenate([passage_features(p), content_features(list(map(str.lower, p)))]) for p in passages]
     return np.array(rows or [[0.0] * FEATURES], np.float32)
 
 
@@ -148,14 +167,21 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, rounds:
     """Model of ``labels.quality`` from ``most`` labelled rows at most, none of them held out.
 
     The rows are the ones whose ids have the smallest hashes, so that reruns
-    agree. Only their passage descriptions come to the driver. Null labels and
+    agree, as long as their texts together keep to ``TRAINING_CHARS``; texts
+    above ``LONGEST`` are not learned from. Only the passage descriptions of these
+    whole texts come to the driver, so their bytes are bounded. Null labels and
     ids are left out, a document whose labels disagree counts as 0, and of
     documents with one id the one with the smallest description is learned from.
     Without any row the model scores everything one half.
     """
     usable = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     rows = usable.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).join(F.broadcast(rows), "doc_id").select("doc_id", "quality", "t")
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    # One row for each chosen id, so one task may order them.
+    sized = whole.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "quality").agg(F.max(F.char_length("t")).alias("chars")).where(F.col("chars") <= LONGEST)
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = sized.withColumn("upto", F.sum("chars").over(upto)).where(F.col("upto") <= TRAINING_CHARS).select("doc_id", "quality")
+    texts = whole.where(F.char_length("t") <= LONGEST).join(F.broadcast(fitting), "doc_id").select("doc_id", "quality", "t")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

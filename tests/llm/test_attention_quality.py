@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from arrears.llm import attention_quality
 from arrears.llm.attention_quality import FEATURES, Model, _forward, document_features, fit, score, train
 from arrears.llm.queries import op10_attention_quality
 
@@ -56,3 +57,21 @@ def test_odd_rows(spark, odd_docs):
     empty = train(docs, labels.limit(0))
     assert isinstance(empty, Model) and {r.score for r in score(docs, empty).collect()} == {0.5}
     assert document_features("").shape == (1, FEATURES)
+
+
+def test_training_keeps_to_its_characters(spark, monkeypatch):
+    """Long texts are passed over, and what the driver gets follows the bound, not the texts."""
+    docs = spark.range(60).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), if(id = 7, 100000, 100)) AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS quality")
+    seen = []
+    monkeypatch.setattr(attention_quality, "fit", lambda x, starts, y, rounds: seen.append((len(x), len(starts))) or fit(x, starts, y, 1))
+    for chars in (16_000_000, 20_000):
+        monkeypatch.setattr(attention_quality, "TRAINING_CHARS", chars)
+        attention_quality.train(docs, labels, rounds=1)
+    (rows, bags), (few_rows, few_bags) = seen
+    assert rows == 2 * bags and 40 < bags < 60 and few_rows < rows and few_bags * 650 <= 20_000
+
+
+def test_content_tells_passages_of_equal_counts_apart():
+    a, b = (document_features(" ".join([w] * 30)) for w in ("alpha", "omega"))
+    assert np.array_equal(a[:, : attention_quality._COUNTS][:, [0, 1, 2]], b[:, : attention_quality._COUNTS][:, [0, 1, 2]]) and not np.array_equal(a, b)
