@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# The column names of the sources and of the feature store.
 FE = [f"fe_{i}" for i in range(1, 21)]
 
 FINANCIAL_DOUBLE = [
