@@ -89,3 +89,28 @@ def test_run_gives_the_stages_result(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == stages["encode"].columns
     assert got.agg(F.count("*"), F.sum("n_tokens")).first() == stages["encode"].agg(F.count("*"), F.sum("n_tokens")).first()
+
+
+def test_chained_stages_on_odd_and_empty_tables(spark, odd_docs):
+    """Nulls, empty and long texts, ties, repeated rows, extra columns and no rows go through all stages."""
+    sf_dir = "/root/testdata/sf0.001"
+    plain = odd_docs.selectExpr("doc_id", "concat_ws(' ', text, 'mail someone@example.org once or call +49 30 1234567 for more words') AS text", "lang", "source", "n_chars")
+    for docs in (odd_docs.unionByName(plain), odd_docs.limit(0), odd_docs.where("text IS NULL")):
+        docs = docs.selectExpr("*", "1 AS __key", "'x' AS whole", "2 AS copies", "3 AS id")
+        columns, before = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir), name)
+            assert docs.columns == columns, name
+            if name != "mix_sources":
+                assert docs.count() <= before
+                before = docs.count()
+        rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+        assert len(rows) == docs.count()
+    assert docs.count() == 0
+
+
+def test_one_row_a_group_whatever_the_names(spark, odd_docs):
+    docs = odd_docs.selectExpr("*", "1 AS __key", "2 AS __id", "3 AS of", "4 AS key", "5 AS chosen", "6 AS whole")
+    kept = simhash_balls.keep_one(docs)
+    assert kept.columns == docs.columns and kept.where("__key = 1 AND of = 3 AND whole = 6").count() == kept.count() > 0
+    assert simhash_balls.keep_one(docs.limit(0)).count() == 0
