@@ -96,13 +96,12 @@ def build_steps(
     mob: int = LABEL_MOB,
 ) -> dict[str, Step]:
     """One step for each table, named layer.table; every table is counted as it is written."""
-    whole = label_days.is_open
-    write: Writer = rebuild_table if whole else overwrite_partitions
+    write: Writer = rebuild_table if label_days.is_open else overwrite_partitions
     days = {s: label_days if s == "lms" else feature_days for s in raw}
 
     def step(layer: str, table: str, needs: Sequence[str], rows: Callable[[], DataFrame], label: str | None = None) -> Step:
-        by = GOLD_TABLES.get(table, SNAPSHOT)
-        return Step(needs, lambda: write_counted(write, rows(), mart.path(layer, table), [by], label, whole))
+        by, range_ = GOLD_TABLES.get(table, SNAPSHOT), days.get(table, feature_days if table == "feature_store" else label_days)
+        return Step(needs, lambda: write_counted(write, rows(), mart.path(layer, table), [by], label, range_.start, range_.end))
 
     def stored(layer: str, table: str, range_: DateRange) -> DataFrame:
         return _clip(mart.read(spark, layer, table), range_, GOLD_TABLES.get(table, SNAPSHOT))

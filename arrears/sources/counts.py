@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.sources.tables import read_table, write_small
+from arrears.sources.tables import read_table, snapshots_between, table_exists, write_small
 
 #: Folder inside a table; names that begin so are no data to Spark.
 COUNTS = "_counts"
@@ -15,28 +15,25 @@ SCHEMA = "partition string, label string, row_count bigint"
 
 
 def write_counted(
-    write: Callable[..., str], df: DataFrame, path: str, by: Sequence[str], label: str | None = None, whole: bool = False
+    write: Callable[..., str], df: DataFrame, path: str, by: Sequence[str], label: str | None = None, start: str | None = None, end: str | None = None
 ) -> str:
     """``write(df, path, by)``, then bring the stored counts up to date.
 
-    The write itself observes the first and last partition it replaces; only
-    partitions between them are counted again, from the metadata of their files
-    or, with ``label``, from that column. Counts of other partitions stay as they
-    are. ``whole``: the write replaces the table. One row for each partition (and
-    label) comes to the driver.
+    ``start`` and ``end`` are the dates between which the write may replace
+    partitions, None being open. Only those partitions are counted again, from
+    the metadata of their files or, with ``label``, from that column; the counts
+    of others stay as they are. One row for each partition (and label) comes to
+    the driver.
     """
     spark, column = df.sparkSession, by[0]
-    seen = Observation()
-    bounds = [F.min(column).alias("first"), F.max(column).alias("last"), F.count(column).alias("rows")]
-    write(df.observe(seen, *bounds), path, list(by))
-    first, last, rows = (seen.get[k] for k in ("first", "last", "rows"))
-    known = [] if whole else [r for r in _stored(spark, path) if rows == 0 or not str(first) <= r["partition"] <= str(last)]
+    write(df, path, list(by))
+    untouched = [r for r in _stored(spark, path) if (start is not None and r["partition"] < start) or (end is not None and r["partition"] > end)]
     fresh: list = []
-    if rows:
-        inside = read_table(spark, path).filter(F.col(column).between(F.lit(first), F.lit(last)))
+    if table_exists(spark, path):
+        inside = snapshots_between(read_table(spark, path), start, end, column)
         named = F.col(label).cast("string") if label else F.lit(None).cast("string")
         fresh = inside.groupBy(F.col(column).cast("string").alias("partition"), named.alias("label")).agg(F.count(F.lit(1)).alias("row_count")).collect()
-    lines = spark.createDataFrame([tuple(r) for r in (*known, *fresh)], SCHEMA)
+    lines = spark.createDataFrame([tuple(r) for r in (*untouched, *fresh)], SCHEMA)
     write_small(lines, f"{path}/{COUNTS}", "json")
     return path
 
