@@ -208,12 +208,15 @@ class _Bracket:
 def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY, listed: int = LISTED) -> dict[str, float | None]:
     """Median of every column, None without values; ``df`` is read several times, all columns side by side.
 
-    A pass of sketches brackets the middle ranks, a pass of counts says how many
-    values lie below and inside, and the few inside are listed; where too many
-    are left, the bracket is narrowed in the same way. Nothing is shuffled but
+    A pass of counts and sketches brackets the middle ranks, a pass of counts says
+    how many values lie below and inside, and the few inside are listed; where
+    too many are left, the bracket is narrowed in the same way. Nothing is shuffled but
     sketches and counts, and sketches only steer: every result is exact.
     """
-    sizes = df.agg(F.struct(*[F.count(F.col(f"`{c}`").cast("double")) for c in columns]).alias("n")).first()["n"]
+    values = [F.col(f"`{c}`").cast("double") for c in columns]
+    middle = [max(0.5 - 2 / accuracy, 0.0), min(0.5 + 2 / accuracy, 1.0)]
+    sizes, ends = df.agg(F.struct(*map(F.count, values)).alias("n"), F.struct(*[F.percentile_approx(x, middle, accuracy) for x in values]).alias("v")).first()
+    first_ends = dict(zip(columns, ends))
     wanted = {c: sorted({(n - 1) // 2, n // 2}) for c, n in zip(columns, sizes) if n}
     open_brackets = [_Bracket(c, ranks, inside=n) for (c, n), ranks in ((z, wanted[z[0]]) for z in zip(columns, sizes) if z[1])]
     found: dict[tuple[str, int], float] = {}
@@ -225,7 +228,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURAC
             rows = df.agg(F.struct(*[F.sort_array(F.collect_list(b.values())) for b in few]).alias("v")).first()["v"]
             found.update({(b.column, r): values[r - b.below] for b, values in zip(few, rows) for r in b.ranks})
         if many:
-            ends = df.agg(F.struct(*[b.sketch(accuracy) for b in many]).alias("v")).first()["v"]
+            ends = [first_ends.pop(b.column, None) for b in many]
+            if None in ends:
+                ends = df.agg(F.struct(*[b.sketch(accuracy) for b in many]).alias("v")).first()["v"]
             counted = df.agg(F.struct(*[b.counts(low, high) for b, (low, high) in zip(many, ends)]).alias("v")).first()["v"]
             for b, (low, high), c in zip(many, ends, counted):
                 open_brackets += b.parted(low, high, c, found)
