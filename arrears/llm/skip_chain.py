@@ -5,7 +5,8 @@ that might be personal data (a node): strings around an at sign and groups of
 digits. Its labels are the kinds and "none". Nodes that a base span covers are
 observed; the others are free. Potentials are
 
-* of a node and its looks (digits, separators, length, the word before),
+* of a node: its looks (digits, separators, length), the word before it and
+  whether its digits pass the Luhn test,
 * of neighbouring nodes in the text (the chain),
 * of nodes that are the same or similar but far apart (the skips): equal digits,
   the same last nine digits, or the same name before the at sign.
@@ -20,15 +21,24 @@ probable label is a kind becomes a span.
 
 Weights are learned from the base spans of all documents, as sums. A free node
 that shares a skip with an observed one is left out of the learning, since its
-label is what is being asked.
+label is what is being asked. As no free node shows what a pattern needs, looks of
+a kind are learned from observed mentions as they would be written without that:
+a telephone number without its plus sign and perhaps its prefix, digits with
+other separators, an email address without the dots of its host. A second pass
+learns what a shared key is worth: looks of all free nodes that share one tell, by
+expectation and maximisation, how many of them are the same by chance. Nothing is
+clipped: looks, neighbours and skips are weighed against each other, so a number
+that only ends like an observed one stays if its looks and the word before it say
+so, and a number among telephone numbers becomes one without any skip.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+import zlib
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -127,9 +137,19 @@ class Node:
     end: int
     looks: tuple[int, ...]
     keys: tuple[str, ...]
+    context: tuple[int, ...] = ()
 
 
 LOOKS = 40
+#: First rows of the counts of digits, dots, spaces and hyphens among the looks, and of the flags.
+DIGITS_AT, DOTS_AT, SPACES_AT, HYPHENS_AT, FLAGS_AT = 1, 22, 27, 31, 35
+#: Buckets for the word before a node (the first: none) and characters that are looked at for it.
+WORDS, WORD_REACH = 64, 40
+#: Rows of the context: words, then whether 14 to 19 digits fail or pass the Luhn test, or are not so many.
+CONTEXT = WORDS + 3
+#: Parts into which a mention is divided when it counts for several ways of writing it; every share is whole.
+SHARES = 60
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def _looks(text: str, start: int, end: int, at: int) -> tuple[int, ...]:
@@ -137,13 +157,45 @@ def _looks(text: str, start: int, end: int, at: int) -> tuple[int, ...]:
     s = text[start:end]
     digits = sum(c.isdigit() for c in s)
     before = text[max(0, start - 1) : start]
-    out = [0, 1 + min(digits, 20), 22 + min(s.count("."), 4), 27 + min(s.count(" "), 3), 31 + min(s.count("-"), 3)]
-    for place, holds in enumerate((at >= 0, "(" in s, before == "+", bool(before) and not before.isspace(), end - start > 30), 35):
+    out = [0, DIGITS_AT + min(digits, 20), DOTS_AT + min(s.count("."), 4), SPACES_AT + min(s.count(" "), 3), HYPHENS_AT + min(s.count("-"), 3)]
+    for place, holds in enumerate((at >= 0, "(" in s, before == "+", bool(before) and not before.isspace(), end - start > 30), FLAGS_AT):
         if holds:
             out.append(place)
     return tuple(out)
 
 
+def _context(text: str, start: int, digits: str) -> tuple[int, ...]:
+    """Rows of the word before a node and of the Luhn test of its digits."""
+    words = _LETTERS.findall(text, max(0, start - WORD_REACH), start)
+    bucket = 1 + zlib.crc32(words[-1].lower().encode("utf-8", "surrogatepass")) % (WORDS - 1) if words else 0
+    return bucket, WORDS + ((1 + luhn(digits)) if 14 <= len(digits) <= MOST_DIGITS else 0)
+
+
+def unlike_patterns(text: str, node: Node, kind: int) -> np.ndarray:
+    """Looks of an observed mention, were it written so that no pattern takes it; in ``SHARES`` parts."""
+    out = np.zeros(LOOKS)
+    s = text[node.start : node.end]
+    out[0] = SHARES
+    if kind == 0:
+        s = "@".join((s.partition("@")[0], s.partition("@")[2].partition(".")[0]))
+        out[[i for i in _looks(s, 0, len(s), s.find("@")) if 0 < i < FLAGS_AT]] = SHARES
+        out[FLAGS_AT] = SHARES
+    else:
+        runs = _RUN.findall(s) or [""]
+        digits = sum(map(len, runs))
+        short = digits - len(runs[0]) if kind == KINDS.index("phone") else digits
+        for n in (digits, short if short >= LEAST_DIGITS else digits):
+            out[DIGITS_AT + min(n, 20)] += SHARES // 2
+        for first, last in ((DOTS_AT, 4), (SPACES_AT, 3), (HYPHENS_AT, 3)):
+            most = min(len(runs) - 1, last)
+            out[first : first + most + 1] += SHARES // (most + 1)
+        out[FLAGS_AT + 1] = SHARES // 2 if "(" in s else 0
+    before = text[max(0, node.start - 1) : node.start]
+    out[FLAGS_AT + 3] = SHARES if before and before != "+" and not before.isspace() else 0
+    out[FLAGS_AT + 4] = SHARES if len(s) > 30 else 0
+    return out
+
+
 def number_keys(digits: str) -> tuple[str, ...]:
     """Keys of a number: all its digits, and the last nine where it may be a number with a prefix."""
     return ("d" + digits, *(("s" + digits[-9:],) if 9 <= len(digits) <= MOST_DIGITS else ()))
@@ -192,7 +244,7 @@ def nodes(text: str, base: list[Span] | tuple = ()) -> list[Node]:
         start = at - len(text[free:at]) + len(text[free:at].rstrip(_NAME))
         end = _TAIL.match(text, at + 1).end()
         if start < at:
-            out.append(Node(start, end, _looks(text, start, end, at), ("n" + text[start:at].lower(),)))
+            out.append(Node(start, end, _looks(text, start, end, at), ("n" + text[start:at].lower(),), _context(text, start, "")))
         free = max(at + 1, end)
         at = text.find("@", free)
     known = {key for a, kind, b in base if kind for part in {(a, b), *pieces(text, a, b)} for key in number_keys("".join(_RUN.findall(text, *part)))}
@@ -203,7 +255,7 @@ def nodes(text: str, base: list[Span] | tuple = ()) -> list[Node]:
         for start, end in parts:
             digits = "".join(_RUN.findall(text, start, end))
             if len(digits) >= LEAST_DIGITS:
-                out.append(Node(start, end, _looks(text, start, end, -1), number_keys(digits)))
+                out.append(Node(start, end, _looks(text, start, end, -1), number_keys(digits), _context(text, start, digits)))
     return sorted(out, key=lambda n: (n.start, n.end))
 
 
@@ -257,35 +309,52 @@ def observed(found: list[Node], base: list[Span]) -> list[int]:
 
 @dataclass(frozen=True)
 class Weights:
-    """Log potentials: of looks (``LOOKS`` x labels), of neighbours and of skips (labels x labels)."""
+    """Log potentials by label: of looks, of neighbours and of skips (label by label), of the context, of escaping a pattern.
+
+    ``prior`` is the part of the first look that comes from the labels' shares alone.
+    """
 
     look: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    context: np.ndarray = field(default_factory=lambda: np.zeros((CONTEXT, NONE + 1)))
+    escape: np.ndarray = field(default_factory=lambda: np.zeros(NONE + 1))
+    prior: np.ndarray = field(default_factory=lambda: np.zeros(NONE + 1))
 
 
-#: Most that looks can say for or against a kind, what it costs a kind that no
-#: pattern took the node, and most that a neighbour can say. Without a skip the
-#: refusal outweighs the rest; a skip to an observed node outweighs all three.
-LOOK_LIMIT, REFUSED, CHAIN_LIMIT, SKIP_LIMIT = 2.0, 4.0, 0.5, 10.0
+#: Mentions' worth of belief that a feature says nothing of the label, and that skips join one label.
+TRUST, SAME_TRUST = 20.0, 50.0
+#: Share of nodes and pairs that come about in ways the counts do not show.
+ODD = 0.01
+#: Share of free nodes with an observed node's key that have its label, as believed beforehand, by as many mentions as ``TRUST``.
+SAME = 0.95
+#: Least share of repeated mentions that escape their pattern.
+LEAST_ESCAPE = 1e-3
+#: Bins of what looks say for a kind, from the first value on, and steps of expectation and maximisation.
+BINS, BIN_WIDTH, STEPS = 121, 0.25, 200
+FIRST_BIN = -(BINS // 2) * BIN_WIDTH
 
 
 def potentials(found: list[Node], seen: list[int], w: Weights) -> np.ndarray:
     """Log potential of every label of every node by itself; that of an observed node is its kind alone."""
-    look = np.stack([w.look[list(node.looks)].sum(axis=0) for node in found])
-    own = np.clip(look - look[:, NONE:], -LOOK_LIMIT, LOOK_LIMIT)
-    own[:, :NONE] -= REFUSED
+    own = np.stack([w.look[list(node.looks)].sum(axis=0) + w.context[list(node.context)].sum(axis=0) for node in found]) + w.escape
+    own -= own[:, NONE:]
     for i, kind in enumerate(seen):
         if kind >= 0:
             own[i] = np.where(np.arange(NONE + 1) == kind, 0.0, -50.0)
     return own
 
 
+def chained(found: list[Node]) -> list[tuple[int, int]]:
+    """Places of neighbouring nodes; parts of one group that overlap are none."""
+    return [(i, i + 1) for i in range(len(found) - 1) if found[i].end <= found[i + 1].start]
+
+
 def infer(found: list[Node], seen: list[int], w: Weights) -> np.ndarray:
     """Label probabilities of all nodes, by loopy sum-product over chain and skip edges."""
     n, labels = len(found), NONE + 1
     own = potentials(found, seen, w)
-    pairs = [(i, i + 1, 0) for i in range(n - 1)] + [(a, b, 1) for a, b in sorted({*skips(found), *anchored(found, seen)})]
+    pairs = [(i, j, 0) for i, j in chained(found)] + [(a, b, 1) for a, b in sorted({*skips(found), *anchored(found, seen)})]
     if not pairs:
         return _normal(own)
     a, b, which = np.array(pairs).T
@@ -340,65 +409,155 @@ def spelled(spans: list[Span]) -> str:
 
 
 def counts(text: str) -> dict[str, np.ndarray]:
-    """What learning needs of one text: looks by label, neighbour and skip label pairs."""
-    look, chain, skip = np.zeros((LOOKS, NONE + 1)), np.zeros((NONE + 1, NONE + 1)), np.zeros((NONE + 1, NONE + 1))
+    """What learning needs of one text, in whole numbers, so that sums do not depend on their order.
+
+    Looks (in ``SHARES`` parts) and context by label, neighbour and skip label
+    pairs, and of nodes that repeat an observed one, by its kind, how many are free and how many observed.
+    """
+    labels = NONE + 1
+    out = {"look": np.zeros((LOOKS, labels)), "chain": np.zeros((labels, labels)), "skip": np.zeros((labels, labels)), "context": np.zeros((CONTEXT, labels)), "repeat": np.zeros((2, labels))}
+    if "@" not in text and not any(map(text.__contains__, "0123456789")):
+        return out
     base = base_spans(text)
     found = nodes(text, base)
     seen = observed(found, base)
     edges = sorted({*skips(found), *anchored(found, seen)})
-    asked = {i for a, b in edges for i, j in ((a, b), (b, a)) if seen[i] < 0 <= seen[j]}
+    asked = {i: seen[j] for a, b in edges for i, j in ((a, b), (b, a)) if seen[i] < 0 <= seen[j]}
     label = [NONE if kind < 0 else kind for kind in seen]
     for i, node in enumerate(found):
-        if i not in asked:
-            look[list(node.looks), label[i]] += 1
-    for i in range(len(found) - 1):
-        if i not in asked and i + 1 not in asked:
-            chain[label[i], label[i + 1]] += 1
+        if i in asked:
+            out["repeat"][0, asked[i]] += 1
+            continue
+        if seen[i] < 0:
+            out["look"][list(node.looks), NONE] += SHARES
+        else:
+            out["look"][:, seen[i]] += unlike_patterns(text, node, seen[i])
+        out["context"][list(node.context), label[i]] += 1
+    for i, j in chained(found):
+        if i not in asked and j not in asked:
+            out["chain"][label[i], label[j]] += 1
+    again = set()
     for a, b in edges:
         if a not in asked and b not in asked:
-            skip[label[a], label[b]] += 1
-    return {"look": look, "chain": chain, "skip": skip}
+            out["skip"][label[a], label[b]] += 1
+            if label[a] == label[b] != NONE:
+                again.add(b)
+    for i in again:
+        out["repeat"][1, label[i]] += 1
+    return out
 
 
-def learn(total: dict[str, np.ndarray]) -> Weights:
-    """Piecewise weights: each factor is the smoothed logarithm of how its labels meet.
+def _given(count: np.ndarray) -> np.ndarray:
+    """Log probability of each value of a feature (rows) given the label (columns).
 
-    Looks count as independent given the label, smoothed by one. Chain and skip
-    weights compare how often two labels meet with chance; those of a skip start
-    from a strong belief that what is the same has one label.
+    Drawn towards the probability among all nodes, so a label with few nodes
+    says little, and mixed with it, so that no value is impossible.
     """
-    look = total["look"] + 1
-    of_label = look[0] / look[0].sum()
-    given = np.log(look / look[0])
-    given[0] = np.log(of_label)
-    chain = total["chain"] + 1
-    chain = np.log(chain / np.outer(chain.sum(axis=1), chain.sum(axis=0)) * chain.sum())
-    skip = total["skip"] + total["skip"].T + np.eye(NONE + 1) * 50 + 0.005
-    skip = np.log(skip / np.outer(skip.sum(axis=1), skip.sum(axis=0)) * skip.sum())
-    return Weights(given, np.clip(chain, -CHAIN_LIMIT, CHAIN_LIMIT), np.clip(skip, -SKIP_LIMIT, SKIP_LIMIT))
+    among_all = ((count.sum(axis=1) + 1) / (count.sum() + len(count)))[:, None]
+    return np.log((1 - ODD) * (count + TRUST * among_all) / (count.sum(axis=0) + TRUST) + ODD * among_all)
 
 
-def train(docs: DataFrame) -> Weights:
-    """Weights from all rows; null texts count as empty.
+def _meeting(count: np.ndarray, of_label: np.ndarray, belief: np.ndarray, trust: float, odd: float) -> np.ndarray:
+    """Log of how much likelier the second label (columns) gets by the first (rows)."""
+    after = (count + trust * belief) / (count.sum(axis=1, keepdims=True) + trust)
+    return np.log((1 - odd) * after / of_label + odd)
+
+
+def evidence(text: str, w: Weights) -> np.ndarray:
+    """Bins of what looks and context say for the kind whose key a free node shares, against none; counts by kind."""
+    out = np.zeros((BINS, NONE + 1))
+    if "@" not in text and not any(map(text.__contains__, "0123456789")):
+        return out
+    base = base_spans(text)
+    found = nodes(text, base)
+    seen = observed(found, base)
+    asked = {i: seen[j] for a, b in anchored(found, seen) for i, j in ((a, b), (b, a)) if seen[i] < 0 <= seen[j]}
+    if asked:
+        own = potentials(found, [-1] * len(found), w) - w.prior + w.prior[NONE] - w.escape
+        for i, kind in asked.items():
+            out[int(np.clip(round((own[i, kind] - FIRST_BIN) / BIN_WIDTH), 0, BINS - 1)), kind] += 1
+    return out
+
 
-    Only sums come to the driver. Without any row the weights are those of smoothing alone.
+def shares_of_same(asked: np.ndarray) -> np.ndarray:
+    """Share of free nodes with an observed node's key that have its label, by kind.
+
+    ``asked`` are bins of ``evidence``; of two explanations, one label or
+    chance, each node's looks say how much likelier they are under the first.
     """
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("t"))
+    likelier = np.exp(FIRST_BIN + BIN_WIDTH * np.arange(BINS))[:, None]
+    share = np.full(asked.shape[1], SAME)
+    for _ in range(STEPS):
+        same = (asked * (share * likelier / (share * likelier + 1 - share))).sum(axis=0)
+        share = (same + TRUST * SAME) / (asked.sum(axis=0) + TRUST)
+    return share
+
+
+def learn(total: dict[str, np.ndarray], asked: np.ndarray | None = None) -> Weights:
+    """Piecewise weights from sums of ``counts`` and then of ``evidence``: logarithms of smoothed probabilities.
+
+    Looks and context count as independent given the label. Chain and skip
+    weights compare how often two labels meet with chance. A skip from an
+    observed node is worth what makes the share of ``shares_of_same`` come out
+    for a node whose looks say nothing.
+    """
+    labels = NONE + 1
+    look, context, repeat = total["look"] / SHARES, total.get("context", np.zeros((CONTEXT, labels))), total.get("repeat", np.zeros((2, labels)))
+    share = shares_of_same(np.zeros((BINS, labels)) if asked is None else asked)
+    of_label = (look[0] + 1) / (look[0] + 1).sum()
+    weights = np.zeros((LOOKS, labels))
+    weights[0] = np.log(of_label)
+    for first, stop in zip((DIGITS_AT, DOTS_AT, SPACES_AT, HYPHENS_AT), (DOTS_AT, SPACES_AT, HYPHENS_AT, FLAGS_AT)):
+        weights[first:stop] = _given(look[first:stop])
+    for place in range(FLAGS_AT, LOOKS):
+        off, on = _given(np.stack([look[0] - look[place], look[place]]))
+        weights[0] += off
+        weights[place] = on - off
+    around = np.concatenate([_given(context[:WORDS]), _given(context[WORDS:])])
+    chance, one = np.broadcast_to(of_label, (labels, labels)), np.eye(labels)
+    chain = (_meeting(total["chain"], of_label, chance, TRUST, ODD) + _meeting(total["chain"].T, of_label, chance, TRUST, ODD).T) / 2
+    skip = _meeting(total["skip"] + total["skip"].T, of_label, one, SAME_TRUST, ODD)
+    skip = (skip + skip.T) / 2
+    escaped = repeat[0] * share
+    escape = np.log((1 - LEAST_ESCAPE) * (escaped + 1) / (escaped + repeat[1] + 1 / LEAST_ESCAPE) + LEAST_ESCAPE)
+    escape[NONE] = 0.0
+    prior = np.log(of_label)
+    worth = np.log(share / (1 - share)) - (prior - prior[NONE]) - escape
+    for kind in range(NONE):
+        skip[kind, NONE] = skip[NONE, kind] = skip[kind, kind] - worth[kind]
+    return Weights(weights, chain, skip, around, escape, prior)
+
+
+def _sums(texts: DataFrame, of_text: Callable[[str], np.ndarray], size: int) -> np.ndarray:
+    """Sum of an array of each text over all rows, of which only the sums come to the driver."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = np.zeros(size)
         for part in parts:
             for t in part.column(0):
-                found = counts(t.as_py())
-                total = found if total is None else {k: total[k] + v for k, v in found.items()}
-        if total is not None:
-            flat = np.concatenate([v.ravel() for v in total.values()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], names=["i", "n"])
+                total += of_text(t.as_py())
+        (at,) = total.nonzero()
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["i", "n"])
+
+    out = np.zeros(size)
+    for r in texts.mapInArrow(run, "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[r.i] = r.n
+    return out
 
-    sums = {r.i: r.n for r in texts.mapInArrow(run, "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect()}
-    flat = np.array([sums.get(i, 0.0) for i in range(LOOKS * (NONE + 1) + 2 * (NONE + 1) ** 2)])
-    look, chain, skip = np.split(flat, np.cumsum([LOOKS * (NONE + 1), (NONE + 1) ** 2]))
-    return learn({"look": look.reshape(LOOKS, -1), "chain": chain.reshape(NONE + 1, -1), "skip": skip.reshape(NONE + 1, -1)})
+
+def train(docs: DataFrame) -> Weights:
+    """Weights from all rows, in two passes; null texts count as empty.
+
+    Without any row the weights are those of smoothing alone. Repeated rows
+    count as often as they are there; other columns are not used.
+    """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("t"))
+    shapes = {name: count.shape for name, count in counts("").items()}
+    sizes = [rows * columns for rows, columns in shapes.values()]
+    flat = _sums(texts, lambda t: np.concatenate([v.ravel() for v in counts(t).values()]), sum(sizes))
+    total = {name: part.reshape(shape) for (name, shape), part in zip(shapes.items(), np.split(flat, np.cumsum(sizes)[:-1]))}
+    w = learn(total)
+    return learn(total, _sums(texts, lambda t: evidence(t, w).ravel(), BINS * (NONE + 1)).reshape(BINS, -1))
 
 
 def personal_data(docs: DataFrame, weights: Weights) -> DataFrame:
@@ -436,7 +595,11 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask_personal_data(docs: DataFrame, weights: Weights) -> DataFrame:
-    """``docs`` with personal data masked in ``text``; ``n_chars``, if there, follows it. Null texts stay null."""
+    """``docs`` with personal data masked in ``text``; ``n_chars``, if there, follows it.
+
+    Every row stays a row with all its columns: null texts stay null, empty ones
+    empty, repeated rows are masked alike, an empty table gives an empty one. Names of other columns do not matter.
+    """
     columns = docs.columns
     text_at = columns.index("text")
 

@@ -1,13 +1,14 @@
 import hashlib
 import random
 import re
+from dataclasses import replace
 from itertools import product
 
 import numpy as np
 import pytest
 
 from arrears.llm.queries import op1_skip_chain
-from arrears.llm.skip_chain import KINDS, NONE, Node, Weights, base_spans, counts, find, infer, learn, luhn, mask_personal_data, masked, nodes, personal_data, potentials, skips, spelled, train
+from arrears.llm.skip_chain import KINDS, NONE, Node, Weights, base_spans, counts, evidence, find, infer, learn, luhn, mask_personal_data, masked, nodes, personal_data, potentials, skips, spelled, train
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -108,6 +109,91 @@ def test_weights_come_from_all_documents(spark):
     assert all(np.allclose(getattr(got, k), getattr(want, k)) for k in ("look", "chain", "skip"))
 
 
+def contacts(n, seed):
+    """Made documents with what should become personal data by repeats, and what only looks alike.
+
+    Yields (text, spans that must be added, as texts in order).
+    """
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("123456789") for _ in range(k))
+    filler = lambda: " ".join(rng.choice("some plain words stand between what is looked for here".split()) for _ in range(rng.randint(2, 9)))
+    for i in range(n):
+        area, last = digits(3), digits(4)
+        number, short, tail = f"+1 ({area}) 555-{last}", f"({area}) 555-{last}", f"{area}555{last}"[1:]
+        order = f"order {digits(7)}{tail}"
+        if i % 4 == 0:
+            yield f"{filler()} call {number} {filler()} call {short} {filler()} {order}", [short]
+        elif i % 4 == 1:
+            yield f"{filler()} order {digits(16)} {filler()} order {digits(16)} on 2024-0{digits(1)}-11 {filler()}", []
+        elif i % 4 == 2:
+            yield f"{filler()} call {number} {filler()} {order} {filler()} order {digits(16)}", []
+        else:
+            yield f"{filler()} write anna{i}@mail.example.com {filler()} call {number}, +1 ({digits(3)}) 555-{digits(4)}, +1 ({digits(3)}) 555-{digits(4)} {filler()} write anna{i}@intranet", [f"anna{i}@intranet"]
+
+
+def learned(texts):
+    texts = list(texts)
+    each = [counts(t) for t in texts]
+    total = {k: sum(x[k] for x in each) for k in each[0]}
+    w = learn(total)
+    return learn(total, sum(evidence(t, w) for t in texts))
+
+
+def added(text, w):
+    base, spans = find(text, w)
+    return [(KINDS[k], text[a:b]) for a, k, b in spans if (a, k, b) not in base]
+
+
+def unlearned():
+    return learn({k: np.zeros_like(v) for k, v in counts("").items()})
+
+
+@pytest.fixture(scope="module")
+def from_contacts():
+    return learned(t for t, _ in contacts(800, 1))
+
+
+def test_precision_and_recall_of_added_spans(from_contacts):
+    right = wrong = missed = 0
+    for text, want in contacts(800, 2):
+        got = [s for _, s in added(text, from_contacts)]
+        right += len(set(got) & set(want))
+        wrong += len(set(got) - set(want))
+        missed += len(set(want) - set(got))
+    assert right / (right + wrong) > 0.98 and right / (right + missed) > 0.98, (right, wrong, missed)
+
+
+def test_context_overrules_a_shared_key(from_contacts):
+    text = "call +1 (632) 555-4827 about order 9876543325554827 today"
+    found = nodes(text, base_spans(text))
+    assert skips(found), "the order number ends like the telephone number"
+    assert added(text, from_contacts) == []
+    # Without what was learned the shared key alone decides.
+    assert added(text, unlearned()) == [("phone", "9876543325554827")]
+
+
+def test_the_chain_labels_a_node_without_a_skip():
+    # Lists of telephone numbers, some told again in short, and lists of part numbers written alike.
+    texts = []
+    for i in range(400):
+        numbers = [f"+1 ({200 + i}) 555-{1000 + 7 * i + k}" for k in range(6)]
+        texts.append(f"call {', '.join(numbers)}, {numbers[0][3:]}, {numbers[1][3:]}")
+        texts.append("parts " + ", ".join(f"({200 + i}) 777-{1000 + 7 * i + k}" for k in range(6)) + f" of a{i}@b.cc")
+    w = learned(texts)
+    among = "call +1 (632) 555-4827, +1 (632) 555-1111, +1 (632) 555-1112, (714) 555-9321, +1 (632) 555-2222, +1 (632) 555-3333"
+    assert not skips(nodes(among, base_spans(among)))
+    assert added(among, w) == [("phone", "(714) 555-9321")]
+    assert added(among, replace(w, chain=0 * w.chain)) == [], "without neighbours nothing says so"
+    assert added("parts (200) 777-1000, (200) 777-1001, (714) 555-9321, (200) 777-1002 of a1@b.cc", w) == []
+
+
+def test_counts_are_whole_and_odd_nodes_count(weights):
+    for text in ("a_@1.2.3.4 x", "a+16325554827@ 4539578763621486@4539578763621486", "+1 632-555.4827@b", "@", "1@1"):
+        for n in counts(text).values():
+            assert (n == np.floor(n)).all() and (n >= 0).all(), text
+        find(text, weights)
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(3)
     w = Weights(rng.normal(size=(40, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)), rng.normal(size=(NONE + 1, NONE + 1)))
