@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 
 from arrears.constants import SNAPSHOT
 from arrears.sources.registry import with_snapshot_date
+from arrears.sources.versions import last_commit, read_commit
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Every partition of a table."""
+    """Every partition of a table; of one that keeps versions, as the last commit names them."""
     if not isinstance(path, str):
         raise TypeError(f"table path must be a string, got {type(path).__name__}")
+    commit = last_commit(spark, path)
+    if commit is not None:
+        rows = read_commit(spark, path, commit)
+        if rows is None:
+            raise FileNotFoundError(f"{path} has no partition yet")
+        return rows
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -51,9 +58,12 @@ def _partitioned(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,)) -> str:
     """Replace the partitions present in ``df``, leave all others alone.
 
-    Rows without a date belong to no snapshot and are left out.
+    Rows without a date belong to no snapshot and are left out. A table that
+    keeps versions is refused, since its readers would not see the change.
     """
     by = list(by)
+    if last_commit(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} keeps versions; change it by upsert_versioned, or rebuild it")
     dated = df.dropna(subset=by)
     (
         _partitioned(dated, by)

@@ -10,10 +10,11 @@ from arrears.constants import CLICK_COLUMNS, FORBIDDEN_COLUMNS, LEAKAGE_FRAGMENT
 from arrears.operators import joins, summaries
 from arrears.operators.dedup import keep_first, keep_last
 from arrears.operators.schema import FeatureRoles
-from arrears.operators.upsert import upsert_table
+from arrears.operators import upsert as upserts
+from arrears.operators.upsert import upsert_table, upsert_versioned
 from arrears.plans import datamart, gold, graph, silver
 from arrears.session import refuse_own_disk, scratch_path, session_dir
-from arrears.sources import registry, tables
+from arrears.sources import registry, tables, versions
 from workload.fixtures import TIE_BREAK, Inputs
 
 
@@ -177,6 +178,101 @@ def test_upsert_twice_is_once_and_leaves_other_months(spark):
         upsert_table(new, path, keys=["loan_id"])
 
 
+def loans(spark, *rows):
+    schema = "loan_id string, d string, v int"
+    return spark.createDataFrame(list(rows), schema).selectExpr("loan_id", "v", "date(d) AS label_snapshot_date")
+
+
+def test_readers_see_all_of_a_versioned_upsert_or_none(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 1), ("L2", "2024-02-01", 1), ("L3", "2024-03-01", 1)), path)
+    old = tables.read_table(spark, path)
+    change = loans(spark, ("L1", "2024-01-01", 2), ("L2", "2024-02-01", 2), ("L4", "2024-04-01", 2))
+
+    # A task that fails after the first month is written.
+    def failing(batches):
+        for batch in batches:
+            if dt.date(2024, 2, 1) in batch.column("label_snapshot_date").to_pylist():
+                raise OSError("lost")
+            yield batch
+
+    rebuild = tables.rebuild_table
+    half = lambda df, folder, by: rebuild(df.repartition(4, *by).mapInArrow(failing, df.schema), folder, by)
+    monkeypatch.setattr(upserts, "rebuild_table", half)
+    with pytest.raises(Exception, match="lost"):
+        upsert_versioned(change, path)
+    monkeypatch.undo()
+    assert rows_of(tables.read_table(spark, path)) == rows_of(old)
+
+    # A driver that fails when every month is written but nothing is committed.
+    seen = []
+
+    def dies(*_):
+        seen.extend(rows_of(tables.read_table(spark, path)))
+        raise OSError("driver gone")
+
+    monkeypatch.setattr(upserts, "commit_version", dies)
+    with pytest.raises(OSError, match="driver gone"):
+        upsert_versioned(change, path)
+    monkeypatch.undo()
+    assert seen == rows_of(old) == rows_of(tables.read_table(spark, path))
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_version=")]) == 1
+
+    upsert_versioned(change, path)
+    want = [("2024-01-01", "L1", "2"), ("2024-02-01", "L2", "2"), ("2024-03-01", "L3", "1"), ("2024-04-01", "L4", "2")]
+    assert rows_of(tables.read_table(spark, path)) == want
+    # Who began to read before still reads the table of then.
+    assert [r[2] for r in rows_of(old)] == ["1", "1", "1"]
+
+
+def test_of_two_writers_the_second_is_told(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 1)), path)
+    commit = upserts.commit_version
+
+    def late(*args):
+        monkeypatch.undo()
+        upsert_versioned(loans(spark, ("L2", "2024-01-01", 5)), path)
+        return commit(*args)
+
+    monkeypatch.setattr(upserts, "commit_version", late)
+    with pytest.raises(versions.CommitConflict):
+        upsert_versioned(loans(spark, ("L1", "2024-01-01", 9)), path)
+    assert rows_of(tables.read_table(spark, path)) == [("2024-01-01", "L1", "1"), ("2024-01-01", "L2", "5")]
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 9)), path)
+    assert rows_of(tables.read_table(spark, path)) == [("2024-01-01", "L1", "9"), ("2024-01-01", "L2", "5")]
+
+
+def test_a_plain_table_takes_versions_and_old_ones_can_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(loans(spark, ("L1", "2024-01-01", 1), ("L2", "2024-02-01", 1)), path)
+    for v in (2, 3):
+        upsert_versioned(loans(spark, ("L1", "2024-01-01", v)), path)
+    # A table with versions keeps them, whichever upsert is called; a plain overwrite would be overlooked.
+    upsert_table(loans(spark, ("L1", "2024-01-01", 4)), path)
+    with pytest.raises(ValueError):
+        tables.overwrite_partitions(loans(spark, ("L1", "2024-01-01", 5)), path, ["label_snapshot_date"])
+    want = [("2024-01-01", "L1", "4"), ("2024-02-01", "L2", "1")]
+    assert rows_of(tables.read_table(spark, path)) == want
+    one = tables.read_snapshot(spark, path, "2024-01-01", "label_snapshot_date")
+    assert rows_of(one) == want[:1]
+    assert plan_of(one).count("PartitionFilters: [isnotnull(label_snapshot_date") == 2, "plain and versioned folders are both pruned"
+    assert versions.drop_old_versions(spark, path, keep=1) == 2
+    assert rows_of(tables.read_table(spark, path)) == want
+    assert versions.drop_old_versions(spark, path, keep=1) == 0
+    tables.rebuild_table(loans(spark, ("L9", "2024-05-01", 9)), path, ["label_snapshot_date"])
+    assert rows_of(tables.read_table(spark, path)) == [("2024-05-01", "L9", "9")]
+
+
+def test_versions_of_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 1)).limit(0), path)
+    assert not tables.table_exists(spark, path)
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 1), ("L1", "2024-01-01", 2), ("L1", None, 3)), path, order_by=["v"])
+    upsert_versioned(loans(spark, ("L1", "2024-01-01", 1)).limit(0), path)
+    assert rows_of(tables.read_table(spark, path)) == [("2024-01-01", "L1", "2")]
+
+
 def test_csv_source_reads_text_by_header(spark, tmp_path):
     (tmp_path / "features_attributes.csv").write_text('Occupation,Customer_ID,snapshot_date,Age\n"Sales, ""EU""",C1,2024-01-01,23_\n')
     source = registry.SOURCES["attributes"]

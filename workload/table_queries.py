@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from arrears.constants import LABEL_SNAPSHOT
 from arrears.operators.schema import feature_roles
 from arrears.operators.summaries import leakage_report as report_of
-from arrears.operators.upsert import upsert_table
+from arrears.operators.upsert import upsert_table, upsert_versioned
 from arrears.plans import datamart
 from arrears.plans.inference import write_predictions as store_predictions
 from arrears.session import scratch_path
@@ -118,28 +118,36 @@ def write_predictions(spark, sf_dir):
     return tables.read_table(spark, path).select("Customer_ID", "snapshot_date", "model_name", "model_predictions")
 
 
-@query(
-    "upsert_table",
-    """
+_UPSERT_SQL = """
     SELECT loan_id, label_snapshot_date, label, prediction_score FROM (
         SELECT loan_id, label_snapshot_date, label, prediction_score, 0 AS run FROM fx_scores
         UNION ALL
         SELECT loan_id, label_snapshot_date, label, round(1 - prediction_score, 3), 1 FROM fx_scores WHERE ship_date >= DATE '1999-01-01')
-    QUALIFY row_number() OVER (PARTITION BY loan_id, label_snapshot_date ORDER BY run DESC, prediction_score DESC, label DESC) = 1""",
-)
-def upsert_into_table(spark, sf_dir):
+    QUALIFY row_number() OVER (PARTITION BY loan_id, label_snapshot_date ORDER BY run DESC, prediction_score DESC, label DESC) = 1"""
+
+
+def _upserted_twice(spark, sf_dir, upsert):
+    """All scores, then the late ones changed; the table read back."""
     scores = Inputs(spark, sf_dir).scores()
     columns = ["loan_id", LABEL_SNAPSHOT, "label", "prediction_score"]
     path = scratch_path(spark, "predictions")
     order = ["prediction_score", "label"]
-    upsert_table(scores.select(*columns), path, order_by=order)
+    upsert(scores.select(*columns), path, order_by=order)
     late = scores.filter(F.col("ship_date") >= F.lit("1999-01-01").cast("date"))
-    upsert_table(
-        late.withColumn("prediction_score", F.round(1 - F.col("prediction_score"), 3)).select(*columns), path, order_by=order
-    )
+    upsert(late.withColumn("prediction_score", F.round(1 - F.col("prediction_score"), 3)).select(*columns), path, order_by=order)
     return tables.read_table(spark, path).select(*columns)
 
 
+@query("upsert_table", _UPSERT_SQL)
+def upsert_into_table(spark, sf_dir):
+    return _upserted_twice(spark, sf_dir, upsert_table)
+
+
+@query("upsert_versioned", _UPSERT_SQL)
+def upsert_into_versions(spark, sf_dir):
+    return _upserted_twice(spark, sf_dir, upsert_versioned)
+
+
 _COUNTS_SQL = "\nUNION ALL ".join(
     [f"SELECT 'bronze' AS layer, '{s}' AS table_name, count(*) AS row_count FROM fx_{s}" for s in SOURCES]
     + [f"SELECT 'silver', '{s}', count(*) FROM silver_{s}" for s in SOURCES]
