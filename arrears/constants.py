@@ -19,6 +19,7 @@ FEATURE_STORE_VERSION = "application_snapshot_v1"
 
 AUC_FLOOR = 0.70
 PSI_CEILING = 0.20
+DEFAULT_RATE_MOVE = 0.25
 PSI_BINS = 10
 PSI_SHARE_FLOOR = 1e-6
 MIN_LEVEL_SHARE = 0.01

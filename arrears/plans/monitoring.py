@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.constants import AUC_FLOOR, LABEL_SNAPSHOT, PSI_CEILING
+from arrears.constants import AUC_FLOOR, DEFAULT_RATE_MOVE, LABEL_SNAPSHOT, PSI_CEILING
 from arrears.functions.dates import month_label, up_to_month
 from arrears.operators.discrimination import metrics_of_totals
 from arrears.operators.ordered import ROWS_PER_RANGE, totals_of_counts, value_counts
@@ -84,6 +84,38 @@ def guardrail_breaches(monitoring: DataFrame, auc_floor: float = AUC_FLOOR, psi_
     return monitoring.select("label_month", F.inline(F.array_compact(F.array(low_auc, high_psi))))
 
 
+def default_rate(labelled: DataFrame, label: str = "label") -> float | None:
+    """Share of defaults among the rows with a label; None without any. One number comes to the driver."""
+    return labelled.agg(F.try_divide(F.sum(F.col(label).cast("bigint")), F.count(label))).first()[0]
+
+
+def retrain_triggers(
+    monitoring: DataFrame,
+    reference_rate: float | None,
+    auc_floor: float = AUC_FLOOR,
+    psi_ceiling: float = PSI_CEILING,
+    rate_move: float = DEFAULT_RATE_MOVE,
+) -> DataFrame:
+    """One row for each month that calls for a new model before the next is due, with all its reasons.
+
+    Besides the guardrails, the observed default rate may have moved by more
+    than ``rate_move`` of ``reference_rate`` (that of the reference scores); with
+    a reference rate of zero any default is a move. What is undefined, or
+    compared with nothing, is no reason.
+    """
+    known = F.lit(reference_rate).cast("double")
+    moved = F.col("observed_default_rate") - known
+    reasons = {
+        "auc_below_floor": F.col("auc") < auc_floor,
+        "score_psi_above_ceiling": F.col("score_psi") > psi_ceiling,
+        "default_rate_moved": F.abs(moved) > rate_move * known,
+    }
+    told = F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in reasons.items()]))
+    return monitoring.select(
+        "label_month", "auc", "score_psi", "observed_default_rate", F.try_divide(moved, known).alias("default_rate_move"), F.array_join(told, ",").alias("reasons")
+    ).where("reasons <> ''")
+
+
 def monitoring_summary(monitoring: DataFrame, auc_floor: float = AUC_FLOOR, psi_ceiling: float = PSI_CEILING) -> DataFrame:
     """One row: months watched, the latest month and its values, extremes, breaches."""
     months_low = F.collect_list(F.when(F.col("auc") < auc_floor, F.col("label_month")))
@@ -147,14 +179,20 @@ def month_of_predictions(spark: SparkSession, predictions_path: str, execution_d
 
 
 def _watched(spark: SparkSession, root: str, reference_path: str, write, month: str | None) -> DataFrame:
-    """Monthly rows of the stored state, of one month or all, into the monthly table; summary of the whole of it."""
-    reference = fit_reference(read_table(spark, reference_path))
+    """Monthly rows of the stored state, of one month or all, into the monthly table; summary of the whole of it.
+
+    Months that call for a new model are stored too, where the reference scores have labels.
+    """
+    scores = read_table(spark, reference_path)
+    reference = fit_reference(scores)
     # Months are text, which partition folders would turn into dates.
     state = read_table(spark, f"{root}/state").withColumn("label_month", F.date_format(F.col("label_month").cast("date"), "yyyy-MM"))
     table = table_of_state(state if month is None else state.filter(F.col("label_month") == month), reference)
     write(table, f"{root}/monthly", ["label_month"])
     stored = stored_months(spark, root)
     write_small(monitoring_summary(stored), f"{root}/summary", "json")
+    if "label" in scores.columns:
+        write_small(retrain_triggers(stored, default_rate(scores)), f"{root}/retrain_triggers", "json")
     return monitoring_summary(stored)
 
 

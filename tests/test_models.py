@@ -73,6 +73,10 @@ def test_scoring_is_idempotent_and_monitored(spark, loans, run):
     summary = monitoring.run_monitoring(spark, path, reference, out, "2024-09-15").first()
     assert (summary["months_monitored"], summary["latest_month"]) == (3, "2024-09")
     assert summary["max_score_psi"] < 0.2 and summary["min_auc"] > 0.5
+    rate = monitoring.default_rate(run.extras["reference_scores"])
+    stored = {r["label_month"] for r in spark.read.schema("label_month string").json(f"{out}/retrain_triggers").collect()}
+    want = monitoring.retrain_triggers(monitoring.stored_months(spark, out), rate).collect()
+    assert stored == {r["label_month"] for r in want}
 
 
 def test_guardrails(spark):
@@ -82,6 +86,23 @@ def test_guardrails(spark):
     assert monitoring.latest_month(table).first()["label_month"] == "2024-03"
 
 
+def test_retrain_triggers(spark):
+    rows = [("2024-01", 0.65, 0.1, 0.2), ("2024-02", None, 0.3, 0.26), ("2024-03", 0.8, 0.2, 0.25), ("2024-04", 0.6, 0.4, 0.14), ("2024-05", 0.9, 0.1, None)]
+    table = spark.createDataFrame(rows, "label_month string, auc double, score_psi double, observed_default_rate double")
+
+    def found(rate):
+        return {r["label_month"]: r["reasons"] for r in monitoring.retrain_triggers(table, rate).collect()}
+
+    guardrails = {"2024-01": "auc_below_floor", "2024-02": "score_psi_above_ceiling", "2024-04": "auc_below_floor,score_psi_above_ceiling"}
+    assert found(None) == guardrails
+    moved = {"2024-02": "score_psi_above_ceiling,default_rate_moved", "2024-04": "auc_below_floor,score_psi_above_ceiling,default_rate_moved"}
+    # A move of exactly a quarter (0.25 from 0.2) is none.
+    assert found(0.2) == guardrails | moved
+    assert found(0.0)["2024-03"] == "default_rate_moved" and "2024-05" not in found(0.0)
+    labels = spark.createDataFrame([(1,), (0,), (0,), (None,), (0,)], "label int")
+    assert monitoring.default_rate(labels) == 0.25 and monitoring.default_rate(labels.limit(0)) is None
+
+
 def test_leaderboard_puts_undefined_auc_last(spark):
     board = spark.createDataFrame([(0, "a", None), (1, "b", 0.7), (2, "c", 0.7)], "candidate_no int, model_name string, auc double")
     assert [r["model_name"] for r in training.rank_leaderboard(board).collect()] == ["b", "c", "a"]

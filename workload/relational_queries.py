@@ -404,6 +404,20 @@ def guardrail_breaches(spark, sf_dir):
     return _rounded(monitoring.guardrail_breaches(_monitoring(spark, sf_dir)), "observed")
 
 
+@query(
+    "retrain_triggers",
+    "SELECT label_month, round(auc, 6) AS auc, round(score_psi, 6) AS score_psi, round(observed_default_rate, 6) AS observed_default_rate, "
+    "round((observed_default_rate - rate) / nullif(rate, 0), 6) AS default_rate_move, "
+    "concat_ws(',', CASE WHEN auc < 0.7 THEN 'auc_below_floor' END, CASE WHEN score_psi > 0.2 THEN 'score_psi_above_ceiling' END, "
+    "CASE WHEN abs(observed_default_rate - rate) > 0.25 * rate THEN 'default_rate_moved' END) AS reasons "
+    "FROM monitoring, (SELECT avg(label) AS rate FROM fx_scores WHERE ship_date < DATE '1997-01-01') WHERE reasons <> ''",
+)
+def retrain_triggers(spark, sf_dir):
+    rate = monitoring.default_rate(Inputs(spark, sf_dir).reference_scores())
+    found = monitoring.retrain_triggers(_monitoring(spark, sf_dir), rate)
+    return _rounded(found, "auc", "score_psi", "observed_default_rate", "default_rate_move")
+
+
 @query(
     "monitoring_summary",
     "SELECT count(*) AS months_monitored, max(label_month) AS latest_month, round(arg_max(auc, label_month), 6) AS latest_auc, "
