@@ -20,7 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arrears.session import batch_bytes
+
 BLOCK_ROWS = 2_048
+#: Bytes of blocks that a worker gets at once, at least one block.
+BATCH_BYTES = 4 << 20
 #: Largest correction of a weight that a stretch of steps may need. What is left after it is far smaller.
 TOLERANCE = 1e-3
 _BLOCK = "rows int, x binary, y binary"
@@ -52,9 +56,10 @@ def _sums(weights: Sequence[np.ndarray]) -> Callable:
         upper = np.triu_indices(d)
         totals = np.zeros((len(weights), 2 + d + len(upper[0])))
         for batch in batches:
-            for record in batch.to_pylist():
-                y = np.frombuffer(record["y"], "<f8")
-                x = np.column_stack([np.frombuffer(record["x"], "<f8").reshape(len(y), d - 1), np.ones(len(y))])
+            # Cells are views of the batch, so one block at a time is copied.
+            for x, y in zip(batch.column(0), batch.column(1)):
+                y = np.frombuffer(y.as_buffer(), "<f8")
+                x = np.column_stack([np.frombuffer(x.as_buffer(), "<f8").reshape(len(y), d - 1), np.ones(len(y))])
                 for i, w in enumerate(weights):
                     p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
                     hessian = (x * (p * (1 - p))[:, None]).T @ x
@@ -72,7 +77,8 @@ def derivatives(blocks: DataFrame, weights: Sequence[np.ndarray]) -> list[tuple[
     Sums are added by candidate and entry; d * d / 2 numbers a candidate come to the driver, however many rows there are.
     """
     d = len(weights[0])
-    summed = blocks.mapInArrow(_sums(weights), "candidate int, entry int, total double").groupBy("candidate", "entry").agg(F.sum("total").alias("total")).toArrow()
+    with batch_bytes(blocks.sparkSession, BATCH_BYTES):
+        summed = blocks.select("x", "y").mapInArrow(_sums(weights), "candidate int, entry int, total double").groupBy("candidate", "entry").agg(F.sum("total").alias("total")).toArrow()
     totals = np.zeros((len(weights), 2 + d + d * (d + 1) // 2))
     totals[summed.column("candidate").to_numpy(), summed.column("entry").to_numpy()] = summed.column("total").to_numpy()
     out = []

@@ -69,3 +69,34 @@ def test_first_order_condition_tells_fitted_from_perturbed(data):
     assert left(w + 0.1, b) > 0.1 and left(w, b + 0.5) > 0.1
     rate = y.mean()
     assert left(np.zeros(9), np.log(rate / (1 - rate))) == pytest.approx(1.0)
+
+
+def test_a_worker_gets_few_blocks_at_once(spark, monkeypatch):
+    """However many blocks a partition holds, the bytes handed to Python at once are bounded, and the sums are whole."""
+    seen = []
+    whole = descent._sums
+
+    def sums(weights):
+        add = whole(weights)
+
+        def watched(batches):
+            sizes = []
+
+            def counted():
+                for batch in batches:
+                    sizes.append(batch.nbytes)
+                    yield batch
+
+            yield from add(counted())
+            assert max(sizes) < 2 * descent.BATCH_BYTES and len(sizes) > 2
+
+        seen.append(1)
+        return watched
+
+    monkeypatch.setattr(descent, "_sums", sums)
+    names = [f"c{i}" for i in range(40)]
+    df = spark.range(0, 60_000, 1, 1).select(*[(F.col("id") % (i + 2)).cast("double").alias(n) for i, n in enumerate(names)], (F.col("id") % 2).cast("double").alias("label"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    n, positive, _, _ = descent.derivatives(descent.blocks_of(df, names, "label").cache(), [np.zeros(41)])[0]
+    assert (n, positive) == (60_000, 30_000) and seen
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
