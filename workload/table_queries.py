@@ -35,7 +35,8 @@ def scan_csv(spark, sf_dir):
     probe = {"clickstream": "fe_1", "attributes": "Occupation", "financials": "Type_of_Loan", "lms": "balance"}
     counts = []
     for name, df in Inputs(spark, sf_dir).raw().items():
-        df.write.option("header", True).option("escape", '"').csv(f"{folder}/{SOURCES[name].file}")
+        # Packed, as plain text would be most of what the query writes; every file is read by one task.
+        df.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(f"{folder}/{SOURCES[name].file}")
         read = SOURCES[name].read(spark, folder)
         counts.append(
             read.agg(
