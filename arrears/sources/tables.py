@@ -55,18 +55,20 @@ def _partitioned(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,)) -> str:
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,), gathered: bool = False) -> str:
     """Replace the partitions present in ``df``, leave all others alone.
 
     Rows without a date belong to no snapshot and are left out. A table that
     keeps versions is refused, since its readers would not see the change.
+    ``gathered`` says that the tasks of ``df`` hold few partitions each, as those
+    that scan a table of the same partitions do; its rows are then not moved.
     """
     by = list(by)
     if last_commit(df.sparkSession, path) is not None:
         raise ValueError(f"{path} keeps versions; change it by upsert_versioned, or rebuild it")
     dated = df.dropna(subset=by)
     (
-        _partitioned(dated, by)
+        (dated if gathered else _partitioned(dated, by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -75,12 +77,12 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT
     return path
 
 
-def rebuild_table(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,)) -> str:
-    """Clear the target, then write."""
+def rebuild_table(df: DataFrame, path: str, by: Sequence[str] = (SNAPSHOT,), gathered: bool = False) -> str:
+    """Clear the target, then write; ``gathered`` as in ``overwrite_partitions``."""
     by = list(by)
     dated = df.dropna(subset=by)
     (
-        _partitioned(dated, by)
+        (dated if gathered else _partitioned(dated, by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*by)

@@ -1,11 +1,13 @@
-"""What queries write on the way, on a few made rows."""
+"""What queries and plans write and move on the way, on a few made rows."""
 
 import datetime
 import glob
 
 import pytest
 
+from arrears.plans import datamart
 from workload import table_queries
+from workload.fixtures import Inputs
 
 
 @pytest.fixture(scope="module")
@@ -30,3 +32,25 @@ def test_csv_sources_are_packed(spark, tables, monkeypatch, tmp_path):
     assert found == {"clickstream": (40, 10), "attributes": (40, 10), "financials": (40, 10), "lms": (240, 10)}
     files = glob.glob(f"{tmp_path}/raw/*/part-*")
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_tables_of_the_same_months_are_written_in_place(spark, tables, monkeypatch, tmp_path):
+    """The ledger and the labels are written without a shuffle, and hold every row."""
+    moved = []
+    write = datamart.write_counted
+
+    def watched(writer, df, path, *args):
+        def told(rows, target, by):
+            gathered = getattr(writer, "keywords", {}).get("gathered", False)
+            moved.append((path.split("/")[-2:], gathered))
+            return writer(rows, target, by)
+
+        return write(told, df, path, *args)
+
+    monkeypatch.setattr(datamart, "write_counted", watched)
+    mart = datamart.Datamart(str(tmp_path / "mart"))
+    datamart.backfill(spark, Inputs(spark, tables).raw(), mart, tie_break=["src_seq"])
+    assert {tuple(t) for t, gathered in moved if gathered} == {("silver", "lms"), ("gold", "label_store")}
+    counts = {(r["layer"], r["table_name"]): r["row_count"] for r in datamart.mart_summary(spark, mart).collect()}
+    assert counts["bronze", "lms"] == counts["silver", "lms"] == 240
+    assert counts["gold", "label_store"] == counts["gold", "training_dataset"] == 40
