@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrears.functions.clean import numeric
-from arrears.operators import splits
+from arrears.operators import discrimination, features, splits
 from arrears.operators.scoring import score_batch
 from arrears.plans import inference, monitoring, search, training
 from arrears.session import materialise, scratch_path
@@ -179,3 +179,35 @@ def test_registered_searches_are_whole(spark, smoke_dir, monkeypatch):
 
 def test_numeric_expression_reads_plain_numbers(spark):
     assert spark.sql(f"SELECT {numeric(chr(39) + '1e3' + chr(39))} AS x").first()["x"] == 1000.0
+
+
+def test_training_holds_no_wide_copy_and_compiles_its_stages(spark, loans, monkeypatch):
+    """Of the training rows only the blocks of the descent are held, and wide stages are written without code too long to compile."""
+    kind, held, limits = "spark.sql.codegen.hugeMethodLimit", [], {}
+    for module in (training, features):
+        whole = module.held
+        monkeypatch.setattr(module, "held", lambda df, whole=whole: held.append(df.columns) or whole(df))
+    store = training.materialise
+    monkeypatch.setattr(training, "materialise", lambda df, name: limits.update({name: int(spark.conf.get(kind))}) or store(df, name))
+    before = spark.conf.get(kind)
+    spark.conf.set(kind, "65535")
+    try:
+        training.train_candidates(loans, "2024-09-01", numeric=["Annual_Income"], categorical=["Credit_Mix"])
+        training.train_validation_model(loans.drop("feature_snapshot_date"), "2024-09-01")
+        assert spark.conf.get(kind) == "65535"
+    finally:
+        spark.conf.set(kind, before)
+    assert held == [["rows", "x", "y"]]
+    assert limits["prepared"] == limits["leakage_report"] == 8000
+
+
+def test_classification_metrics_come_from_one_reading(spark, monkeypatch):
+    """Accuracy comes with the counts of the scores; rows without label, score or group have no part in it."""
+    monkeypatch.setattr(discrimination, "accuracy", lambda *a: pytest.fail("the rows are read a second time"))
+    rows = [("a", 0.9, 1), ("a", 0.9, 0), ("a", 0.5, 1), ("a", 0.1, 0), ("a", None, 1), ("a", 0.2, None), ("b", 0.4, 1), (None, 0.3, 0), ("c", 0.3, None)]
+    df = spark.createDataFrame(rows, "g string, prediction_score double, label int")
+    found = {r["g"]: (r["n_rows"], r["accuracy"]) for r in discrimination.classification_metrics(df, ["g"]).collect()}
+    assert found == {"a": (4, 0.75), "b": (1, 0.0)}
+    assert discrimination.classification_metrics(df).first()["accuracy"] == pytest.approx(4 / 6)
+    none = discrimination.classification_metrics(df.limit(0)).first()
+    assert none["accuracy"] is None
