@@ -17,9 +17,12 @@ import pyarrow.compute as pc
 #: A space with no white space on either side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
-#: Marks that the pattern always parts from the letters before them, and the
-#: first character for which libraries may not agree on what a letter is.
-_MARKS, _LATIN = frozenset(",.;:!?"), "\u0250"
+#: Marks that the pattern always parts from the letters before them, as one match
+#: to the end of the piece, and the first character for which libraries may not
+#: agree on what a letter is. The apostrophe may belong to letters behind it.
+_MARKS, _LATIN = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
+#: Marks in a row whose ids are kept for good.
+MARKS_IN_A_ROW = 3
 
 #: Pieces longer than this are encoded but not remembered.
 REMEMBERED_CHARS = 64
@@ -48,46 +51,58 @@ class PieceEncoder:
         for text in texts:
             pieces = text.split(" ")
             found = list(map(known.get, pieces[1:]))
-            if None in found:
-                new = {p for p, f in zip(pieces[1:], found) if f is None}
-                if any(not p or p[0].isspace() or p[-1].isspace() for p in new):
+            gaps = _gaps(found)
+            if gaps:
+                new = {pieces[i + 1] for i in gaps}
+                if "" in new or list(map(str.strip, new)) != list(new):
                     pieces = _CUT.split(text)
                     found = list(map(known.get, pieces[1:]))
-                    new = {p for p, f in zip(pieces[1:], found) if f is None}
+                    gaps = _gaps(found)
+                    new = {pieces[i + 1] for i in gaps}
                 for p in new:
-                    if p[-1] in _MARKS and is_word(p[:-1]):
-                        marked[p] = p[:-1]
-                        if p[:-1] not in known:
-                            missing[p[:-1]] = b""
+                    word = p.rstrip(_MARKS)
+                    if 0 < len(p) - len(word) <= MARKS_IN_A_ROW and is_word(word):
+                        marked[p] = word
+                        if word not in known:
+                            missing[word] = b""
                     else:
                         missing[p] = b""
-            plans.append((pieces, found))
+            plans.append((pieces, found, gaps))
         order = list(missing)
         for piece, ids in zip(order, self._encode([" " + p for p in order]) if order else ()):
             missing[piece] = ids
         for piece, word in marked.items():
             ids = missing.get(word)
-            missing[piece] = (known[word] if ids is None else ids) + self._mark(piece[-1])
-        heads = self._encode([pieces[0] for pieces, _ in plans])
+            missing[piece] = (known[word] if ids is None else ids) + self._mark(piece[len(word) :])
+        heads = self._encode([pieces[0] for pieces, _, _ in plans])
         out = []
-        for (pieces, found), head in zip(plans, heads):
-            if None in found:
-                found = [missing[p] if f is None else f for p, f in zip(pieces[1:], found)]
+        for (pieces, found, gaps), head in zip(plans, heads):
+            for i in gaps:
+                found[i] = missing[pieces[i + 1]]
             out.append(head + b"".join(found))
         for piece, ids in missing.items():
-            if len(piece) <= REMEMBERED_CHARS and not (piece[0].isspace() or piece[-1].isspace()):
+            if len(piece) <= REMEMBERED_CHARS and piece.strip() == piece:
                 known[piece] = ids
         return out
 
-    def _mark(self, mark: str) -> bytes:
-        if mark not in self._marks:
-            self._marks[mark] = self._encode([mark])[0]
-        return self._marks[mark]
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self._marks:
+            self._marks[marks] = self._encode([marks])[0]
+        return self._marks[marks]
+
+
+def _gaps(found: list[bytes | None]) -> list[int]:
+    """Places of what is not known."""
+    places, at = [], -1
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        places.append(at)
+    return places
 
 
 def is_word(piece: str) -> bool:
     """Whether a piece is nothing but letters, by any library's account."""
-    return piece.isalpha() and max(piece) < _LATIN
+    return piece.isalpha() and (piece.isascii() or max(piece) < _LATIN)
 
 
 def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int]]:

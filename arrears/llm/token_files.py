@@ -196,18 +196,22 @@ def _encoder(path: str) -> PieceEncoder:
         tell where each piece ends.
         """
         out: list[bytes] = [b""] * len(pieces)
-        inner = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        rest = sorted(set(range(len(pieces))) - set(inner))
+        # One space ahead, nothing stripped behind it; an empty piece or a space alone is no such piece.
+        inner = [i for i, p in enumerate(pieces) if p[:1] == " " and p[1:] and p[1:] == p.strip()]
+        rest = sorted(set(range(len(pieces))) - set(inner)) if len(inner) < len(pieces) else []
         runs = [inner[i : i + JOINED] for i in range(0, len(inner), JOINED)]
-        for run, ids in zip(runs, ids_of(["".join(pieces[i] for i in run) for run in runs])):
-            ends = np.cumsum([len(pieces[i].encode()) for i in run])
+        joined = [[pieces[i] for i in run] for run in runs]
+        for run, parts, ids in zip(runs, joined, ids_of(list(map("".join, joined)))):
+            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in parts])
             tokens = np.cumsum(size[ids])
             cuts = np.searchsorted(tokens, ends) + 1
             if not len(ids) or not np.array_equal(tokens[np.minimum(cuts, len(ids)) - 1], ends):
                 raise ValueError("the tokenizer's ids do not spell the text")
-            for i, found in zip(run, np.split(ids, cuts[:-1])):
-                out[i] = found.tobytes()
-        for i, ids in zip(rest, ids_of([pieces[i] for i in rest])):
+            raw, start = ids.tobytes(), 0
+            for i, stop in zip(run, (4 * cuts).tolist()):
+                out[i] = raw[start:stop]
+                start = stop
+        for i, ids in zip(rest, ids_of([pieces[i] for i in rest]) if rest else ()):
             out[i] = ids.tobytes()
         return out
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from arrears.llm.pieces import PieceEncoder
 from arrears.llm.queries import op7_token_files
 from arrears.llm.settings import TOKENIZER
 from arrears.llm.token_files import Segment, token_files, write_segment
@@ -55,3 +56,16 @@ def test_outliers_do_not_widen_blocks():
 def test_a_cut_file_is_refused():
     with pytest.raises(ValueError):
         Segment(write_segment(np.arange(1000, dtype=np.uint32), [1], [1000]) + b"x")
+
+
+def test_marks_behind_a_word_are_no_new_piece():
+    """A word seen before is not encoded again for the marks behind it, and the ids stay those of the whole text."""
+    tokenizer, sent = Tokenizer.from_file(TOKENIZER), []
+
+    def ids(texts):
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    encoder = PieceEncoder(lambda pieces: sent.extend(pieces) or ids(pieces))
+    texts = ["a word here", "a word*** here%%% word$$ word,", "so word!!!! don't' word'' here-- naïve_ 12## it's. \n word?! \u3000here## end"]
+    assert [encoder.encode([t])[0] for t in texts] == ids(texts)
+    assert sent.count(" word") == 1 and not {" word***", " here%%%", " word$$", " word,", " here--"} & set(sent)
