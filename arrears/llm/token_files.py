@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.common import scratch_path, text_key
-from arrears.llm.pieces import PieceEncoder, slices
+from arrears.llm.pieces import LATIN, PieceEncoder, is_word, slices
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -50,6 +50,8 @@ SEGMENT_IDS = 1_000_000
 REMEMBERED = 1_000_000
 #: Pieces handed to the library as one text.
 JOINED = 200
+#: Bytes of text whose pieces are told apart at once.
+SLICE_BYTES = 8_000_000
 
 _HEAD = struct.Struct("<4s5Q")
 
@@ -179,8 +181,15 @@ class Segment:
 def _encoder(path: str) -> PieceEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
+    model, bytewise = tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
+    # How the model spells the bytes of the characters that a word may have, and of the space.
+    spelt = {i: bytewise.pre_tokenize_str(chr(i))[0][0] for i in range(ord(LATIN))}
+    # Nothing but the model has a say in a word, as the pattern takes it whole with its space.
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    direct = tokenizer.normalizer is None and tokenizer.truncation is None and not any(t.replace(" ", "a").isalpha() for t in added)
     vocabulary = tokenizer.get_vocab()
     # In a byte-level vocabulary each character of a token stands for a byte.
     size = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
@@ -190,15 +199,24 @@ def _encoder(path: str) -> PieceEncoder:
         return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(pieces: list[str]) -> list[bytes]:
-        """Pieces that begin with their only outer space are encoded many at a time, end to end.
+        """A space and a word go to the model as they are, other pieces that begin with their only outer space end to end, many at a time.
 
         A token never crosses the space, so the bytes that tokens stand for
         tell where each piece ends.
         """
         out: list[bytes] = [b""] * len(pieces)
-        # One space ahead, nothing stripped behind it; an empty piece or a space alone is no such piece.
-        inner = [i for i, p in enumerate(pieces) if p[:1] == " " and p[1:] and p[1:] == p.strip()]
-        rest = sorted(set(range(len(pieces))) - set(inner)) if len(inner) < len(pieces) else []
+        inner, rest = [], []
+        for i, p in enumerate(pieces):
+            behind = p[1:]
+            if direct and p[:1] == " " and is_word(behind):
+                # ASCII letters stand for themselves.
+                ids = [t.id for t in model.tokenize(spelt[32] + (behind if behind.isascii() else behind.translate(spelt)))]
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            # One space ahead, nothing stripped behind it; an empty piece or a space alone is no such piece.
+            elif p[:1] == " " and behind and behind == p.strip():
+                inner.append(i)
+            else:
+                rest.append(i)
         runs = [inner[i : i + JOINED] for i in range(0, len(inner), JOINED)]
         joined = [[pieces[i] for i in run] for run in runs]
         for run, parts, ids in zip(runs, joined, ids_of(list(map("".join, joined)))):
@@ -254,8 +272,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                 continue
             part_id = part.column(2)[0].as_py()
             doc_ids, texts = part.column(0).to_pylist(), part.column(1)
-            for start, stop in slices(texts):
-                for d, ids in zip(doc_ids[start:stop], encoder.encode(texts.slice(start, stop - start).to_pylist())):
+            for start, stop in slices(texts, SLICE_BYTES):
+                for d, ids in zip(doc_ids[start:stop], encoder.encode_column(texts.slice(start, stop - start))):
                     held.append(ids + end)
                     names.append(d)
                     lengths.append(len(ids) // 4 + 1)

@@ -1,13 +1,14 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from arrears.llm.pieces import PieceEncoder
 from arrears.llm.queries import op7_token_files
 from arrears.llm.settings import TOKENIZER
-from arrears.llm.token_files import Segment, token_files, write_segment
+from arrears.llm.token_files import Segment, _encoder, token_files, write_segment
 
 
 def want(rows):
@@ -69,3 +70,59 @@ def test_marks_behind_a_word_are_no_new_piece():
     texts = ["a word here", "a word*** here%%% word$$ word,", "so word!!!! don't' word'' here-- naïve_ 12## it's. \n word?! \u3000here## end"]
     assert [encoder.encode([t])[0] for t in texts] == ids(texts)
     assert sent.count(" word") == 1 and not {" word***", " here%%%", " word$$", " word,", " here--"} & set(sent)
+
+
+def test_a_column_of_texts_gets_the_ids_of_the_library():
+    tokenizer, rng = Tokenizer.from_file(TOKENIZER), np.random.default_rng(7)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\u3000", "\x1c", "\x85", "word", "Straße", "naïve", "año", "ªº", "𐐷", "中文", "don't", "'", "12", "²", "!!", "<|endoftext|>", "."]
+    texts = ["", " ", "  ", " a", "a ", *("".join(rng.choice(parts, n)) for n in rng.integers(0, 40, 600))]
+    # All letters that are held to be parts of words, each behind a space.
+    texts += [f"a {chr(i)}x x{chr(i)} {chr(i)}" for i in range(0x250) if chr(i).isalpha()]
+    ids = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    encoder = _encoder.__wrapped__(TOKENIZER)
+    column = pa.array(["left out", *texts, "left out"]).slice(1, len(texts))
+    assert encoder.encode_column(column) == ids and encoder.encode_column(column) == ids
+    assert [encoder.encode_column(column.slice(i, 1)) for i in range(50)] == [[i] for i in ids[:50]]
+    assert encoder.encode_column(column.slice(0, 0)) == []
+
+
+def test_a_piece_is_looked_up_once_for_all_its_places():
+    class Known(dict):
+        looks = 0
+
+        def get(self, *key):
+            Known.looks += 1
+            return super().get(*key)
+
+    encoder, text = _encoder.__wrapped__(TOKENIZER), "a word and a word " * 500 + "end"
+    encoder._known = Known()
+    assert encoder.encode_column(pa.array([text] * 10)) == encoder.encode([text] * 10)
+    encoder._known, Known.looks = Known(encoder._known), 0
+    encoder.encode_column(pa.array([text] * 10))
+    assert Known.looks < 10
+
+
+def test_words_go_to_the_model_and_not_through_the_splitting(monkeypatch):
+    sent = []
+
+    class Watched:
+        """The library's tokenizer with a list of the texts that it splits."""
+
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return self.inner.encode_batch_fast(texts, **how)
+
+    class Library:
+        from_file = staticmethod(lambda path: Watched(Tokenizer.from_file(path)))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    encoder, text = _encoder.__wrapped__(TOKENIZER), "First quxalong größenwahn, x12 zebrafisch"
+    want = np.array(Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.encode([text]) == [want]
+    assert sorted(sent) == sorted([" x12", ",", "First"])
