@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from arrears.constants import (
     CLICK_COLUMNS,
+    CUSTOMER,
     FEATURE_STORE_COLUMNS,
     FEATURE_STORE_VERSION,
     LABEL_DPD,
@@ -19,7 +22,7 @@ from arrears.operators.joins import join_point_in_time, join_snapshots
 from arrears.operators.schema import coerce_numeric, drop_pii
 
 
-def gold_features(clickstream: DataFrame, attributes: DataFrame, financials: DataFrame) -> DataFrame:
+def gold_features(clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, keys: Sequence[str] = (CUSTOMER, SNAPSHOT)) -> DataFrame:
     """Customer-month feature store: three sources joined, ratios and buckets added."""
     derived = {
         "feature_store_def": f"'{FEATURE_STORE_VERSION}'",
@@ -31,7 +34,7 @@ def gold_features(clickstream: DataFrame, attributes: DataFrame, financials: Dat
         "clickstream_min": measures.row_min(CLICK_COLUMNS),
         "clickstream_max": measures.row_max(CLICK_COLUMNS),
     }
-    joined = join_snapshots([clickstream, attributes, financials])
+    joined = join_snapshots([clickstream, attributes, financials], keys)
     return joined.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in FEATURE_STORE_COLUMNS])
 
 
@@ -51,6 +54,6 @@ def gold_labels(ledger: DataFrame, dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -
     )
 
 
-def gold_training(labels: DataFrame, features: DataFrame) -> DataFrame:
+def gold_training(labels: DataFrame, features: DataFrame, dealt_by: Sequence[str] = ()) -> DataFrame:
     """Labels with the features of the loan start date."""
-    return coerce_numeric(drop_pii(join_point_in_time(labels, features)), NUMERIC_FEATURES)
+    return coerce_numeric(drop_pii(join_point_in_time(labels, features, dealt_by)), NUMERIC_FEATURES)

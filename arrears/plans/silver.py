@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -18,13 +18,18 @@ from arrears.constants import (
 from arrears.functions import clean, measures
 from arrears.operators.dedup import keep_first
 from arrears.operators.schema import enforce_types
+from arrears.sources.tables import PART, dealt
 
 KEYS = [CUSTOMER, SNAPSHOT]
 
 
-def _once_per_snapshot(bronze: DataFrame, columns: dict[str, str], tie_break: Sequence[str]) -> DataFrame:
+def _once_per_snapshot(bronze: DataFrame, columns: dict[str, str], tie_break: Sequence[str], rows: Mapping[str, int] | None = None) -> DataFrame:
     """Clean in one projection, keep one row per customer and snapshot, drop the tie-break columns.
 
+    With ``rows``, the rows of each snapshot, the result is dealt by snapshot:
+    equal rows come together in the tasks that can write them. No key may then
+    have more rows than a task can sort.
+
     Cleaning comes first so that the narrow typed values are what is shuffled,
     and so that the window ends the chain of constraints the optimizer infers
     from the cleaning expressions; above it they make planning of the joins
@@ -33,23 +38,25 @@ def _once_per_snapshot(bronze: DataFrame, columns: dict[str, str], tie_break: Se
     columns = {CUSTOMER: f"cast({CUSTOMER} AS string)", SNAPSHOT: f"try_cast({SNAPSHOT} AS date)"} | columns
     extra = [f"{c} AS _tie_{c}" for c in tie_break]
     cleaned = bronze.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()], *extra)
-    kept = keep_first(cleaned, KEYS, [f"_tie_{c}" for c in tie_break])
-    return kept.drop(*[f"_tie_{c}" for c in tie_break])
+    ties = [f"_tie_{c}" for c in tie_break]
+    if not rows:
+        return keep_first(cleaned, KEYS, ties).drop(*ties)
+    return keep_first(dealt(cleaned, rows, SNAPSHOT, [CUSTOMER]), [SNAPSHOT, PART, CUSTOMER], ties).drop(PART, *ties)
 
 
-def silver_clickstream(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    return _once_per_snapshot(bronze, {c: clean.numeric(c) for c in CLICK_COLUMNS}, tie_break)
+def silver_clickstream(bronze: DataFrame, tie_break: Sequence[str] = (), rows: Mapping[str, int] | None = None) -> DataFrame:
+    return _once_per_snapshot(bronze, {c: clean.numeric(c) for c in CLICK_COLUMNS}, tie_break, rows)
 
 
-def silver_attributes(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def silver_attributes(bronze: DataFrame, tie_break: Sequence[str] = (), rows: Mapping[str, int] | None = None) -> DataFrame:
     columns = {
         "Age": clean.clean_integer("Age"),
         "Occupation": clean.sentinel_to_null("Occupation", SENTINELS["Occupation"]),
     }
-    return _once_per_snapshot(bronze, columns, tie_break)
+    return _once_per_snapshot(bronze, columns, tie_break, rows)
 
 
-def silver_financials(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def silver_financials(bronze: DataFrame, tie_break: Sequence[str] = (), rows: Mapping[str, int] | None = None) -> DataFrame:
     texts = ["Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]
     columns = (
         {c: clean.clean_numeric(c) for c in FINANCIAL_DOUBLES}
@@ -58,7 +65,7 @@ def silver_financials(bronze: DataFrame, tie_break: Sequence[str] = ()) -> DataF
         | {c: clean.sentinel_to_null(c, SENTINELS[c]) for c in texts}
         | {"has_type_of_loan": clean.non_blank_flag("Type_of_Loan")}
     )
-    return _once_per_snapshot(bronze, columns, tie_break)
+    return _once_per_snapshot(bronze, columns, tie_break, rows)
 
 
 def days_past_due(overdue: str, snapshot: str, first_missed: str) -> str:

@@ -43,6 +43,15 @@ def _stored(spark: SparkSession, path: str) -> list:
     return counts.collect() if counts is not None else []
 
 
+def rows_by_partition(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> dict[str, int]:
+    """Rows of the partitions between two dates by the stored counts; none for a table without."""
+    found: dict[str, int] = {}
+    for r in _stored(spark, path):
+        if (start is None or r["partition"] >= start) and (end is None or r["partition"] <= end):
+            found[r["partition"]] = found.get(r["partition"], 0) + r["row_count"]
+    return found
+
+
 def stored_counts(spark: SparkSession, path: str) -> DataFrame | None:
     """(partition, label, row_count) as the last counted write left them, None for a table without."""
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{COUNTS}")
